@@ -394,6 +394,13 @@ CHANGE_KINDS = """
     CASE WHEN event_id % 2 = 1 AND event_id % 11 <> 0 THEN CAST(event_id % 5 + 1 AS VARCHAR) END AS old_num
   FROM events WHERE event_type = 'click'"""
 
+def closed(sql, last="(SELECT max(ts) FROM events)"):
+    """Only the windows a stream has closed when its last row is ``last``."""
+    return (
+        f"SELECT * FROM ({sql}) WHERE strptime(edt, {FMT}) <= {last} - INTERVAL 2 SECOND"
+    )
+
+
 ORACLE = {
     # logs
     "log_dirty_split": """
@@ -524,4 +531,40 @@ ORACLE = {
     "province_order_window_1d": province_order_window("1 day"),
     "user_spu_order_window": user_spu_order_window("10 seconds"),
     "user_spu_order_window_1d": user_spu_order_window("1 day"),
+    # streams
+    "src_stream": LOG + f"""
+      SELECT mid, page_id, last_page_id, item, ms AS ts, strftime(t, {FMT}) AS rt FROM page_log""",
+    "sink_append": CART_ADD,
+    "log_route_stream": LOG + """
+      SELECT 'dirty' AS output, count(*) AS n FROM events WHERE event_id % 97 = 0
+      UNION ALL SELECT 'error', count(*) FROM raw_log WHERE event_type = 'error'
+      UNION ALL SELECT 'start', count(*) FROM raw_log WHERE event_id % 13 = 0
+      UNION ALL SELECT 'display', CAST(sum(event_id % 3) AS BIGINT) FROM raw_log WHERE event_id % 13 <> 0
+      UNION ALL SELECT 'action', CAST(sum(event_id % 4) AS BIGINT) FROM raw_log WHERE event_id % 13 <> 0
+      UNION ALL SELECT 'page', count(*) FROM raw_log WHERE event_id % 13 <> 0""",
+    "traffic_unique_visitor_stream": _with(PAGE_LOG, VISITORS)
+    + f"""SELECT {_PROJECT}, vc, ch, ar, is_new FROM visitors
+      WHERE ms <= (SELECT max(ms) FROM page_log) - 2000""",
+    "traffic_user_jump_stream": user_jump(21_600_000)
+    + " WHERE ms + 21600000 <= (SELECT max(ms) FROM page_log) - 2000",
+    "keyword_window_stream": closed(
+        keyword_window("10 seconds"),
+        "(SELECT max(ts) FROM events WHERE event_id % 10 IN (5, 6))",
+    ),
+    "page_uv_window_stream": closed(
+        page_uv_window("10 seconds"),
+        "(SELECT max(ts) FROM events WHERE event_type IN ('view', 'click'))",
+    ),
+    "user_login_window_stream": closed(user_login_window("1 day", 2)),
+    "cart_uu_window_stream": CART + f""", w AS (
+      SELECT coalesce(operate_time, create_time) AS t, row_number() OVER (
+        PARTITION BY user_id, CAST(coalesce(operate_time, create_time) AS DATE)
+        ORDER BY coalesce(operate_time, create_time), id) AS rn FROM cart)
+      SELECT {bounds('t', '10 seconds')}, count(*) AS cart_add_uu_ct FROM w WHERE rn = 1
+        AND time_bucket(INTERVAL '10 seconds', t) + INTERVAL 12 SECOND
+          <= (SELECT max(coalesce(operate_time, create_time)) FROM cart)
+      GROUP BY ALL""",
+    "window_distinct_count_stream": closed(f"""
+      SELECT {bounds('ts', '1 day')}, event_type, count(DISTINCT user_id) AS users FROM events GROUP BY ALL"""),
 }
+ORACLE["sink_upsert"] = ORACLE["dim_upsert_latest"]

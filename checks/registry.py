@@ -14,8 +14,9 @@ from millrace.operators.lookups import dictionary_name, lookup
 from millrace.operators.words import explode_words
 from millrace.plans import simple_facts, trade_facts, trade_summary, traffic_facts
 from millrace.plans import traffic_summary, user_summary
-from millrace.session import prepare
+from millrace.session import prepare, shared_dir
 from millrace.sources import readers, sample
+from millrace.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 SIX_HOURS_MS = 21_600_000
@@ -483,3 +484,119 @@ windowed(
         size=size,
     ),
 )
+
+# --- streams ----------------------------------------------------------------
+# The same jobs fed by a stream of the sample table, written by a checkpointed
+# query and read back.  Windows still open at the end are not written.
+
+
+def _through_stream(spark, rows, sink=sinks.append_table):
+    folder = shared_dir(spark, "stream")
+    sink(rows, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return f"{folder}/out"
+
+
+def streamed(name: str, build, *tables: str) -> None:
+    def run(spark, d):
+        rows = build(spark, sample.StreamDir.of(d, *tables))
+        path = _through_stream(spark, rows)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    query(name)(run)
+
+
+@query("src_stream")
+def _(spark, d):
+    """Text records of a stream, parsed, appended to a table."""
+    text = _as_text(
+        sample.page_log(spark, sample.StreamDir.of(d, "events")).drop("event_id")
+    )
+    rows = readers.page_table(text).select(
+        "common.mid", "page.page_id", "page.last_page_id", "page.item", "ts",
+        ymd_hms(F.col("rt")).alias("rt"),
+    )
+    return spark.read.schema(rows.schema).parquet(_through_stream(spark, rows))
+
+
+@query("sink_append")
+def _(spark, d):
+    """Cart facts appended as JSON text by a stream, read back."""
+    rows = _cart_add(spark, sample.StreamDir.of(d, "events"))
+    path = _through_stream(spark, rows, sinks.append_text)
+    return readers.json_table(readers.text_files(spark, path), rows.schema)
+
+
+@query("sink_upsert")
+def _(spark, d):
+    """Goods kept by key from a stream of change records."""
+    changes = sample.change_records(spark, sample.StreamDir.of(d, "part"), "sku_info")
+    folder = shared_dir(spark, "dims")
+    jobs.load_dimensions(
+        changes, lambda: _routes(spark), f"{folder}/table", f"{folder}/checkpoint"
+    ).awaitTermination()
+    latest = jobs.dimension_store(f"{folder}/table").read(spark)
+    return routing.dimension_table(
+        latest, "dim_sku_info", ["id", "sku_name", "tm_id", "category3_id", "price"]
+    )
+
+
+@query("log_route_stream")
+def _(spark, d):
+    """All outputs of the log router, written by one stream; rows per output."""
+    parsed = logs.parse_logs(sample.raw_logs(spark, sample.StreamDir.of(d, "events")))
+    folder = shared_dir(spark, "logs")
+    jobs.route_logs(parsed, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    counts = [
+        spark.read.parquet(f"{folder}/out/{name}").select(F.lit(name).alias("output"))
+        for name in ("dirty", "error", "start", "display", "action", "page")
+    ]
+    union = counts[0]
+    for c in counts[1:]:
+        union = union.unionByName(c)
+    return union.groupBy("output").agg(F.count(F.lit(1)).alias("n"))
+
+
+streamed(
+    "traffic_unique_visitor_stream",
+    lambda spark, d: _page_fields(
+        traffic_facts.unique_visitors(sample.page_log(spark, d), ID), "vc", "ch", "ar", "is_new"
+    ),
+    "events",
+)
+streamed(
+    "traffic_user_jump_stream",
+    lambda spark, d: _page_fields(
+        traffic_facts.user_jumps(sample.page_log(spark, d), SIX_HOURS_MS, ID)
+    ),
+    "events",
+)
+streamed(
+    "keyword_window_stream",
+    lambda spark, d: traffic_summary.keyword_window(sample.page_log(spark, d)).drop("ts"),
+    "events",
+)
+streamed(
+    "page_uv_window_stream",
+    lambda spark, d: traffic_summary.page_uv_window(sample.page_log(spark, d)).drop("ts"),
+    "events",
+)
+streamed(
+    "user_login_window_stream",
+    lambda spark, d: user_summary.user_login_window(
+        sample.page_log(spark, d), "1 day", gap_days=2
+    ).drop("ts"),
+    "events",
+)
+streamed(
+    "cart_uu_window_stream",
+    lambda spark, d: user_summary.cart_uu_window(_cart_add(spark, d)).drop("ts"),
+    "events",
+)
+streamed(
+    "window_distinct_count_stream",
+    lambda spark, d: windows.tumble(
+        (rows := windows.with_event_time(sample.events(spark, d), "ts")),
+        "ts", [windows.distinct_count(rows, "user_id", "users")], "1 day", ["event_type"],
+    ),
+    "events",
+)

@@ -23,14 +23,14 @@ def windows_with_first_visits(
     The grouped rows are of two kinds: one per window with the ``totals`` over
     all its rows, and one per key and day (``is_visit``) with ``gap_days`` since
     the key's previous day, placed in the window of its first row that day.
-    ``visit`` restricts which rows count as visits.
+    ``visit`` restricts which rows count as visits.  Rows without a key are left out.
 
     Both kinds come from one scan and one shuffle by grouping sets, combined
     before the shuffle; no step holds all rows of a key or of a window.
     """
     counts = F.lit(True) if visit is None else F.coalesce(visit, F.lit(False))
     by_kind = (
-        df.where(F.col(time).isNotNull())
+        df.where(F.col(time).isNotNull() & F.col(key).isNotNull())
         .withColumn("_window", F.window(time, size))
         .withColumn("_day", F.to_date(time))
         .withColumn("_key", F.when(counts, F.col(key)))

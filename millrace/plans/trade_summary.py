@@ -44,7 +44,7 @@ def payment_window(payments: DataFrame, size: str = codes.WINDOW_SIZE) -> DataFr
     if payments.isStreaming:
         from millrace.streaming import stateful
 
-        flags = stateful.visit_flags(rows, "user_id", "event_time").where("unique = 1")
+        flags = stateful.visit_flags(rows, "user_id", "event_time")
         new = F.sum("new")
         time = "event_time"
     else:

@@ -30,14 +30,10 @@ def user_login_window(
         from millrace.streaming import stateful
 
         flags = stateful.visit_flags(
-            rows.where("is_login"), "user_id", "event_time"
-        ).select("event_time", "unique", "new", "gap_days")
-        every = with_event_time(rows, "event_time").select(
-            "event_time", F.lit(0).alias("unique"), F.lit(0).alias("new"),
-            F.lit(None).cast("int").alias("gap_days"),
+            rows, "user_id", "event_time", visit=F.col("is_login"), keep_rows=True
         )
         counted = tumble(
-            flags.unionByName(every),
+            flags,
             "event_time",
             [F.count_if(F.col("gap_days") > gap_days).alias("back_ct"),
              F.sum("unique").alias("uu_ct")],

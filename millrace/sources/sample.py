@@ -43,8 +43,27 @@ POSITION_ORDER = (
 )
 
 
+class StreamDir(str):
+    """A folder of sample tables, some of which are to be read as streams."""
+
+    streaming: frozenset[str] = frozenset()
+
+    @classmethod
+    def of(cls, path: str, *streaming: str) -> StreamDir:
+        folder = cls(path)
+        folder.streaming = frozenset(streaming)
+        return folder
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    at_rest = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name not in getattr(sf_dir, "streaming", ()):
+        return at_rest
+    return (
+        spark.readStream.schema(at_rest.schema)
+        .option("pathGlobFilter", f"{name}.parquet")
+        .parquet(str(sf_dir))
+    )
 
 
 def dictionary(spark: SparkSession) -> DataFrame:
