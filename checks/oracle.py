@@ -441,8 +441,8 @@ ORACLE = {
     "traffic_dims_window": traffic_dims_window("10 seconds", 10_000),
     "traffic_dims_window_1d": traffic_dims_window("1 day", 21_600_000),
     "explode_tokens": """
-      SELECT word, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (
-        SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS word FROM documents)
+      SELECT word, count(*) AS n FROM (
+        SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS word FROM documents)
       GROUP BY word""",
     # users
     "user_login_window": user_login_window("10 seconds", 8),

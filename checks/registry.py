@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.times import millis_to_time, ymd_hms
 from millrace.operators import cdc, firsts, logs, routing, windows
 from millrace.operators.dedup import dedup_first, dedup_latest
-from millrace.operators.lookups import dictionary_name, lookup
+from millrace.operators.lookups import dictionary_name, lookup, small_table
 from millrace.operators.words import explode_words
 from millrace.plans import simple_facts, trade_facts, trade_summary, traffic_facts
 from millrace.plans import traffic_summary, user_summary
@@ -142,7 +142,7 @@ def _(spark, d):
 
 windowed(
     "keyword_window",
-    lambda spark, d, size: traffic_summary.keyword_window(sample.page_log(spark, d), size),
+    lambda spark, d, size: traffic_summary.keyword_window(sample.page_log(spark, d, True), size),
 )
 windowed(
     "page_uv_window",
@@ -181,12 +181,8 @@ def _(spark, d):
 
 @query("explode_tokens")
 def _(spark, d):
-    docs = sample.table(spark, d, "documents").select("doc_id", "text")
-    # per document first: the second count is then a plain count as well
-    per_doc = explode_words(docs, "text").groupBy("word", "doc_id").count()
-    return per_doc.groupBy("word").agg(
-        F.sum("count").alias("n"), F.count(F.lit(1)).alias("docs")
-    )
+    docs = sample.table(spark, d, "documents").select("text")
+    return explode_words(docs, "text").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- users ------------------------------------------------------------------
@@ -307,7 +303,8 @@ def _(spark, d):
 @query("lookup_join_inner")
 def _(spark, d):
     named = dictionary_name(
-        sample.positions_raw(spark, d), sample.dictionary(spark), "source_type", "source_type_name"
+        sample.positions_raw(spark, d), small_table(sample.dictionary(spark)),
+        "source_type", "source_type_name",
     )
     return named.groupBy("source_type_name").agg(
         F.count(F.lit(1)).alias("n"), F.sum("split_total_amount").cast("double").alias("amount")
@@ -509,7 +506,7 @@ def streamed(name: str, build, *tables: str) -> None:
 def _(spark, d):
     """Text records of a stream, parsed, appended to a table."""
     text = _as_text(
-        sample.page_log(spark, sample.StreamDir.of(d, "events")).drop("event_id")
+        sample.page_log(spark, sample.StreamDir.of(d, "events"), True).drop("event_id")
     )
     rows = readers.page_table(text).select(
         "common.mid", "page.page_id", "page.last_page_id", "page.item", "ts",
@@ -572,7 +569,7 @@ streamed(
 )
 streamed(
     "keyword_window_stream",
-    lambda spark, d: traffic_summary.keyword_window(sample.page_log(spark, d)).drop("ts"),
+    lambda spark, d: traffic_summary.keyword_window(sample.page_log(spark, d, True)).drop("ts"),
     "events",
 )
 streamed(

@@ -28,8 +28,10 @@ def bounces(
     many small groups, and no row needs its key's whole history.
     """
     slice_ms = within_ms * SLICE_FACTOR
-    slice_no = F.floor(F.col("_ms") / F.lit(slice_ms))
-    in_head = F.col("_ms") - slice_no * slice_ms < within_ms
+    into_slice = F.pmod("_ms", F.lit(slice_ms))
+    start = F.col("_ms") - into_slice
+    own = F.struct(start.alias("start"), F.lit(False).alias("context"))
+    before = F.struct((start - slice_ms).alias("start"), F.lit(True).alias("context"))
     sliced = (
         df.where(key.isNotNull() & time_ms.isNotNull())
         .withColumn("_key", key)
@@ -37,18 +39,10 @@ def bounces(
         .withColumn("_opens", previous_page.isNull())
         .withColumn(
             "_slice",
-            F.explode(
-                F.when(
-                    in_head,
-                    F.array(
-                        F.struct(slice_no.alias("no"), F.lit(False).alias("context")),
-                        F.struct((slice_no - 1).alias("no"), F.lit(True).alias("context")),
-                    ),
-                ).otherwise(F.array(F.struct(slice_no.alias("no"), F.lit(False).alias("context"))))
-            ),
+            F.explode(F.when(into_slice < within_ms, F.array(own, before)).otherwise(F.array(own))),
         )
     )
-    ahead = Window.partitionBy("_key", "_slice.no").orderBy("_ms", *tie_break)
+    ahead = Window.partitionBy("_key", "_slice.start").orderBy("_ms", *tie_break)
     next_ms = F.lead("_ms").over(ahead)
     next_opens = F.lead("_opens").over(ahead)
     return (

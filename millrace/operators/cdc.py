@@ -19,8 +19,11 @@ def parse_json(df: DataFrame, schema, value: str = "value") -> DataFrame:
     parsed = F.from_json(
         F.col(value), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
+    # a row of its own (explode) rather than a column: filters on the result then stay
+    # above the parser, and each text is parsed once
+    record = F.explode(F.array(parsed)).alias("_record")
     # text such as '' or 'null' parses to no record at all: that is corrupt too
-    return df.withColumn("_record", parsed).select(
+    return df.select("*", record).select(
         *[c for c in df.columns if c != value],
         *[F.col(f"_record.{f.name}").alias(f.name) for f in schema.fields],
         F.when(

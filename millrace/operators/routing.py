@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.codes import BOOTSTRAP_INSERT, DELETE, INSERT, UPDATE
 from millrace.operators.dedup import dedup_latest
+from millrace.operators.lookups import small_table
 
 DEFAULT_PK = "id"
 
@@ -48,7 +49,7 @@ def route_dimensions(
     """
     return (
         cdc.where(F.col("type").isin(*types))
-        .join(routes, F.col("table") == F.col("source_table"), "inner")
+        .join(small_table(routes), F.col("table") == F.col("source_table"), "inner")
         .select(
             "sink_table",
             "sink_columns",

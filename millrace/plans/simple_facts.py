@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace import codes
 from millrace.functions.times import date_id
 from millrace.operators.cdc import changes, data, fields, moved
-from millrace.operators.lookups import dictionary_name
+from millrace.operators.lookups import dictionary_name, small_table
 
 
 def coupon_get(cdc: DataFrame, database: str = codes.DEFAULT_DATABASE) -> DataFrame:
@@ -65,7 +65,7 @@ def comment_add(
         *fields("create_time"),
         data("appraise").alias("appraise_code"),
     )
-    return dictionary_name(comments, dictionary, "appraise_code", "appraise_name")
+    return dictionary_name(comments, small_table(dictionary), "appraise_code", "appraise_name")
 
 
 def user_register(cdc: DataFrame, database: str = codes.DEFAULT_DATABASE) -> DataFrame:

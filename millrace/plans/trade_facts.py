@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace import codes
 from millrace.operators.cdc import changed, changes, commit_time, data, fields, increase
 from millrace.operators.interval_join import retained_join
-from millrace.operators.lookups import dictionary_name
+from millrace.operators.lookups import dictionary_name, small_table
 from millrace.operators.windows import with_event_time
 
 ORDER_DETAIL_COLUMNS = (
@@ -49,7 +49,7 @@ def cart_add(cdc: DataFrame, dictionary: DataFrame, database: str = codes.DEFAUL
         data("source_type").alias("source_type_id"),
         *fields("source_id"),
     )
-    return dictionary_name(added, dictionary, "source_type_id", "source_type_name")
+    return dictionary_name(added, small_table(dictionary), "source_type_id", "source_type_name")
 
 
 def order_wide(
@@ -89,7 +89,7 @@ def order_wide(
         with_event_time(detail, "_detail_time", watermark).withColumn(
             "source_type_id", F.col("source_type")
         ),
-        dictionary, "source_type_id", "source_type_name",
+        small_table(dictionary), "source_type_id", "source_type_name",
     )
     # the two left joins share the position id, so they come before the join on
     # the order: the positions are then shuffled twice instead of three times
@@ -159,8 +159,9 @@ def order_refund(
         ),
         commit_time().alias("_refund_time"),
     )
-    request = dictionary_name(request, dictionary, "refund_type", "type_dic_name")
-    request = dictionary_name(request, dictionary, "refund_reason_type", "reason_dic_name")
+    names = small_table(dictionary)
+    request = dictionary_name(request, names, "refund_type", "type_dic_name")
+    request = dictionary_name(request, names, "refund_reason_type", "reason_dic_name")
     joined = retained_join(
         with_event_time(request, "_refund_time", watermark),
         _order_moved_to(cdc, codes.ORDER_REFUND_ASKED, database),
@@ -196,7 +197,9 @@ def pay_detail(
             commit_time().alias("_payment_time"),
         )
     )
-    payment = dictionary_name(payment, dictionary, "payment_type_code", "payment_type_name")
+    payment = dictionary_name(
+        payment, small_table(dictionary), "payment_type_code", "payment_type_name"
+    )
     joined = retained_join(
         with_event_time(details, "row_op_ts", watermark),
         payment,
@@ -235,7 +238,7 @@ def refund_detail(
         ),
         commit_time().alias("_refund_time"),
     )
-    payment = dictionary_name(payment, dictionary, "payment_type", "payment_name")
+    payment = dictionary_name(payment, small_table(dictionary), "payment_type", "payment_name")
     refund = changes(cdc, "order_refund_info", (codes.UPDATE,), database).where(done).select(
         data("order_id").alias("_refund_order"),
         data("sku_id").alias("_refund_sku"),

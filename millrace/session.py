@@ -14,6 +14,9 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+#: Split a skewed join also where that costs a further shuffle.
+SKEW_CONF = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+
 #: Zone for day boundaries and for text timestamps.
 ZONE_CONF = {"spark.sql.session.timeZone": "UTC"}
 
@@ -33,14 +36,14 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**START_CONF, **STATE_CONF, **ZONE_CONF, **conf}.items():
+    for key, value in {**START_CONF, **STATE_CONF, **SKEW_CONF, **ZONE_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else made."""
-    for key, value in {**STATE_CONF, **ZONE_CONF}.items():
+    for key, value in {**STATE_CONF, **SKEW_CONF, **ZONE_CONF}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

@@ -81,8 +81,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _page_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _page_columns(spark: SparkSession, sf_dir: str, with_item: bool = True) -> DataFrame:
     """Events with the text of the searched good; five events share a good."""
+    if not with_item:
+        return events(spark, sf_dir).withColumn("p_name", F.lit(None).cast("string"))
     goods = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     ev = events(spark, sf_dir)
     return ev.join(goods, F.expr("event_id div 5") == goods.p_partkey, "left")
@@ -116,9 +118,12 @@ def _page() -> Column:
     )
 
 
-def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page records, parsed: ``event_id, common, page, ts``."""
-    return _page_columns(spark, sf_dir).select(
+def page_log(spark: SparkSession, sf_dir: str, with_item: bool = False) -> DataFrame:
+    """Page records, parsed: ``event_id, common, page, ts``.
+
+    Searched texts need a join and are null unless asked for.
+    """
+    return _page_columns(spark, sf_dir, with_item).select(
         "event_id", _common().alias("common"), _page().alias("page"),
         F.unix_millis("ts").alias("ts"),
     )

@@ -87,7 +87,8 @@ def user_jumps(page_log: DataFrame, within_ms: int, tie_break: Sequence[str] = (
     for very active devices and goes away with the slice.
     """
     slice_ms = within_ms * SLICE_FACTOR
-    number = F.floor(F.col("ms") / F.lit(slice_ms))
+    into_slice = F.pmod("ms", F.lit(slice_ms))
+    start = F.col("ms") - into_slice
     rows = (
         page_log.where(F.col("common.mid").isNotNull() & F.col("ts").isNotNull())
         .select(
@@ -101,13 +102,12 @@ def user_jumps(page_log: DataFrame, within_ms: int, tie_break: Sequence[str] = (
         .withColumn(
             "_slice",
             F.explode(
-                F.when(
-                    F.col("ms") - number * slice_ms < within_ms,
-                    F.array(number, number - 1),
-                ).otherwise(F.array(number))
+                F.when(into_slice < within_ms, F.array(start, start - slice_ms)).otherwise(
+                    F.array(start)
+                )
             ),
         )
-        .withColumn("context", F.col("_slice") < number)
+        .withColumn("context", F.col("_slice") < start)
     )
     jumps = (
         with_event_time(rows, "event_time")
