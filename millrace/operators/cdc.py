@@ -60,7 +60,8 @@ def old(column: str) -> Column:
 
 
 def fields(*columns: str) -> list[Column]:
-    return [data(c).alias(c) for c in columns]
+    """The new values of several columns under their own names."""
+    return [F.expr(f"data['{c}'] AS `{c}`") for c in columns]
 
 
 def changed(column: str) -> Column:

@@ -26,7 +26,8 @@ def retained_join(
 
     ``left`` must carry its watermark already if it comes out of another join.
     """
-    if left.isStreaming or right.isStreaming:
+    streaming = left.isStreaming or right.isStreaming
+    if streaming:
         right = with_event_time(right, right_time, watermark)
         bound = F.expr(f"INTERVAL {retention}")
         on = (
@@ -34,4 +35,8 @@ def retained_join(
             & (F.col(right_time) >= F.col(left_time) - bound)
             & (F.col(right_time) <= F.col(left_time) + bound)
         )
-    return left.join(right, on, how)
+    joined = left.join(right, on, how)
+    if streaming:
+        # a computed copy is a plain time: the next stateful step may see one event time only
+        joined = joined.withColumn(right_time, F.timestamp_micros(F.unix_micros(right_time)))
+    return joined

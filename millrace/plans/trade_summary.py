@@ -164,18 +164,18 @@ def user_spu_order_window(
     The ids come from the sku before the aggregate; the names are added after
     it, to far fewer rows.
     """
+    rows = details.withColumn("event_time", as_time(F.col("create_time")))
     if details.isStreaming:
-        rows = with_event_time(details, "row_op_ts", codes.DETAIL_RETENTION)
+        # one event time for both: a stream may set its watermark only once
+        rows = with_event_time(rows, "event_time", codes.DETAIL_RETENTION)
         rows = rows.dropDuplicatesWithinWatermark(["id"])
     else:
-        rows = dedup_first(details, ["id"], "row_op_ts", tie_break)
+        rows = dedup_first(rows, ["id"], "row_op_ts", tie_break)
     rows = rows.select(
-        "user_id", "order_id", "sku_id",
-        _money("split_total_amount").alias("amount"),
-        as_time(F.col("create_time")).alias("event_time"),
+        "user_id", "order_id", "sku_id", _money("split_total_amount").alias("amount"), "event_time"
     )
     rows = lookup(
-        with_event_time(rows, "event_time"), sku, "sku_id",
+        rows, sku, "sku_id",
         {"spu_id": "spu_id", "trademark_id": "tm_id", "category3_id": "category3_id"},
     )
     counted = tumble(

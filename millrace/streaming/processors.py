@@ -20,6 +20,11 @@ def _time(ms: int) -> datetime:
     return datetime.fromtimestamp(ms / 1000, timezone.utc)
 
 
+def _passed(timer_values, expired) -> int:
+    """All rows up to here have arrived: the first timer of a batch settles all of them."""
+    return max(expired.getExpiryTimeInMs(), timer_values.getCurrentWatermarkInMs())
+
+
 class FirstRow(StatefulProcessor):
     """The first row of each key.  The last key column is the end of the day (milliseconds)
     the row lies in; the state is cleared then.
@@ -95,7 +100,7 @@ class VisitFlags(StatefulProcessor):
                 self._handle.registerTimer(ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed = expiredTimerInfo.getExpiryTimeInMs()
+        passed = _passed(timerValues, expiredTimerInfo)
         due = sorted((d[0], m[0]) for d, m in self._open.iterator() if m[0] <= passed)
         last = self._last.get()[0] if self._last.exists() else None
         for day, ms in due:
@@ -128,12 +133,13 @@ class Bounces(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         fresh = [(r.ms, r.tie, r.opens, r.context, r.payload) for r in rows]
         self._rows.appendList(fresh)
-        for ms in {r[0] for r in fresh}:
+        # openings wait for their deadline; the last row clears up
+        for ms in {r[0] for r in fresh if r[2]} | {max(r[0] for r in fresh)}:
             self._handle.registerTimer(ms + self._within_ms)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed = expiredTimerInfo.getExpiryTimeInMs()
+        passed = _passed(timerValues, expiredTimerInfo)
         rows = sorted(self._rows.get(), key=lambda r: (r[0], r[1]))
         waiting = []
         for row, after in zip(rows, rows[1:] + [None]):

@@ -1,7 +1,9 @@
 """Streams give what the batch forms give, in any arrival order and across restarts."""
 
 import json
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +43,25 @@ def run(spark, folder, stream):
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
+def run_until(spark, folder, stream, enough, limit=60):
+    """Run a query that waits by the clock (and so never ends by itself) until ``enough`` rows."""
+    query = sinks.append_table(
+        stream, f"{folder}/out", f"{folder}/checkpoint", {"processingTime": "0 seconds"}
+    )
+    try:
+        end = time.time() + limit
+        while time.time() < end:
+            got = spark.read.schema(stream.schema).parquet(f"{folder}/out")
+            if got.count() >= enough:
+                return got
+            time.sleep(0.5)
+            if query.exception():
+                raise query.exception()
+        raise AssertionError("the query did not deliver in time")
+    finally:
+        query.stop()
+
+
 def random_pages(seed, n=400):
     rng = random.Random(seed)
     start = ms("2024-01-01 23:00:00")
@@ -141,6 +162,7 @@ def test_late_rows_are_dropped_and_rows_within_the_delay_count(spark, rows, fold
         [page(1, "a", "2024-01-01 00:00:11")],
         [page(2, "a", "2024-01-01 00:00:09")],      # late by two seconds: still open
         [page(3, "a", "2024-01-01 00:01:00")],
+        [page(5, "a", "2024-01-01 00:02:00")],      # the watermark moves between batches only
         [page(4, "a", "2024-01-01 00:00:05")],      # its window is closed
         [LAST],
     ]
@@ -153,6 +175,7 @@ def test_late_rows_are_dropped_and_rows_within_the_delay_count(spark, rows, fold
     )
     assert rows(got.where("stt < '2029'"), "stt", "n") == [
         ("2024-01-01 00:00:00", 1), ("2024-01-01 00:00:10", 1), ("2024-01-01 00:01:00", 1),
+        ("2024-01-01 00:02:00", 1),
     ]
 
 
@@ -186,7 +209,9 @@ def test_keep_latest_waits_then_emits_the_newest(spark, rows, folder):
     )
     stream = feed(spark, folder, [tuple(r) for r in versions.collect()], schema=VERSION)
     latest = stateful.keep_latest(stream, "id", "version", delay_ms=0)
-    assert rows(run(spark, folder, latest), "id", "what") == [("1", "new"), ("2", "only")]
+    os.makedirs(f"{folder}/out")
+    got = run_until(spark, folder, latest, 2)
+    assert rows(got, "id", "what") == [("1", "new"), ("2", "only")]
 
 
 DETAIL = (
@@ -238,8 +263,11 @@ def test_order_summaries(spark, rows, folder, monkeypatch, summary):
     }[summary]
     batch = order_rows(spark)
     data = [tuple(r) for r in batch.collect()]
-    got = run(spark, folder, build(feed(spark, folder, data[:5], data[5:], schema=DETAIL)))
-    assert rows(closed(got)) == rows(closed(build(batch)))
+    stream = build(feed(spark, folder, data[:5], data[5:], schema=DETAIL))
+    want = rows(closed(build(batch)))
+    os.makedirs(f"{folder}/out")
+    got = run_until(spark, folder, stream, len(want))
+    assert rows(closed(got)) == want
 
 
 def order_changes():
