@@ -16,15 +16,16 @@ from millrace.codes import (
     COUPON_GOT,
     COUPON_IN_ORDER,
     DEFAULT_DATABASE,
+    DELETE,
     INSERT,
     ORDER_CANCELLED,
     ORDER_REFUND_ASKED,
     ORDER_REFUNDED,
     PAYMENT_PAID,
     REFUND_DONE,
+    TIME_FORMAT,
     UPDATE,
 )
-from millrace.functions.times import ymd_hms
 from millrace.operators.dedup import dedup_latest
 
 # --- fixed values: the sample dictionary ------------------------------------
@@ -190,50 +191,45 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with user, province, status history."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return o.join(c, o.o_custkey == c.c_custkey).select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("c_nationkey").alias("province_id"),
-        F.col("o_totalprice").cast("decimal(16,2)").alias("total_amount"),
-        F.timestamp_seconds(
-            F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86400
-        ).alias("create_time"),
-        st.alias("st"),
-        F.when(st == "O", "1001")
-        .when((st == "F") & (pr == "1-URGENT"), ORDER_CANCELLED)
-        .when((st == "F") & (pr == "2-HIGH"), ORDER_REFUND_ASKED)
-        .when((st == "F") & (pr == "3-MEDIUM"), ORDER_REFUNDED)
-        .otherwise("1002")
-        .alias("new_status"),
-        F.when(pr != "5-LOW", "1001").alias("old_status"),
+    return o.join(c, o.o_custkey == c.c_custkey).selectExpr(
+        "o_orderkey AS id",
+        "o_custkey AS user_id",
+        "c_nationkey AS province_id",
+        "CAST(o_totalprice AS DECIMAL(16,2)) AS total_amount",
+        "timestamp_seconds(unix_seconds(CAST(o_orderdate AS TIMESTAMP)) + o_orderkey % 86400)"
+        " AS create_time",
+        "o_orderstatus AS st",
+        f"""CASE WHEN o_orderstatus = 'O' THEN '1001'
+            WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN '{ORDER_CANCELLED}'
+            WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN '{ORDER_REFUND_ASKED}'
+            WHEN o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM' THEN '{ORDER_REFUNDED}'
+            ELSE '1002' END AS new_status""",
+        "CASE WHEN o_orderpriority <> '5-LOW' THEN '1001' END AS old_status",
     )
 
 
 def positions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order positions; ids repeat, as in a replayed change feed."""
-    price = F.col("l_extendedprice").cast("decimal(16,2)")
-    rate = F.col("l_discount").cast("decimal(4,2)")
-    flag = F.col("l_returnflag")
-    money = "decimal(16,4)"
-    shipped = F.col("l_shipdate").cast("timestamp")
-    return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("sku_id"),
-        F.col("l_quantity").cast("int").alias("sku_num"),
-        price.alias("order_price"),
-        F.when(flag == "A", (price * rate).cast(money)).alias("split_activity_amount"),
-        F.when(flag == "R", (price * F.col("l_tax").cast("decimal(4,2)")).cast(money)).alias(
-            "split_coupon_amount"
-        ),
-        (price * (F.lit(1) - rate)).cast(money).alias("split_total_amount"),
-        _text(2401 + F.col("l_suppkey") % 4).alias("source_type"),
-        flag.alias("rf"),
-        shipped.alias("row_op_ts"),
-        F.timestamp_seconds(F.unix_seconds(shipped) + F.col("l_orderkey") % 86400).alias(
-            "create_time"
-        ),
+    price = "CAST(l_extendedprice AS DECIMAL(16,2))"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS id",
+        "l_orderkey AS order_id",
+        "l_partkey AS sku_id",
+        "CAST(l_quantity AS INT) AS sku_num",
+        f"{price} AS order_price",
+        f"""CASE WHEN l_returnflag = 'A' THEN
+            CAST({price} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(16,4)) END
+            AS split_activity_amount""",
+        f"""CASE WHEN l_returnflag = 'R' THEN
+            CAST({price} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(16,4)) END
+            AS split_coupon_amount""",
+        f"""CAST({price} * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(16,4))
+            AS split_total_amount""",
+        "CAST(2401 + l_suppkey % 4 AS STRING) AS source_type",
+        "l_returnflag AS rf",
+        "CAST(l_shipdate AS TIMESTAMP) AS row_op_ts",
+        "timestamp_seconds(unix_seconds(CAST(l_shipdate AS TIMESTAMP)) + l_orderkey % 86400)"
+        " AS create_time",
         "l_suppkey", "l_linestatus", "l_tax", "l_discount",
     )
 
@@ -251,234 +247,230 @@ _POSITION_TEXT = (
 
 def order_detail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-detail fact rows as text, with repeated ids."""
-    o = order_info(spark, sf_dir).select(
-        F.col("id").alias("_order"), _text(F.col("user_id")).alias("user_id"),
-        _text(F.col("province_id")).alias("province_id"),
+    o = order_info(spark, sf_dir).selectExpr(
+        "id AS _order", "CAST(user_id AS STRING) AS user_id",
+        "CAST(province_id AS STRING) AS province_id",
     )
     p = positions_raw(spark, sf_dir)
-    return p.join(o, p.order_id == o["_order"]).select(
-        *[_text(F.col(c)).alias(c) for c in _POSITION_TEXT],
-        F.concat(F.lit("sku_"), _text(F.col("sku_id"))).alias("sku_name"),
+    return p.join(o, p.order_id == o["_order"]).selectExpr(
+        *[f"CAST({c} AS STRING) AS {c}" for c in _POSITION_TEXT],
+        "concat('sku_', sku_id) AS sku_name",
         "user_id", "province_id",
-        F.when(F.col("rf") == "A", _text(F.col("id") % 10)).alias("activity_id"),
-        F.when(F.col("rf") == "A", _text(F.col("id") % 20)).alias("activity_rule_id"),
-        F.when(F.col("rf") == "R", _text(F.col("id") % 7)).alias("coupon_id"),
-        ymd_hms(F.col("create_time")).alias("create_time"),
-        _text(F.col("l_suppkey")).alias("source_id"),
-        F.col("source_type").alias("source_type_id"),
-        F.col("source_type").alias("source_type_name"),
-        "row_op_ts",
+        "CASE WHEN rf = 'A' THEN CAST(id % 10 AS STRING) END AS activity_id",
+        "CASE WHEN rf = 'A' THEN CAST(id % 20 AS STRING) END AS activity_rule_id",
+        "CASE WHEN rf = 'R' THEN CAST(id % 7 AS STRING) END AS coupon_id",
+        f"{_text_of('create_time')} AS create_time",
+        "CAST(l_suppkey AS STRING) AS source_id",
+        "source_type AS source_type_id", "source_type AS source_type_name", "row_op_ts",
     )
 
 
 # --- change records ---------------------------------------------------------
 
 
+def _text_of(time: str) -> str:
+    return f"date_format({time}, '{TIME_FORMAT}')"
+
+
+def _later(time: str, seconds: int) -> str:
+    return f"timestamp_seconds(unix_seconds({time}) + {seconds})"
+
+
 def _change(
     rows: DataFrame,
     name: str,
     kind: str,
-    time: Column,
-    number: Column,
-    data: Mapping[str, Column],
-    old: Mapping[str, Column] | None = None,
+    time: str,
+    number: str,
+    data: Mapping[str, str],
+    old: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    def as_map(values: Mapping[str, Column]) -> Column:
-        return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), _text(v))])
+    """Envelopes around ``rows``; all values are SQL expressions."""
 
-    return rows.select(
-        F.lit(DEFAULT_DATABASE).alias("database"),
-        F.lit(name).alias("table"),
-        F.lit(kind).alias("type"),
-        F.unix_seconds(time).alias("ts"),
-        number.alias("xid"),
-        as_map(data).alias("data"),
-        (as_map(old) if old else F.lit(None).cast("map<string,string>")).alias("old"),
+    def as_map(values: Mapping[str, str]) -> str:
+        pairs = ", ".join(f"'{k}', CAST({v} AS STRING)" for k, v in values.items())
+        return f"map({pairs})"
+
+    return rows.selectExpr(
+        f"'{DEFAULT_DATABASE}' AS database",
+        f"'{name}' AS table",
+        f"'{kind}' AS type",
+        f"unix_seconds({time}) AS ts",
+        f"CAST({number} AS BIGINT) AS xid",
+        f"{as_map(data)} AS data",
+        (as_map(old) if old else "CAST(NULL AS MAP<STRING, STRING>)") + " AS old",
     )
 
 
 def _order_info_changes(spark, sf_dir):
     rows = order_info(spark, sf_dir)
-    columns = {c: F.col(c) for c in ("id", "user_id", "province_id", "total_amount")}
-    created = F.col("create_time")
-    later = F.timestamp_seconds(F.unix_seconds(created) + 600)
-    columns["create_time"] = ymd_hms(created)
+    columns = {c: c for c in ("id", "user_id", "province_id", "total_amount")}
+    columns["create_time"] = _text_of("create_time")
+    later = _later("create_time", 600)
     first = _change(
-        rows, "order_info", INSERT, created, F.col("id") * 2,
-        {**columns, "order_status": F.lit("1001")},
+        rows, "order_info", INSERT, "create_time", "id * 2",
+        {**columns, "order_status": "'1001'"},
     )
     then = _change(
-        rows.where(F.col("st") != "O"), "order_info", UPDATE, later, F.col("id") * 2 + 1,
-        {**columns, "order_status": F.col("new_status"), "operate_time": ymd_hms(later)},
-        {"order_status": F.col("old_status")},
+        rows.where("st <> 'O'"), "order_info", UPDATE, later, "id * 2 + 1",
+        {**columns, "order_status": "new_status", "operate_time": _text_of(later)},
+        {"order_status": "old_status"},
     )
     return first.unionByName(then)
 
 
 def _order_detail_changes(spark, sf_dir):
     return _change(
-        positions(spark, sf_dir), "order_detail", INSERT, F.col("create_time"), F.col("id"),
+        positions(spark, sf_dir), "order_detail", INSERT, "create_time", "id",
         {
-            **{c: F.col(c) for c in _POSITION_TEXT},
-            "sku_name": F.concat(F.lit("sku_"), _text(F.col("sku_id"))),
-            "create_time": ymd_hms(F.col("create_time")),
-            "source_id": F.col("l_suppkey"),
+            **{c: c for c in _POSITION_TEXT},
+            "sku_name": "concat('sku_', sku_id)",
+            "create_time": _text_of("create_time"),
+            "source_id": "l_suppkey",
         },
     )
 
 
 def _reduction_changes(spark, sf_dir, name, flag, columns):
     return _change(
-        positions(spark, sf_dir).where(F.col("rf") == flag), name, INSERT,
-        F.col("create_time"), F.col("id"),
-        {
-            "id": F.col("id"), "order_id": F.col("order_id"), "order_detail_id": F.col("id"),
-            "sku_id": F.col("sku_id"), **columns,
-        },
+        positions(spark, sf_dir).where(f"rf = '{flag}'"), name, INSERT, "create_time", "id",
+        {"id": "id", "order_id": "order_id", "order_detail_id": "id", "sku_id": "sku_id", **columns},
     )
 
 
 def _activity_changes(spark, sf_dir):
     return _reduction_changes(
         spark, sf_dir, "order_detail_activity", "A",
-        {"activity_id": F.col("id") % 10, "activity_rule_id": F.col("id") % 20},
+        {"activity_id": "id % 10", "activity_rule_id": "id % 20"},
     )
 
 
 def _coupon_changes(spark, sf_dir):
     return _reduction_changes(
         spark, sf_dir, "order_detail_coupon", "R",
-        {"coupon_id": F.col("id") % 7, "coupon_use_id": F.col("id") % 70},
+        {"coupon_id": "id % 7", "coupon_use_id": "id % 70"},
     )
 
 
 def _payment_changes(spark, sf_dir):
-    paid_at = F.timestamp_seconds(F.unix_seconds("create_time") + 600)
+    paid_at = _later("create_time", 600)
     return _change(
-        order_info(spark, sf_dir).where(F.col("st").isin("P", "O")), "payment_info", UPDATE,
-        paid_at, F.col("id"),
+        order_info(spark, sf_dir).where("st IN ('P', 'O')"), "payment_info", UPDATE, paid_at, "id",
         {
-            "order_id": F.col("id"), "user_id": F.col("user_id"),
-            "payment_type": 1101 + F.col("id") % 3, "callback_time": ymd_hms(paid_at),
-            "payment_status": F.when(F.col("st") == "P", PAYMENT_PAID).otherwise("1601"),
+            "order_id": "id", "user_id": "user_id", "payment_type": "1101 + id % 3",
+            "callback_time": _text_of(paid_at),
+            "payment_status": f"CASE WHEN st = 'P' THEN '{PAYMENT_PAID}' ELSE '1601' END",
         },
-        {"payment_status": F.lit("1601")},
+        {"payment_status": "'1601'"},
     )
 
 
 def _refunded_positions(spark, sf_dir, status):
     p = positions(spark, sf_dir)
-    o = order_info(spark, sf_dir).where(F.col("new_status") == status).select(
-        F.col("id").alias("_order"), "user_id", F.col("create_time").alias("order_time")
+    o = order_info(spark, sf_dir).where(f"new_status = '{status}'").selectExpr(
+        "id AS _order", "user_id", "create_time AS order_time"
     )
     return p.join(o, p.order_id == o["_order"])
 
 
 def _refund_info_changes(spark, sf_dir):
-    asked_at = F.col("order_time")
     columns = {
-        "id": F.col("id"), "user_id": F.col("user_id"), "order_id": F.col("order_id"),
-        "sku_id": F.col("sku_id"), "refund_type": 1501 + F.col("id") % 2,
-        "refund_num": F.col("sku_num"), "refund_amount": F.col("split_total_amount"),
-        "refund_reason_type": 1301 + F.col("id") % 3,
-        "refund_reason_txt": F.concat(F.lit("reason "), _text(F.col("id") % 10)),
-        "create_time": ymd_hms(asked_at),
+        "id": "id", "user_id": "user_id", "order_id": "order_id", "sku_id": "sku_id",
+        "refund_type": "1501 + id % 2", "refund_num": "sku_num",
+        "refund_amount": "split_total_amount", "refund_reason_type": "1301 + id % 3",
+        "refund_reason_txt": "concat('reason ', id % 10)", "create_time": _text_of("order_time"),
     }
     asked = _change(
         _refunded_positions(spark, sf_dir, ORDER_REFUND_ASKED), "order_refund_info", INSERT,
-        asked_at, F.col("id"), {**columns, "refund_status": F.lit("0701")},
+        "order_time", "id", {**columns, "refund_status": "'0701'"},
     )
     done = _change(
         _refunded_positions(spark, sf_dir, ORDER_REFUNDED), "order_refund_info", UPDATE,
-        asked_at, F.col("id"), {**columns, "refund_status": F.lit(REFUND_DONE)},
-        {"refund_status": F.lit("0701")},
+        "order_time", "id", {**columns, "refund_status": f"'{REFUND_DONE}'"},
+        {"refund_status": "'0701'"},
     )
     return asked.unionByName(done)
 
 
 def _refund_payment_changes(spark, sf_dir):
-    done_at = F.timestamp_seconds(F.unix_seconds("order_time") + 600)
+    done_at = _later("order_time", 600)
     return _change(
-        _refunded_positions(spark, sf_dir, ORDER_REFUNDED), "refund_payment", UPDATE,
-        done_at, F.col("id"),
+        _refunded_positions(spark, sf_dir, ORDER_REFUNDED), "refund_payment", UPDATE, done_at, "id",
         {
-            "id": F.col("id"), "out_trade_no": F.concat(F.lit("out_"), _text(F.col("id"))),
-            "order_id": F.col("order_id"), "sku_id": F.col("sku_id"),
-            "payment_type": 1101 + F.col("id") % 3,
-            "trade_no": F.concat(F.lit("trade_"), _text(F.col("id"))),
-            "total_amount": F.col("split_total_amount"), "subject": F.lit("refund"),
-            "refund_status": F.lit(REFUND_DONE), "create_time": ymd_hms(F.col("order_time")),
-            "callback_time": ymd_hms(done_at), "callback_content": F.lit("ok"),
+            "id": "id", "out_trade_no": "concat('out_', id)", "order_id": "order_id",
+            "sku_id": "sku_id", "payment_type": "1101 + id % 3", "trade_no": "concat('trade_', id)",
+            "total_amount": "split_total_amount", "subject": "'refund'",
+            "refund_status": f"'{REFUND_DONE}'", "create_time": _text_of("order_time"),
+            "callback_time": _text_of(done_at), "callback_content": "'ok'",
         },
-        {"refund_status": F.lit("0701")},
+        {"refund_status": "'0701'"},
     )
 
 
 def _cart_changes(spark, sf_dir):
-    rows = events(spark, sf_dir).where(F.col("event_type") == "click")
-    eid = F.col("event_id")
+    rows = events(spark, sf_dir).where("event_type = 'click'")
     columns = {
-        "id": eid, "user_id": F.col("user_id"), "sku_id": eid % 200,
-        "cart_price": F.col("value").cast("decimal(16,2)"), "sku_num": eid % 7 + 1,
-        "sku_name": F.concat(F.lit("sku_"), _text(eid % 200)), "is_checked": F.lit("1"),
-        "create_time": ymd_hms(F.col("ts")), "is_ordered": F.lit("0"),
-        "source_type": 2401 + eid % 4, "source_id": eid % 50,
+        "id": "event_id", "user_id": "user_id", "sku_id": "event_id % 200",
+        "cart_price": "CAST(value AS DECIMAL(16,2))", "sku_num": "event_id % 7 + 1",
+        "sku_name": "concat('sku_', event_id % 200)", "is_checked": "'1'",
+        "create_time": _text_of("ts"), "is_ordered": "'0'",
+        "source_type": "2401 + event_id % 4", "source_id": "event_id % 50",
     }
-    touched = F.timestamp_seconds(F.unix_seconds("ts") + 1800)
-    added = _change(rows.where(eid % 2 == 0), "cart_info", INSERT, F.col("ts"), eid, columns)
+    touched = _later("ts", 1800)
+    added = _change(
+        rows.where("event_id % 2 = 0"), "cart_info", INSERT, "ts", "event_id", columns
+    )
     raised = _change(
-        rows.where(eid % 2 == 1), "cart_info", UPDATE, touched, eid,
-        {**columns, "operate_time": ymd_hms(touched)},
-        {"sku_num": F.when(eid % 11 != 0, eid % 5 + 1)},
+        rows.where("event_id % 2 = 1"), "cart_info", UPDATE, touched, "event_id",
+        {**columns, "operate_time": _text_of(touched)},
+        {"sku_num": "CASE WHEN event_id % 11 <> 0 THEN event_id % 5 + 1 END"},
     )
     return added.unionByName(raised)
 
 
 def _coupon_use_changes(spark, sf_dir):
-    rows = events(spark, sf_dir).where(F.col("event_type") == "purchase")
-    eid, at = F.col("event_id"), ymd_hms(F.col("ts"))
-    columns = {"id": eid, "coupon_id": eid % 20, "user_id": F.col("user_id")}
-    ordered = {**columns, "order_id": eid * 3}
+    rows = events(spark, sf_dir).where("event_type = 'purchase'")
+    at = _text_of("ts")
+    columns = {"id": "event_id", "coupon_id": "event_id % 20", "user_id": "user_id"}
+    ordered = {**columns, "order_id": "event_id * 3"}
     got = _change(
-        rows.where(eid % 3 == 0), "coupon_use", INSERT, F.col("ts"), eid,
-        {**columns, "coupon_status": F.lit(COUPON_GOT), "get_time": at},
+        rows.where("event_id % 3 = 0"), "coupon_use", INSERT, "ts", "event_id",
+        {**columns, "coupon_status": f"'{COUPON_GOT}'", "get_time": at},
     )
     used = _change(
-        rows.where(eid % 3 == 1), "coupon_use", UPDATE, F.col("ts"), eid,
-        {**ordered, "coupon_status": F.lit(COUPON_IN_ORDER), "using_time": at},
-        {"coupon_status": F.when(eid % 5 == 0, "1400").otherwise(COUPON_GOT)},
+        rows.where("event_id % 3 = 1"), "coupon_use", UPDATE, "ts", "event_id",
+        {**ordered, "coupon_status": f"'{COUPON_IN_ORDER}'", "using_time": at},
+        {"coupon_status": f"CASE WHEN event_id % 5 = 0 THEN '1400' ELSE '{COUPON_GOT}' END"},
     )
     paid = _change(
-        rows.where(eid % 3 == 2), "coupon_use", UPDATE, F.col("ts"), eid,
-        {**ordered, "coupon_status": F.lit("1403"), "used_time": at},
-        {"coupon_status": F.lit(COUPON_IN_ORDER)},
+        rows.where("event_id % 3 = 2"), "coupon_use", UPDATE, "ts", "event_id",
+        {**ordered, "coupon_status": "'1403'", "used_time": at},
+        {"coupon_status": f"'{COUPON_IN_ORDER}'"},
     )
     return got.unionByName(used).unionByName(paid)
 
 
 def _event_inserts(name, event_type, columns):
     def build(spark, sf_dir):
-        rows = events(spark, sf_dir).where(F.col("event_type") == event_type)
+        rows = events(spark, sf_dir).where(f"event_type = '{event_type}'")
         return _change(
-            rows, name, INSERT, F.col("ts"), F.col("event_id"),
-            {**columns(F.col("event_id")), "create_time": ymd_hms(F.col("ts"))},
+            rows, name, INSERT, "ts", "event_id", {**columns, "create_time": _text_of("ts")}
         )
 
     return build
 
 
 _favor_changes = _event_inserts(
-    "favor_info", "view",
-    lambda eid: {"id": eid, "user_id": F.col("user_id"), "sku_id": eid % 200},
+    "favor_info", "view", {"id": "event_id", "user_id": "user_id", "sku_id": "event_id % 200"}
 )
 _comment_changes = _event_inserts(
     "comment_info", "error",
-    lambda eid: {
-        "id": eid, "user_id": F.col("user_id"), "sku_id": eid % 200, "order_id": eid * 3,
-        "appraise": 1201 + eid % 4,
+    {
+        "id": "event_id", "user_id": "user_id", "sku_id": "event_id % 200",
+        "order_id": "event_id * 3", "appraise": "1201 + event_id % 4",
     },
 )
-_user_changes = _event_inserts("user_info", "signup", lambda eid: {"id": eid})
+_user_changes = _event_inserts("user_info", "signup", {"id": "event_id"})
 
 
 # --- dimensions -------------------------------------------------------------
@@ -536,47 +528,44 @@ def category1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LOADED = "timestamp_seconds(1600000000)"
+
+
 def _province_changes(spark, sf_dir):
     return _change(
-        table(spark, sf_dir, "nation"), "base_province", BOOTSTRAP_INSERT,
-        F.timestamp_seconds(F.lit(1_600_000_000)), F.col("n_nationkey").cast("bigint"),
+        table(spark, sf_dir, "nation"), "base_province", BOOTSTRAP_INSERT, _LOADED, "n_nationkey",
         {
-            "id": F.col("n_nationkey"), "name": F.col("n_name"),
-            "region_id": F.col("n_regionkey"), "area_code": F.col("n_nationkey") + 100,
+            "id": "n_nationkey", "name": "n_name", "region_id": "n_regionkey",
+            "area_code": "n_nationkey + 100",
         },
     )
 
 
 def _sku_changes(spark, sf_dir):
     rows = _part(spark, sf_dir)
+    price = "CAST(p_retailprice AS DECIMAL(16,2))"
     columns = {
-        "id": F.col("p_partkey"), "sku_name": F.col("p_name"), "tm_id": F.col("p_brand"),
-        "category3_id": F.col("p_type"), "price": F.col("p_retailprice").cast("decimal(16,2)"),
-        "weight": F.col("p_size"),
+        "id": "p_partkey", "sku_name": "p_name", "tm_id": "p_brand", "category3_id": "p_type",
+        "price": price, "weight": "p_size",
     }
-    loaded = F.timestamp_seconds(F.lit(1_600_000_000))
-    first = _change(rows, "sku_info", BOOTSTRAP_INSERT, loaded, F.col("p_partkey"), columns)
+    first = _change(rows, "sku_info", BOOTSTRAP_INSERT, _LOADED, "p_partkey", columns)
     repriced = _change(
-        rows.where(F.col("p_size") > 25), "sku_info", UPDATE,
-        F.timestamp_seconds(F.lit(1_600_000_000) + F.col("p_size")), F.col("p_partkey"),
-        {**columns, "price": (F.col("p_retailprice") * 2).cast("decimal(16,2)")},
-        {"price": F.col("p_retailprice").cast("decimal(16,2)")},
+        rows.where("p_size > 25"), "sku_info", UPDATE,
+        "timestamp_seconds(1600000000 + p_size)", "p_partkey",
+        {**columns, "price": "CAST(p_retailprice * 2 AS DECIMAL(16,2))"}, {"price": price},
     )
     removed = _change(
-        rows.where(F.col("p_size") > 45), "sku_info", "delete",
-        F.timestamp_seconds(F.lit(1_600_001_000)), F.col("p_partkey"), columns,
+        rows.where("p_size > 45"), "sku_info", DELETE, _later(_LOADED, 1000), "p_partkey", columns
     )
     return first.unionByName(repriced).unionByName(removed)
 
 
 def _customer_changes(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer")
     return _change(
-        rows, "customer_info", INSERT, F.timestamp_seconds(F.lit(1_600_000_000)),
-        F.col("c_custkey"),
+        table(spark, sf_dir, "customer"), "customer_info", INSERT, _LOADED, "c_custkey",
         {
-            "id": F.col("c_custkey"), "name": F.col("c_name"),
-            "province_id": F.col("c_nationkey"), "segment": F.col("c_mktsegment"),
+            "id": "c_custkey", "name": "c_name", "province_id": "c_nationkey",
+            "segment": "c_mktsegment",
         },
     )
 
@@ -584,9 +573,8 @@ def _customer_changes(spark, sf_dir):
 def _supplier_changes(spark, sf_dir):
     """A table no route exists for."""
     return _change(
-        table(spark, sf_dir, "supplier"), "supplier_info", INSERT,
-        F.timestamp_seconds(F.lit(1_600_000_000)), F.col("s_suppkey"),
-        {"id": F.col("s_suppkey"), "name": F.col("s_name")},
+        table(spark, sf_dir, "supplier"), "supplier_info", INSERT, _LOADED, "s_suppkey",
+        {"id": "s_suppkey", "name": "s_name"},
     )
 
 
