@@ -26,13 +26,26 @@ START_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
-def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings above; ``conf`` overrides them (``a_b`` stays as given)."""
+def build_session(
+    app: str = "millrace",
+    master: str | None = None,
+    partitions: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session with the settings above; ``conf`` overrides them.
+
+    ``partitions`` is the number of shuffle partitions: on a large cluster a few per
+    core, so that each fits in memory.  Adaptive execution merges small ones in
+    batch; for streams with state the number is fixed by their first start.
+    """
+    if partitions:
+        conf.setdefault("spark.sql.shuffle.partitions", str(partitions))
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

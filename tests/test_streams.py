@@ -402,3 +402,57 @@ def test_text_sink_reads_back(spark, rows, folder):
     again = readers.text_stream(spark, f"{folder}/out")
     assert again.isStreaming and again.columns == ["value"]
     assert cdc.CORRUPT not in back.columns
+
+
+def refund_changes():
+    at = ms("2024-01-01 10:00:00") // 1000
+    done, undone = {"refund_status": "0705"}, {"refund_status": "0701"}
+    out = [
+        change("order_info", "update", {"id": "o1", "user_id": "u", "province_id": "3",
+                                        "order_status": "1005"}, {"order_status": "1002"}, ts=at),
+        change("order_info", "update", {"id": "o2", "user_id": "u", "order_status": "1005"},
+               {"operate_time": "x"}, ts=at),  # the status did not change
+        change("order_info", "update", {"id": "o3", "user_id": "w", "province_id": "4",
+                                        "order_status": "1006"}, {"order_status": "1005"}, ts=at),
+    ]
+    for n in ("1", "2"):
+        out.append(change("order_refund_info", "insert",
+                          {"id": n, "order_id": f"o{n}", "refund_type": "1501",
+                           "refund_reason_type": "1301"}, ts=at + 1))
+        # two goods of one order, both refunded
+        out.append(change("order_refund_info", "update",
+                          {"order_id": "o3", "sku_id": f"s{n}", "refund_num": n, **done}, undone, ts=at + 2))
+        out.append(change("refund_payment", "update",
+                          {"id": f"p{n}", "order_id": "o3", "sku_id": f"s{n}", "payment_type": "1101",
+                           **done}, undone, ts=at + 3))
+    return out
+
+
+REFUND_NAMES = {"c1501": "refund only", "c1301": "size", "c1101": "wallet"}
+
+
+def test_refund_joins_batch(spark, rows):
+    records, names = changes(spark, refund_changes()), dictionary(spark, **REFUND_NAMES)
+    assert rows(
+        trade_facts.order_refund(records, names), "id", "province_id", "type_dic_name", "reason_dic_name"
+    ) == [("1", "3", "refund only", "size")]
+    by_order = trade_facts.refund_detail(records, names)
+    assert rows(by_order, "id", "refund_num", "payment_name", "user_id") == [
+        ("p1", "1", "wallet", "w"), ("p1", "2", "wallet", "w"),
+        ("p2", "1", "wallet", "w"), ("p2", "2", "wallet", "w"),
+    ]
+    by_sku = trade_facts.refund_detail(records, names, by_sku=True)
+    assert rows(by_sku, "id", "refund_num") == [("p1", "1"), ("p2", "2")]
+
+
+@pytest.mark.parametrize("job", ["request", "detail"])
+def test_refund_joins_stream(spark, rows, folder, job):
+    names = dictionary(spark, **REFUND_NAMES)
+
+    def build(records):
+        if job == "request":
+            return trade_facts.order_refund(records, names)
+        return trade_facts.refund_detail(records, names, by_sku=True)
+
+    got = run(spark, folder, build(feed(spark, folder, refund_changes(), schema=schemas.CDC)))
+    assert rows(got) == rows(build(changes(spark, refund_changes())))
