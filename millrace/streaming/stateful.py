@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from millrace import codes
 from millrace.functions.times import millis_to_time
 from millrace.operators.bounce import SLICE_FACTOR
 from millrace.operators.windows import with_event_time
+from millrace.streaming import processors
 from millrace.streaming.processors import (
     Bounces,
     FirstRow,
@@ -18,6 +20,9 @@ from millrace.streaming.processors import (
     VisitFlags,
 )
 
+# executors get the processors themselves and need not have this package installed
+cloudpickle.register_pickle_by_value(processors)
+
 #: Text form of rows in state; keeps microseconds.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
