@@ -456,3 +456,20 @@ def test_refund_joins_stream(spark, rows, folder, job):
 
     got = run(spark, folder, build(feed(spark, folder, refund_changes(), schema=schemas.CDC)))
     assert rows(got) == rows(build(changes(spark, refund_changes())))
+
+
+def test_payment_summary_stream(spark, rows, folder, monkeypatch):
+    real = stateful.keep_latest
+    monkeypatch.setattr(stateful, "keep_latest", lambda df, key, version: real(df, key, version, 0))
+    batch = order_rows(spark).select(
+        F.col("id").alias("order_detail_id"), "user_id",
+        F.col("create_time").alias("callback_time"), "row_op_ts",
+    )
+    data = [tuple(r) for r in batch.collect()]
+    stream = trade_summary.payment_window(
+        feed(spark, folder, data[:5], data[5:], schema=batch.schema)
+    )
+    want = rows(closed(trade_summary.payment_window(batch)))
+    os.makedirs(f"{folder}/out")
+    got = run_until(spark, folder, stream, len(want))
+    assert rows(closed(got)) == want
