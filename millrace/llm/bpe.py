@@ -16,7 +16,9 @@ complete UTF-8 keeps the machine at rest, any other one is fed byte by byte.
 from __future__ import annotations
 
 import base64
+import gc
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -27,12 +29,15 @@ from pyspark.sql import DataFrame
 from millrace.llm.common import add_columns
 
 #: Bounds of what one Python worker keeps: transducer states, fitting pairs, chunks of text.
-MAX_STATES, MAX_PAIRS, MAX_CHUNKS = 150_000, 400_000, 300_000
+MAX_STATES, MAX_PAIRS, MAX_CHUNKS = 150_000, 300_000, 200_000
 
 #: A space before white space or the end, after white space: chunks cut at single spaces
 #: would then not be where matches end.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
 
+#: Marks of one character that no other character joins in the split pattern.
+_MARKS = frozenset(".,;:!?|")
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a file with lines of a base64 token and its rank."""
@@ -144,29 +149,44 @@ class Transducer:
         return ok
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        arcs = []
+        arcs, tokens = [], []
+        next_, ends, fits = self.next, self.ends, self.fits_
         for pending, last, node in self.states[state]:
-            child = self.next[node].get(byte)
+            child = next_[node].get(byte)
             if child is None:
                 continue
-            if self.next[child]:
+            if next_[child]:
                 arcs.append((pending, last, child))
-            token = self.ends[child]
-            if token is not None and self._made(token) and (last < 0 or self._fits(last, token)):
-                arcs.append(((*pending, token), token, 0))
+                tokens.append(pending)
+            token = ends[child]
+            if token is None:
+                continue
+            if last < 0:
+                ok = self._made(token)
+            else:
+                ok = fits.get((last, token))
+                if ok is None:
+                    ok = self._made(token) and self._fits(last, token)
+            if ok:
+                pending = (*pending, token)
+                arcs.append((pending, token, 0))
+                tokens.append(pending)
+        # what the least and the greatest of them share at the beginning, all share
+        agreed = 0
         if len(arcs) == 1:
-            agreed = len(arcs[0][0])
-        else:
-            first = min((a[0] for a in arcs), key=len)
-            agreed = 0
-            while agreed < len(first) and all(a[0][agreed] == first[agreed] for a in arcs):
+            agreed = len(tokens[0])
+        elif () not in tokens:
+            for x, y in zip(min(tokens), max(tokens), strict=False):
+                if x != y:
+                    break
                 agreed += 1
-        out = arcs[0][0][:agreed]
+        out: tuple[int, ...] = ()
         if agreed:
+            out = tokens[0][:agreed]
             arcs = [(p[agreed:], last, node) for p, last, node in arcs]
         target = self._state(tuple(arcs))
-        self.moves[state][byte] = (target, out)
-        return target, out
+        self.moves[state][byte] = move = (target, out)
+        return move
 
     def encode(self, piece: bytes) -> list[int]:
         """Tokens of one match; a match that is a token itself is that token."""
@@ -206,12 +226,31 @@ class Encoder:
         self.max_chunks = max_chunks
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        # with this pattern a run of letters is one match, and so is a mark after it
+        self.letters = r" ?\p{L}+" in pattern and r" ?[^\s\p{L}\p{N}]+" in pattern
+
+    def _match(self, match: str) -> bytes:
+        ids = self.words.get(match)
+        if ids is None:
+            ids = array("I", self.transducer.encode(match.encode())).tobytes()
+            if len(match) < 64:
+                if len(self.words) > self.max_chunks:
+                    self.words.clear()
+                self.words[match] = ids
+        return ids
 
     def _plain(self, text: str) -> bytes:
-        out: list[int] = []
-        for match in self.pattern.findall(text):
-            out += self.transducer.encode(match.encode())
-        return np.array(out, dtype="<u4").tobytes()
+        return b"".join(map(self._match, self.pattern.findall(text)))
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk with the space before it."""
+        if self.letters:
+            if chunk.isalpha():
+                return self._match(" " + chunk)
+            if chunk[-1:] in _MARKS and chunk[:-1].isalpha():
+                return self._match(" " + chunk[:-1]) + self._match(chunk[-1])
+        return self._plain(" " + chunk)
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -228,7 +267,7 @@ class Encoder:
         for chunk in rest:
             ids = later.get(chunk)
             if ids is None:
-                ids = self._plain(" " + chunk)
+                ids = self._chunk(chunk)
                 if len(chunk) < 64:
                     if len(later) > self.max_chunks:
                         later.clear()
@@ -311,6 +350,18 @@ class Utf8Machine:
             yield out
 
 
+def _decoding_tables(path: str) -> tuple:
+    """The machine, and for each id where its bytes begin, how many, and whether they are whole."""
+    tokens = {rank: token for token, rank in read_ranks(path).items()}
+    machine = Utf8Machine(tokens)
+    begins, sizes = np.zeros(max(tokens) + 1, np.int64), np.zeros(max(tokens) + 1, np.int64)
+    whole, at = np.zeros(max(tokens) + 1, bool), 0
+    for rank, token in tokens.items():
+        begins[rank], sizes[rank], whole[rank] = at, len(token), rank in machine.whole
+        at += len(token)
+    return machine, begins, sizes, np.frombuffer(b"".join(tokens.values()), np.uint8), whole
+
+
 _KEPT: dict[tuple, object] = {}
 
 
@@ -333,7 +384,11 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
     def work(columns: list[pa.Array]) -> list[pa.Array]:
         encoder = _kept((path, pattern), lambda: Encoder(path, pattern))
-        return [pa.array([encoder.encode(t.as_py() or "") for t in columns[0]], pa.binary())]
+        gc.disable()  # the tables hold no cycles, and going through them again and again is slow
+        try:
+            return [pa.array([encoder.encode(t.as_py() or "") for t in columns[0]], pa.binary())]
+        finally:
+            gc.enable()
 
     return add_columns(df, [text], f"`{ids}` binary", work)
 
@@ -348,16 +403,21 @@ def decode(
     """
 
     def work(columns: list[pa.Array]) -> list[pa.Array]:
-        machine = _kept((path, "decode"), lambda: Utf8Machine({r: t for t, r in read_ranks(path).items()}))
-        tokens, whole = machine.tokens, machine.whole
+        machine, begins, sizes, data, whole = _kept((path, "decode"), lambda: _decoding_tables(path))
         out, good = [], []
         for packed in columns[0]:
-            found = np.frombuffer(packed.as_py() or b"", dtype="<u4").tolist()
-            out.append(b"".join([tokens[i] for i in found]))
-            if all(map(whole.__contains__, found)):
+            found = np.frombuffer(packed.as_py() or b"", dtype="<u4").astype(np.int64)
+            if len(found) and (found.max() >= len(sizes) or not sizes[found].all()):
+                raise ValueError("an id without a token")
+            size = sizes[found]
+            ends = np.cumsum(size)
+            at = np.repeat(begins[found] - ends + size, size)
+            at += np.arange(len(at))
+            out.append(data[at].tobytes())
+            if whole[found].all():
                 good.append(True)
             else:
-                machine.decode(found)
+                machine.decode(found.tolist())
                 good.append(machine.valid)
         return [pa.array(out, pa.binary()), pa.array(good, pa.bool_())]
 

@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, minhash, packing
-from millrace.llm.common import table
+from millrace.llm import bpe, langid, licenses, lm, minhash, packing, pii, topk, toxicity, vectors
+from millrace.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The key of pseudonyms in the registered queries; a real run passes its own secret.
+PII_KEY = "example key"
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -35,12 +38,51 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line or whole text that is a licence notice, with its best template's coefficient."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs).select("doc_id", F.explode("licenses").alias("m"))
+    return found.select("doc_id", "m.line", "m.license", F.round("m.dice", 6).alias("dice"))
+
+
+ORACLE["op2_license_scan"] = licenses.oracle()
+
+
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size, smallest reachable document and whether it is kept, for every document."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest inner products of every hundredth vector with all others."""
+    vectors_ = topk.integers(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1024)
+    return topk.top_k(vectors_.where("id % 100 = 0"), vectors_, 10)
+
+
+ORACLE["op4_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10
+"""
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from four folds of five."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs)
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their place in sequences of 2048 tokens."""
@@ -50,3 +92,39 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("piece").alias("ids_crc32"), "doc_tokens"
     )
     return packing.pack(pieces, ["doc_id", "start", "ids_crc32"], docs.count())
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document, learnt from labels of four folds of five."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op8_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of links, smallest reachable vector and whether it is kept, for every vector."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal numbers, dates and addresses replaced by pseudonyms."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY).select("doc_id", "text", "n_replaced")
+
+
+@query
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document under the counts of all documents."""
+    found = lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", F.round("log10_score", 4).alias("log10_score"),
+        F.round("log10_per_word", 4).alias("log10_per_word"),
+    )
+
+
+ORACLE["op10_lm_score"] = lm.oracle()
