@@ -87,7 +87,25 @@ def _keys(sets: DataFrame) -> DataFrame:
             number = chunk * 16 + out
             keys.append(F.xxhash64(F.lit(number), *(p for p, n in zip(parts, (out, size - out - 1), strict=True) if n)))
         base += size
-    return sets.select("rep", F.explode(F.array(*keys)).alias("key"))
+    return sets.select("rep", F.posexplode(F.array(*keys)).alias("slot", "key"))
+
+
+#: Chunk of each symbol, first slot of each chunk.
+_CHUNK_OF = np.repeat(np.arange(len(CHUNKS)), CHUNKS)
+_FIRST_SLOT = np.concatenate([[0], np.cumsum(CHUNKS)[:-1]])
+
+
+def _first_slot(differ: np.ndarray) -> np.ndarray:
+    """The first key each pair shares, from the symbols in which it differs (pairs x symbols).
+
+    A pair is compared under this key only, however many it shares.  Within the distance
+    there always is one.
+    """
+    wrong = np.add.reduceat(differ, _FIRST_SLOT, axis=1, dtype=np.int64)
+    chunk = (wrong <= 1).argmax(axis=1)
+    inside = differ & (_CHUNK_OF[None, :] == chunk[:, None])
+    # the symbol left out is the one that differs, or the chunk's first one
+    return np.where(inside.any(axis=1), inside.argmax(axis=1), _FIRST_SLOT[chunk])
 
 
 def _distance(a: str, b: str):
@@ -99,7 +117,10 @@ def _distance(a: str, b: str):
 
 
 def _near_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell; gives those with a partner in another component within the distance."""
+    """Rows sorted by cell; gives those with a partner in another component within the distance.
+
+    A pair counts under the first key it shares, so it is found in one cell only.
+    """
     held: list[pa.RecordBatch] = []
 
     def settle(rows: pa.Table) -> pa.RecordBatch | None:
@@ -107,6 +128,7 @@ def _near_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         comp = rows.column("comp").to_numpy()
         other = rows.column("other").to_numpy(zero_copy_only=False)
         cross = rows.column("cross").to_numpy(zero_copy_only=False)
+        slot = rows.column("slot").to_numpy()
         data = np.frombuffer(b"".join(rows.column("sig").to_pylist()), "<u2").reshape(len(cell), SYMBOLS)
         starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
         sizes = np.diff(np.append(starts, len(cell)))
@@ -124,7 +146,9 @@ def _near_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 right = left + 1 + np.arange(len(left)) - first
                 keep = (comp[left] != comp[right]) & (~cross[left] | (other[left] != other[right]))
                 left, right = left[keep], right[keep]
-                near = (data[left] != data[right]).sum(axis=1) <= MAX_DISTANCE
+                differ = data[left] != data[right]
+                near = np.flatnonzero(differ.sum(axis=1) <= MAX_DISTANCE)
+                near = near[_first_slot(differ[near]) == slot[left[near]]]
                 hit[left[near]] = True
                 hit[right[near]] = True
             lo = hi
@@ -262,12 +286,12 @@ def near_duplicates(
     places = F.when(F.col("other"), F.when(F.col("nd") > 0, F.concat(down, among)).otherwise(among)).otherwise(up)
     cells = (
         spread.withColumn("place", F.explode(places))
-        .select("rep", "comp", "other", "place.cross", F.xxhash64("key", "place.cross", "place.i", "place.j").alias("cell"))
+        .select("rep", "comp", "other", "slot", "place.cross", F.xxhash64("key", "place.cross", "place.i", "place.j").alias("cell"))
     )
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = cut(
         cells.join(sets.select("rep", "sig"), "rep")
-        .select("cell", "rep", "comp", "other", "cross", "sig")
+        .select("cell", "rep", "comp", "other", "slot", "cross", "sig")
         .repartition(partitions, "cell").sortWithinPartitions("cell")
         .mapInArrow(_near_in_blocks, "cell long, rep long, comp long")
     )
