@@ -31,7 +31,7 @@ page_log AS (
 raw_log AS (
   SELECT *, '{"ar":"' || ar || '","ch":"' || ch || '","is_new":"' || is_new || '","mid":"' || mid
     || '","uid":"' || uid || '","vc":"' || vc || '"}' AS common
-  FROM page_log WHERE event_id % 97 <> 0)
+  FROM page_log WHERE event_id % 97 <> 0 AND event_id % 89 <> 0)
 """
 
 ORDERS = """
@@ -403,9 +403,12 @@ def closed(sql, last="(SELECT max(ts) FROM events)"):
 
 ORACLE = {
     # logs
-    "log_dirty_split": """
-      SELECT event_id % 97 = 0 AS is_dirty, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum
-      FROM events GROUP BY ALL""",
+    "log_dirty_split": LOG + """
+      SELECT event_id, event_id % 97 = 0 OR event_id % 89 = 0 AS is_dirty,
+        CASE WHEN event_id % 97 = 0 THEN 'cut' WHEN event_id % 89 = 0 THEN 'more text' END AS fault,
+        CASE WHEN event_id % 97 <> 0 AND event_id % 89 <> 0 THEN ms END AS ts,
+        CASE WHEN event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 13 <> 0 THEN during_time END AS during_time
+      FROM page_log""",
     "log_route_error": LOG + """
       SELECT event_id, common, '{"error_code":' || CAST(event_id % 500 AS VARCHAR) || ',"msg":"failed"}' AS err, ms AS ts
       FROM raw_log WHERE event_type = 'error'""",
@@ -418,11 +421,11 @@ ORACLE = {
     "log_explode_displays": LOG + """
       SELECT event_id, common, page_id, i - 1 AS pos, 'query' AS display_type, CAST((event_id + i) % 200 AS VARCHAR) AS item,
         'sku_id' AS item_type, i AS "order", i % 5 AS pos_id, ms AS ts
-      FROM (SELECT *, unnest(range(1, event_id % 3 + 1)) AS i FROM raw_log WHERE event_id % 13 <> 0)""",
+      FROM (SELECT *, unnest(range(1, event_id % 3 + 1)) AS i FROM raw_log WHERE event_id % 13 <> 0 AND event_id % 101 <> 0)""",
     "log_explode_displays_min2": LOG + """
       SELECT event_id, common, page_id, i - 1 AS pos, 'query' AS display_type, CAST((event_id + i) % 200 AS VARCHAR) AS item,
         'sku_id' AS item_type, i AS "order", i % 5 AS pos_id, ms AS ts
-      FROM (SELECT *, unnest(range(1, event_id % 3 + 1)) AS i FROM raw_log WHERE event_id % 13 <> 0 AND event_id % 3 > 1)""",
+      FROM (SELECT *, unnest(range(1, event_id % 3 + 1)) AS i FROM raw_log WHERE event_id % 13 <> 0 AND event_id % 101 <> 0 AND event_id % 3 > 1)""",
     "log_explode_actions": LOG + """
       SELECT event_id, common, page_id, i - 1 AS pos, 'favor_add' AS action_id, CAST((event_id + i) % 200 AS VARCHAR) AS item,
         'sku_id' AS item_type, ms + i AS ts
@@ -536,10 +539,10 @@ ORACLE = {
       SELECT mid, page_id, last_page_id, item, ms AS ts, strftime(t, {FMT}) AS rt FROM page_log""",
     "sink_append": CART_ADD,
     "log_route_stream": LOG + """
-      SELECT 'dirty' AS output, count(*) AS n FROM events WHERE event_id % 97 = 0
+      SELECT 'dirty' AS output, count(*) AS n FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0
       UNION ALL SELECT 'error', count(*) FROM raw_log WHERE event_type = 'error'
       UNION ALL SELECT 'start', count(*) FROM raw_log WHERE event_id % 13 = 0
-      UNION ALL SELECT 'display', CAST(sum(event_id % 3) AS BIGINT) FROM raw_log WHERE event_id % 13 <> 0
+      UNION ALL SELECT 'display', CAST(sum(event_id % 3) AS BIGINT) FROM raw_log WHERE event_id % 13 <> 0 AND event_id % 101 <> 0
       UNION ALL SELECT 'action', CAST(sum(event_id % 4) AS BIGINT) FROM raw_log WHERE event_id % 13 <> 0
       UNION ALL SELECT 'page', count(*) FROM raw_log WHERE event_id % 13 <> 0""",
     "traffic_unique_visitor_stream": _with(PAGE_LOG, VISITORS)

@@ -53,10 +53,13 @@ def _parsed(spark, d):
 
 @query("log_dirty_split")
 def _(spark, d):
-    return (
-        _parsed(spark, d)
-        .groupBy(F.col(cdc.CORRUPT).isNotNull().alias("is_dirty"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
+    """Every record: whether it is broken and how, and what typed fields were recovered."""
+    parsed = _parsed(spark, d)
+    broken, clean = F.col(cdc.CORRUPT).isNotNull(), F.col(cdc.CORRUPT).isNull()
+    return parsed.select(
+        "event_id", broken.alias("is_dirty"),
+        F.when(F.col(cdc.CORRUPT).endswith("} xyz"), "more text").when(broken, "cut").alias("fault"),
+        F.when(clean, F.col("ts")).alias("ts"), F.when(clean, F.col("page.during_time")).alias("during_time"),
     )
 
 
@@ -445,10 +448,7 @@ def _(spark, d):
 
 @query("window_distinct_count")
 def _(spark, d):
-    rows = sample.events(spark, d)
-    return windows.tumble(
-        rows, "ts", [windows.distinct_count(rows, "user_id", "users")], "1 day", ["event_type"]
-    )
+    return windows.tumble_distinct(sample.events(spark, d), "ts", "user_id", "users", "1 day", ["event_type"])
 
 
 windowed(
@@ -591,9 +591,8 @@ streamed(
 )
 streamed(
     "window_distinct_count_stream",
-    lambda spark, d: windows.tumble(
-        (rows := windows.with_event_time(sample.events(spark, d), "ts")),
-        "ts", [windows.distinct_count(rows, "user_id", "users")], "1 day", ["event_type"],
+    lambda spark, d: windows.tumble_distinct(
+        windows.with_event_time(sample.events(spark, d), "ts"), "ts", "user_id", "users", "1 day", ["event_type"]
     ),
     "events",
 )

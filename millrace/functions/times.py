@@ -17,10 +17,6 @@ def millis_to_time(ms: Column) -> Column:
     return F.timestamp_millis(ms)
 
 
-def time_to_millis(ts: Column) -> Column:
-    return F.unix_millis(ts)
-
-
 def ymd(ts: Column) -> Column:
     """``yyyy-MM-dd`` text."""
     return F.date_format(ts, DATE_FORMAT)
@@ -36,9 +32,5 @@ def date_id(text: Column) -> Column:
     return ymd(as_time(text))
 
 
-def first_given(*cols: Column) -> Column:
-    return F.coalesce(*cols)
-
-
 def wall_clock_millis() -> Column:
     return F.unix_millis(F.current_timestamp())

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.codes import DEFAULT_DATABASE
@@ -13,31 +14,58 @@ from millrace.codes import DEFAULT_DATABASE
 CORRUPT = "_corrupt"
 
 
-def parse_json(df: DataFrame, schema, value: str = "value") -> DataFrame:
-    """Parse a text column once; text that is no JSON object is kept in ``_corrupt``."""
-    with_corrupt = type(schema)(list(schema.fields)).add(CORRUPT, "string")
-    parsed = F.from_json(
-        F.col(value), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
+def _loose(kind: T.DataType) -> T.DataType:
+    """The same shape with whole numbers as text, which takes a number in any spelling."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_loose(kind.elementType))
+    return T.StringType() if isinstance(kind, T.LongType) else kind
+
+
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """A loosely parsed value in its type; what is no whole number becomes null."""
+    if isinstance(kind, T.StructType):
+        parts = [_typed(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _typed(x, kind.elementType))
+    if isinstance(kind, T.LongType):
+        return value.try_cast("decimal(38,6)").try_cast("bigint")
+    return value
+
+
+def parse_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """Parse a text column; text that is no JSON object is kept in ``_corrupt``.
+
+    Only the text itself decides whether a record is broken.  A number may be written as
+    text or with a fraction of zero; a field of another type is null, and the others of its
+    record stay.
+    """
+    text = F.trim(F.col(value))
+    whole = text.startswith("{") & text.endswith("}") & F.try_parse_json(F.col(value)).isNotNull()
     # a row of its own (explode) rather than a column: filters on the result then stay
     # above the parser, and each text is parsed once
-    record = F.explode(F.array(parsed)).alias("_record")
-    # text such as '' or 'null' parses to no record at all: that is corrupt too
-    return df.select("*", record).select(
+    parsed = F.struct(
+        F.from_json(F.col(value), _loose(schema)).alias("record"), F.coalesce(whole, F.lit(False)).alias("whole")
+    )
+    return df.select("*", F.explode(F.array(parsed)).alias("_parsed")).select(
         *[c for c in df.columns if c != value],
-        *[F.col(f"_record.{f.name}").alias(f.name) for f in schema.fields],
-        F.when(
-            F.col("_record").isNull()
-            | F.col(f"_record.{CORRUPT}").isNotNull()
-            | ~F.trim(F.col(value)).startswith("{"),
-            F.coalesce(F.col(value), F.lit("")),
-        ).alias(CORRUPT),
+        *[_typed(F.col(f"_parsed.record.{f.name}"), f.dataType).alias(f.name) for f in schema.fields],
+        F.when(~F.col("_parsed.whole"), F.coalesce(F.col(value), F.lit(""))).alias(CORRUPT),
     )
 
 
+def split_cdc(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Change envelopes from JSON text, and the text of broken records."""
+    parsed = parse_json(raw, schemas.CDC, value)
+    broken = parsed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT), broken
+
+
 def parse_cdc(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Change envelopes from JSON text; broken records are dropped."""
-    return parse_json(raw, schemas.CDC, value).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """Change envelopes only; :func:`split_cdc` also gives the broken records."""
+    return split_cdc(raw, value)[0]
 
 
 def changes(

@@ -45,9 +45,10 @@ def route_dimensions(
 ) -> DataFrame:
     """Change records of routed tables: ``sink_table``, primary key value and kept columns.
 
-    Records of tables without a route are dropped.
+    Records of tables without a route are dropped, and so are records without a primary
+    key value, which cannot be stored.
     """
-    return (
+    routed = (
         cdc.where(F.col("type").isin(*types))
         .join(small_table(routes), F.col("table") == F.col("source_table"), "inner")
         .select(
@@ -60,6 +61,7 @@ def route_dimensions(
             project_keys(F.col("data"), F.col("sink_columns")).alias("data"),
         )
     )
+    return routed.where(F.col("pk").isNotNull())
 
 
 def latest_dimensions(routed: DataFrame, drop_deleted: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,16 +36,36 @@ def tumble(
     )
 
 
-def distinct_count(df: DataFrame, column: str, name: str) -> Column:
-    """Exact distinct count.
+def tumble_distinct(
+    df: DataFrame,
+    time: str,
+    column: str,
+    name: str,
+    size: str = WINDOW_SIZE,
+    keys: Sequence[str] = (),
+    sums: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """``stt, edt, <keys>, name, <sums>``: exact number of distinct values per window and key.
 
-    Batch: ``count(distinct)``, planned in two steps that spread a hot group
-    over the distinct values.  Streams do not accept it, so there the values of
-    one open window are kept as a set.
+    ``sums`` are further totals, as ``{output name: column}``.  Two aggregates after each
+    other, first per value: a hot group is spread over its values, in batch by Spark's own
+    plan for ``count(distinct)``, on streams by two chained ones, so that no state holds a
+    group's values as a set.
     """
-    if df.isStreaming:
-        return F.size(F.collect_set(column)).cast("bigint").alias(name)
-    return F.count_distinct(F.col(column)).alias(name)
+    totals = sums or {}
+    if not df.isStreaming:
+        aggs = [F.count_distinct(F.col(column)).alias(name), *[F.sum(c).alias(n) for n, c in totals.items()]]
+        return tumble(df, time, aggs, size, keys)
+    each = df.groupBy(F.window(time, size).alias("_each"), *keys, column).agg(
+        *([F.sum(c).alias(n) for n, c in totals.items()] or [F.count(F.lit(1)).alias("_n")])
+    )
+    grouped = each.groupBy(F.window("_each", size).alias("_window"), *keys).agg(
+        F.count(column).alias(name), *[F.sum(n).alias(n) for n in totals]
+    )
+    return grouped.select(
+        ymd_hms(F.col("_window.start")).alias("stt"), ymd_hms(F.col("_window.end")).alias("edt"),
+        *keys, name, *totals,
+    )
 
 
 def stamped(df: DataFrame) -> DataFrame:

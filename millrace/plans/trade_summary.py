@@ -13,7 +13,7 @@ from millrace.operators import firsts
 from millrace.operators.dedup import dedup_first, dedup_latest
 from millrace.operators.lookups import lookup
 from millrace.operators.user_windows import windows_with_first_visits
-from millrace.operators.windows import distinct_count, stamped, tumble, with_event_time
+from millrace.operators.windows import stamped, tumble, tumble_distinct, with_event_time
 
 MONEY = "decimal(18,4)"
 
@@ -28,7 +28,7 @@ def _latest(df: DataFrame, key: str, tie_break: Sequence[str]) -> DataFrame:
     if df.isStreaming:
         from millrace.streaming import stateful
 
-        return stateful.keep_latest(df, key, "row_op_ts")
+        return stateful.keep_latest(df, key, "row_op_ts", tie_break)
     return dedup_latest(df, [key], "row_op_ts", tie_break)
 
 
@@ -44,7 +44,7 @@ def payment_window(payments: DataFrame, size: str = codes.WINDOW_SIZE) -> DataFr
     if payments.isStreaming:
         from millrace.streaming import stateful
 
-        flags = stateful.visit_flags(rows, "user_id", "event_time")
+        flags = stateful.visit_flags(with_event_time(rows, "event_time"), "user_id", "event_time")
         new = F.sum("new")
         time = "event_time"
     else:
@@ -77,9 +77,16 @@ def order_window(
     if details.isStreaming:
         from millrace.streaming import stateful
 
-        flags = stateful.visit_flags(rows, "user_id", "event_time", keep_rows=True)
+        # amounts go by themselves; only first visits need state
+        rows = with_event_time(rows.where("user_id is not null and event_time is not null"), "event_time")
+        measures = rows.select(
+            "event_time", F.lit(0).alias("unique"), F.lit(0).alias("new"), *amounts.values()
+        ).unionByName(
+            stateful.visit_flags(rows, "user_id", "event_time").select("event_time", "unique", "new"),
+            allowMissingColumns=True,
+        )
         counted = tumble(
-            flags, "event_time",
+            measures, "event_time",
             [F.sum("unique").alias("unique_users"), F.sum("new").alias("new_users"),
              *[F.sum(c).alias(n) for n, c in amounts.items()]],
             size,
@@ -114,12 +121,9 @@ def province_order_window(
         as_time(F.col("create_time")).alias("event_time"),
     )
     rows = with_event_time(rows, "event_time")
-    counted = tumble(
-        rows, "event_time",
-        [distinct_count(rows, "order_id", "order_count"),
-         F.sum("amount").cast("double").alias("order_amount")],
-        size, ["province_id"],
-    )
+    counted = tumble_distinct(
+        rows, "event_time", "order_id", "order_count", size, ["province_id"], {"order_amount": "amount"}
+    ).withColumn("order_amount", F.col("order_amount").cast("double"))
     named = lookup(counted, provinces, "province_id", {"province_name": "name"})
     return stamped(
         named.select("stt", "edt", "province_id", "province_name", "order_count", "order_amount")
@@ -178,12 +182,10 @@ def user_spu_order_window(
         rows, sku, "sku_id",
         {"spu_id": "spu_id", "trademark_id": "tm_id", "category3_id": "category3_id"},
     )
-    counted = tumble(
-        rows, "event_time",
-        [distinct_count(rows, "order_id", "order_count"),
-         F.sum("amount").cast("double").alias("order_amount")],
-        size, ["user_id", "spu_id", "trademark_id", "category3_id"],
-    )
+    counted = tumble_distinct(
+        rows, "event_time", "order_id", "order_count", size,
+        ["user_id", "spu_id", "trademark_id", "category3_id"], {"order_amount": "amount"},
+    ).withColumn("order_amount", F.col("order_amount").cast("double"))
     named = with_product_names(counted, spu, trademark, category3, category2, category1)
     return stamped(
         named.select(

@@ -7,12 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.codes import BOUNCE_WITHIN_MS
 from millrace.functions.times import millis_to_time
 from millrace.operators import bounce, firsts
 
-BOUNCE_WITHIN_MS = 10_000
-
-
 def unique_visitors(page_log: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """The first page of each device and day."""
     if page_log.isStreaming:
@@ -34,4 +32,4 @@ def user_jumps(
         return stateful.user_jumps(page_log, within_ms, tie_break)
     return bounce.bounces(
         page_log, F.col("common.mid"), F.col("ts"), F.col("page.last_page_id"), within_ms, tie_break
-    ).drop("_key")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace import codes
-from millrace.functions.times import as_time, first_given, millis_to_time
+from millrace.functions.times import as_time, millis_to_time
 from millrace.operators import firsts
 from millrace.operators.user_windows import windows_with_first_visits
 from millrace.operators.windows import stamped, tumble, with_event_time
@@ -29,11 +29,16 @@ def user_login_window(
     if page_log.isStreaming:
         from millrace.streaming import stateful
 
-        flags = stateful.visit_flags(
-            rows, "user_id", "event_time", visit=F.col("is_login"), keep_rows=True
+        # every page of a known user opens its window; only first logins need state
+        rows = with_event_time(rows.where(F.col("event_time").isNotNull()), "event_time")
+        measures = rows.select(
+            "event_time", F.lit(0).alias("unique"), F.lit(None).cast("int").alias("gap_days")
+        ).unionByName(
+            stateful.visit_flags(rows, "user_id", "event_time", visit=F.col("is_login"))
+            .select("event_time", "unique", "gap_days")
         )
         counted = tumble(
-            flags,
+            measures,
             "event_time",
             [F.count_if(F.col("gap_days") > gap_days).alias("back_ct"),
              F.sum("unique").alias("uu_ct")],
@@ -64,7 +69,7 @@ def cart_uu_window(cart_rows: DataFrame, size: str = codes.WINDOW_SIZE) -> DataF
     """Users adding to a cart for the first time that day, per window."""
     rows = cart_rows.select(
         "user_id",
-        as_time(first_given(F.col("operate_time"), F.col("create_time"))).alias("event_time"),
+        as_time(F.coalesce("operate_time", "create_time")).alias("event_time"),
     )
     if cart_rows.isStreaming:
         from millrace.streaming import stateful

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.operators.cdc import parse_cdc, parse_json
+from millrace.operators.cdc import CORRUPT, parse_cdc, parse_json, split_cdc
 from millrace.operators.logs import parse_logs
 
 
@@ -43,8 +43,6 @@ def kafka_stream(
 
 def json_table(records: DataFrame, schema) -> DataFrame:
     """Records as typed columns; broken records are dropped."""
-    from millrace.operators.cdc import CORRUPT
-
     return parse_json(records, schema).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
@@ -53,6 +51,11 @@ def change_records(records: DataFrame) -> DataFrame:
     return parse_cdc(records)
 
 
+def broken_changes(records: DataFrame) -> DataFrame:
+    """Text of change records that are no JSON object, for a dirty output of their own."""
+    return split_cdc(records)[1]
+
+
 def log_records(records: DataFrame) -> DataFrame:
     """Behaviour logs with ``_corrupt`` for broken records."""
     return parse_logs(records)
@@ -85,7 +88,3 @@ def jdbc_dictionary(
         .load()
         .select(*schemas.DICTIONARY.fieldNames())
     )
-
-
-def parquet_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

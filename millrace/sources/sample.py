@@ -133,7 +133,8 @@ def page_log(spark: SparkSession, sf_dir: str, with_item: bool = False) -> DataF
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Behaviour logs as JSON text: errors, starts, pages with displays and actions.
 
-    Some records are cut in half, so they are no JSON.
+    Some records are cut in half or have text after the object, so they are no JSON; some
+    spell numbers as text or with a fraction, or hold an object where a list belongs.
     """
     eid = F.col("event_id")
 
@@ -176,6 +177,14 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_millis("ts").alias("ts"),
     )
     text = F.to_json(record)
+    # other spellings of numbers, a field of another type, text after the object
+    text = F.when(eid % 41 == 0, F.regexp_replace(text, '"ts":([0-9]+)}$', '"ts":"$1"}')).otherwise(text)
+    text = F.when(eid % 43 == 0, F.regexp_replace(text, '"ts":([0-9]+)}$', '"ts":$1.0}')).otherwise(text)
+    text = F.when(eid % 37 == 0, F.regexp_replace(text, '"during_time":([0-9]+)', '"during_time":"$1"')).otherwise(text)
+    text = F.when(
+        eid % 101 == 0, F.regexp_replace(text, r'"displays":\[[^\]]*\]', '"displays":{"item":"1"}')
+    ).otherwise(text)
+    text = F.when(eid % 89 == 0, F.concat(text, F.lit(" xyz"))).otherwise(text)
     return _page_columns(spark, sf_dir).select(
         "event_id",
         F.when(eid % 97 == 0, F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int")))

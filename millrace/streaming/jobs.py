@@ -47,8 +47,3 @@ def load_dimensions(
 
 def dimension_store(path: str) -> KeyedTable:
     return KeyedTable(path, ["sink_table", "pk"], ["ts", "xid"])
-
-
-def run_to_end(query: StreamingQuery) -> None:
-    """Wait for a query that stops by itself; errors are raised."""
-    query.awaitTermination()

@@ -10,12 +10,31 @@ one processor serves every row type.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+
+def tie_order(tie: str, nulls_last: bool) -> tuple:
+    """Sort key of tie-break values given as a JSON object, typed and null-aware.
+
+    Names of floating-point values end in ``f``; NaN sorts after all numbers.
+    """
+    out = []
+    for name, value in json.loads(tie, parse_float=Decimal).items():
+        if value is None:
+            out.append((2 if nulls_last else -1, 0))
+        elif name.endswith("f") and (number := float(value)) != number:
+            out.append((1, 0))
+        else:
+            out.append((0, number if name.endswith("f") else value))
+    return tuple(out)
+
+
 def _time(ms: int) -> datetime:
     return datetime.fromtimestamp(ms / 1000, timezone.utc)
 
@@ -43,7 +62,9 @@ class FirstRow(StatefulProcessor):
         kept = self._best.get() if self._best.exists() else None
         best = kept
         for row in rows:
-            if best is None or (row.ms, row.tie) < (best[0], best[1]):
+            if best is None or row.ms < best[0] or (
+                row.ms == best[0] and tie_order(row.tie, True) < tie_order(best[1], True)
+            ):
                 best = (row.ms, row.tie, row.payload)
         if best != kept:
             if kept is None:
@@ -67,15 +88,11 @@ class FirstRow(StatefulProcessor):
 class VisitFlags(StatefulProcessor):
     """First visit of each key and day, with the days since the visit day before.
 
-    Input: ``ms, day`` (day number), ``visits``, ``payload``.  Output: ``event_time,
-    unique, new, gap_days, payload``.  With ``keep_rows`` every input row is also
-    passed on at once, with its payload and without a flag.  The last visit day of
-    a key is kept for good, since a key is new only once.
+    Input: ``ms, day`` (day number), a row per key and time slot.  Output: ``event_time,
+    unique, new, gap_days``.  The last visit day of a key is kept for good, since a key is
+    new only once.
     """
 
-    def __init__(self, keep_rows: bool = False) -> None:
-        self._keep_rows = keep_rows
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._last = handle.getValueState("last", "day int")
@@ -84,11 +101,7 @@ class VisitFlags(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         earliest: dict[int, int] = {}
         for row in rows:
-            if self._keep_rows:
-                yield Row(
-                    event_time=_time(row.ms), unique=0, new=0, gap_days=None, payload=row.payload
-                )
-            if row.visits and (row.day not in earliest or row.ms < earliest[row.day]):
+            if row.day not in earliest or row.ms < earliest[row.day]:
                 earliest[row.day] = row.ms
         last = self._last.get()[0] if self._last.exists() else None
         for day, ms in earliest.items():
@@ -98,6 +111,7 @@ class VisitFlags(StatefulProcessor):
             if known is None or ms < known[0]:
                 self._open.updateValue((day,), (ms,))
                 self._handle.registerTimer(ms)
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = _passed(timerValues, expiredTimerInfo)
@@ -108,7 +122,7 @@ class VisitFlags(StatefulProcessor):
             if last is None or day > last:
                 yield Row(
                     event_time=_time(ms), unique=1, new=int(last is None),
-                    gap_days=None if last is None else day - last, payload=None,
+                    gap_days=None if last is None else day - last,
                 )
                 last = day
         if due:
@@ -140,7 +154,7 @@ class Bounces(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = _passed(timerValues, expiredTimerInfo)
-        rows = sorted(self._rows.get(), key=lambda r: (r[0], r[1]))
+        rows = sorted(self._rows.get(), key=lambda r: (r[0], tie_order(r[1], False)))
         waiting = []
         for row, after in zip(rows, rows[1:] + [None]):
             ms, _, opens, context, payload = row
@@ -159,7 +173,8 @@ class Bounces(StatefulProcessor):
 class KeepLatest(StatefulProcessor):
     """The newest version of a key among those arriving within ``delay_ms`` of the first.
 
-    Input: ``version`` (microseconds), ``payload``.  Equal versions: the later row wins.
+    Input: ``version`` (microseconds), ``tie, payload``.  Equal versions: the row with the
+    greatest tie-break values wins, as in batch, in whatever order rows arrive.
     """
 
     def __init__(self, delay_ms: int) -> None:
@@ -167,7 +182,7 @@ class KeepLatest(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._newest = handle.getValueState("newest", "version long, payload string")
+        self._newest = handle.getValueState("newest", "version long, tie string, payload string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         newest = self._newest.get() if self._newest.exists() else None
@@ -176,13 +191,15 @@ class KeepLatest(StatefulProcessor):
                 timerValues.getCurrentProcessingTimeInMs() + self._delay_ms
             )
         for row in rows:
-            if newest is None or row.version >= newest[0]:
-                newest = (row.version, row.payload)
+            if newest is None or row.version > newest[0] or (
+                row.version == newest[0] and tie_order(row.tie, False) > tie_order(newest[1], False)
+            ):
+                newest = (row.version, row.tie, row.payload)
         self._newest.update(newest)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self._newest.exists():
-            _, payload = self._newest.get()
+            _, _, payload = self._newest.get()
             self._newest.clear()
             yield Row(payload=payload)

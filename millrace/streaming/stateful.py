@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import codes
 from millrace.functions.times import millis_to_time
@@ -35,10 +36,15 @@ def _unpack(rows: DataFrame, like: DataFrame) -> DataFrame:
     return rows.select(F.from_json("payload", like.schema, _JSON).alias("_row")).select("_row.*")
 
 
-def _tie(columns: Sequence[str]) -> Column:
-    """Tie-break values as text that sorts like the values (whole numbers padded)."""
-    parts = [F.lpad(F.coalesce(F.col(c).cast("string"), F.lit("")), 20, "0") for c in columns]
-    return F.concat_ws("|", *parts).alias("tie") if parts else F.lit("").alias("tie")
+def _tie(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Tie-break values with their types, as a JSON object in the order of ``columns``."""
+    parts = []
+    for i, c in enumerate(columns):
+        floating = isinstance(df.select(c).schema[0].dataType, (T.FloatType, T.DoubleType))
+        parts.append(F.col(c).alias(f"{i}f" if floating else f"{i}v"))
+    if not parts:
+        return F.lit("{}").alias("tie")
+    return F.to_json(F.struct(*parts), {**_JSON, "ignoreNullFields": "false"}).alias("tie")
 
 
 def _day_end(time: Column) -> Column:
@@ -68,17 +74,39 @@ def unique_visitors(page_log: DataFrame, tie_break: Sequence[str] = ()) -> DataF
     rows = page_log.where(F.col("common.mid").isNotNull() & F.col("ts").isNotNull()).withColumns(
         {"_mid": F.col("common.mid"), "_time": millis_to_time(F.col("ts"))}
     )
-    first = _first_rows(rows, ["_mid"], "_time", _tie(tie_break), _payload(page_log))
+    first = _first_rows(rows, ["_mid"], "_time", _tie(rows, tie_break), _payload(page_log))
     return _unpack(first, page_log)
 
 
-def daily_visits(rows: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """``<keys>, first_time``: when each key first appeared on each day."""
+def _slots(rows: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """``<keys>, first, slot_time``: the first time of each key in each slot of a window's size.
+
+    A native aggregate, combined before its shuffle: the state behind it sees a row per key
+    and slot, however many rows a key has.
+    """
     present = F.col(time).isNotNull()
     for key in keys:
         present = present & F.col(key).isNotNull()
+    slot = F.window(time, codes.WINDOW_SIZE).alias("_slot")
+    first = rows.where(present).groupBy(slot, *keys).agg(F.min(time).alias("first"))
+    return first.select(*keys, "first", F.window_time("_slot").alias("slot_time"))
+
+
+def daily_visits(rows: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """``<keys>, first_time``: when each key first appeared on each day."""
     key_text = F.to_json(F.struct(*keys)).alias("payload")
-    first = _first_rows(rows.where(present), keys, time, _tie(()), key_text)
+    slots = _slots(with_event_time(rows, time), keys, time)
+    first = (
+        slots.select(
+            *keys, _day_end(F.col("first")).alias("day_end_ms"), F.unix_millis("first").alias("ms"),
+            _tie(slots, ()), key_text, "slot_time",
+        )
+        .groupBy(*keys, "day_end_ms")
+        .transformWithState(
+            FirstRow(), "event_time timestamp, payload string", "append", "eventTime",
+            eventTimeColumnName="event_time",
+        )
+    )
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
     return first.select(
         F.col("event_time").alias("first_time"), F.from_json("payload", schema).alias("_key")
@@ -99,7 +127,7 @@ def user_jumps(page_log: DataFrame, within_ms: int, tie_break: Sequence[str] = (
         .select(
             F.col("common.mid").alias("mid"),
             F.col("ts").alias("ms"),
-            _tie(tie_break),
+            _tie(page_log, tie_break),
             F.col("page.last_page_id").isNull().alias("opens"),
             _payload(page_log),
             millis_to_time(F.col("ts")).alias("event_time"),
@@ -122,50 +150,36 @@ def user_jumps(page_log: DataFrame, within_ms: int, tie_break: Sequence[str] = (
     return _unpack(jumps, page_log)
 
 
-def visit_flags(
-    rows: DataFrame,
-    key: str,
-    time: str,
-    visit: Column | None = None,
-    keep_rows: bool = False,
-) -> DataFrame:
+def visit_flags(rows: DataFrame, key: str, time: str, visit: Column | None = None) -> DataFrame:
     """``event_time, unique, new, gap_days`` for the first row of each key and day.
 
-    ``visit`` restricts which rows count as visits.  ``keep_rows`` passes every
-    input row on as well: without a flag, its other columns next to it.
+    ``visit`` restricts which rows count as visits.  The caller sets the watermark on
+    ``time`` and unions other measures of its rows by itself.
     """
-    extra = [c for c in rows.columns if c not in (key, time)]
-    counts = F.lit(True) if visit is None else F.coalesce(visit, F.lit(False))
-    payload = F.to_json(F.struct(*extra), _JSON) if keep_rows and extra else F.lit(None).cast("string")
-    flagged = (
-        with_event_time(rows.where(F.col(key).isNotNull() & F.col(time).isNotNull()), time)
+    counted = rows if visit is None else rows.where(visit)
+    return (
+        _slots(counted, [key], time)
         .select(
-            key, time,
-            F.unix_millis(time).alias("ms"),
-            F.datediff(time, F.lit("1970-01-01").cast("date")).alias("day"),
-            counts.alias("visits"),
-            payload.alias("payload"),
+            key, F.unix_millis("first").alias("ms"),
+            F.datediff("first", F.lit("1970-01-01").cast("date")).alias("day"), "slot_time",
         )
         .groupBy(key)
         .transformWithState(
-            VisitFlags(keep_rows),
-            "event_time timestamp, unique int, new int, gap_days int, payload string",
+            VisitFlags(), "event_time timestamp, unique int, new int, gap_days int",
             "append", "eventTime", eventTimeColumnName="event_time",
         )
     )
-    if not (keep_rows and extra):
-        return flagged.drop("payload")
-    return flagged.withColumn(
-        "_row", F.from_json("payload", rows.select(*extra).schema, _JSON)
-    ).select("event_time", "unique", "new", "gap_days", "_row.*")
 
 
 def keep_latest(
-    rows: DataFrame, key: str, version: str, delay_ms: int = codes.DEDUP_DELAY_MS
+    rows: DataFrame, key: str, version: str, tie_break: Sequence[str] = (), delay_ms: int = codes.DEDUP_DELAY_MS
 ) -> DataFrame:
-    """Newest version per key among rows arriving within ``delay_ms`` of the first one."""
+    """Newest version per key among rows arriving within ``delay_ms`` of the first one.
+
+    Equal versions go to the greatest tie-break values, as in batch.
+    """
     packed = rows.select(
-        F.col(key).alias("_key"), F.unix_micros(F.col(version)).alias("version"), _payload(rows)
+        F.col(key).alias("_key"), F.unix_micros(F.col(version)).alias("version"), _tie(rows, tie_break), _payload(rows)
     )
     latest = packed.groupBy("_key").transformWithState(
         KeepLatest(delay_ms), "payload string", "append", "processingTime"

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import change, changes, dictionary, page, page_log
@@ -218,3 +219,35 @@ def test_page_table_has_event_time(spark, rows):
 
 def test_log_schema_covers_router_fields():
     assert set(schemas.LOG.fieldNames()) >= {"common", "page", "displays", "actions", "start", "err"}
+
+
+@pytest.mark.parametrize("text,broken,ts,during", [
+    ('{"page":{"during_time":"12"},"ts":5}', False, 5, 12),
+    ('{"page":{"during_time":12},"ts":"1592270938000"}', False, 1592270938000, 12),
+    ('{"page":{"during_time":1.0},"ts":1.0}', False, 1, 1),
+    ('{"page":{"during_time":"x"},"ts":7}', False, 7, None),
+    ('{"displays":{"item":"1"},"page":{"during_time":3},"ts":7}', False, 7, 3),
+    (' {"ts":8} ', False, 8, None),
+    ('{"ts":8} xyz', True, None, None),
+    ('{"ts":8', True, None, None),
+    ("[1]", True, None, None),
+    ("null", True, None, None),
+    ("", True, None, None),
+    (None, True, None, None),
+])
+def test_only_the_text_makes_a_record_broken(spark, text, broken, ts, during):
+    (r,) = logs.parse_logs(spark.createDataFrame([(text,)], "value string")).collect()
+    assert (r._corrupt is not None) == broken
+    if broken:
+        assert r._corrupt == (text or "")
+    else:
+        assert (r.ts, r.page.during_time if r.page else None) == (ts, during)
+        assert r.displays is None
+
+
+def test_change_records_with_text_numbers_stay_and_broken_ones_go_to_their_own_output(spark):
+    good = '{"database":"shop","table":"t","type":"insert","ts":"1592270938","xid":1.0,"data":{"id":"1"}}'
+    raw = spark.createDataFrame([(good,), ("{bad",), (good + " x",)], "value string")
+    clean, dirty = cdc.split_cdc(raw)
+    assert [(r.ts, r.xid, r.data) for r in clean.collect()] == [(1592270938, 1, {"id": "1"})]
+    assert sorted(r.value for r in dirty.collect()) == sorted(["{bad", good + " x"])

@@ -245,7 +245,7 @@ def test_order_summaries(spark, rows, folder, monkeypatch, summary):
     """Keep-latest by arrival, then first visits by event time, then windows: one query."""
     real = stateful.keep_latest
     # no waiting in a stream that ends
-    monkeypatch.setattr(stateful, "keep_latest", lambda df, key, version: real(df, key, version, 0))
+    monkeypatch.setattr(stateful, "keep_latest", lambda df, key, version, tie: real(df, key, version, tie, 0))
     provinces = spark.createDataFrame([("1", "north")], "id string, name string")
 
     def dim(columns, *values):
@@ -460,7 +460,7 @@ def test_refund_joins_stream(spark, rows, folder, job):
 
 def test_payment_summary_stream(spark, rows, folder, monkeypatch):
     real = stateful.keep_latest
-    monkeypatch.setattr(stateful, "keep_latest", lambda df, key, version: real(df, key, version, 0))
+    monkeypatch.setattr(stateful, "keep_latest", lambda df, key, version, tie: real(df, key, version, tie, 0))
     batch = order_rows(spark).select(
         F.col("id").alias("order_detail_id"), "user_id",
         F.col("create_time").alias("callback_time"), "row_op_ts",
@@ -473,3 +473,32 @@ def test_payment_summary_stream(spark, rows, folder, monkeypatch):
     os.makedirs(f"{folder}/out")
     got = run_until(spark, folder, stream, len(want))
     assert rows(closed(got)) == want
+
+
+TIES = [
+    ("key", "string", ["b", "aa", "", None, "B", "aaaaaaaaaaaaaaaaaaaaaaab", "aaaaaaaaaaaaaaaaaaaaaaaa"]),
+    ("key", "timestamp", ["2024-01-01 10:00:00.9", "2024-01-01 10:00:00.85", None, "2024-01-01 09:00:00"]),
+    ("key", "long", [-5, 10, 9, None, -50, 10**18]),
+    ("key", "double", [0.5, -1.5, None, float("nan"), 1e300]),
+    ("key", "decimal(20,4)", ["1.5", "-10.25", "9", None]),
+]
+
+
+@pytest.mark.parametrize("name,kind,values", TIES, ids=[t[1] for t in TIES])
+@pytest.mark.parametrize("job", ["visitors", "jumps"])
+def test_equal_times_are_decided_as_in_batch(spark, rows, folder, job, name, kind, values):
+    """Ties by text of any length, times with fractions, negative numbers and nulls."""
+    rng = random.Random(7)
+    order = [*values, *values]
+    rng.shuffle(order)
+    pages = [page(i, f"m{i % 2}", "2024-01-01 12:00:00", [None, "home"][i % 3 == 0], "home") for i in range(len(order))]
+
+    def tied(df):
+        each = spark.createDataFrame([(i, v if v is None else str(v)) for i, v in enumerate(order)], "event_id long, v string")
+        return df.join(each, "event_id", "left").withColumn(name, F.col("v").cast(kind)).drop("v")
+
+    build = traffic_facts.unique_visitors if job == "visitors" else (lambda df, tie: traffic_facts.user_jumps(df, 60_000, tie))
+    tie = [name, "event_id"]
+    got = run(spark, folder, build(tied(feed(spark, folder, pages, [LAST])), tie))
+    want = build(tied(page_log(spark, pages)), tie)
+    assert rows(no_last(got), "event_id") == rows(want, "event_id")
