@@ -222,7 +222,7 @@ _WIDE = TRADE + f""", order_versions AS (
     create_time + INTERVAL 10 MINUTE, create_time + INTERVAL 10 MINUTE FROM order_info WHERE st <> 'O'),
 wide AS (
   SELECT d.*, 'sku_' || CAST(sku_id AS VARCHAR) AS sku_name, dic_name, o.user_id, o.province_id, o.total_amount,
-    o.order_status, o.type, o.old_status, o.operate_time, greatest(d.create_time, o.commit_time) AS version
+    o.order_status, o.type, o.old_status, o.operate_time, o.commit_time, greatest(d.create_time, o.commit_time) AS version
   FROM detail d JOIN base_dic ON dic_code = source_type JOIN order_versions o ON o.id = d.order_id)"""
 
 _POSITION = """CAST(id AS VARCHAR) AS id, CAST(order_id AS VARCHAR) AS order_id, CAST(user_id AS VARCHAR) AS user_id,
@@ -570,4 +570,13 @@ ORACLE = {
     "window_distinct_count_stream": closed(f"""
       SELECT {bounds('ts', '1 day')}, event_type, count(DISTINCT user_id) AS users FROM events GROUP BY ALL"""),
 }
+# stream joins keep rows for a time; the same bound in SQL
+_KEPT = 60 * 86400
+ORACLE |= {
+    "trade_order_wide_stream": ORDER_WIDE + f" WHERE abs(epoch(create_time) - epoch(commit_time)) <= {_KEPT}",
+    "trade_order_refund_stream": ORDER_REFUND,
+    "trade_refund_detail_stream": refund_detail(True),
+    "trade_pay_detail_stream": PAY_DETAIL
+    + f" AND abs(epoch(version) - epoch(o.create_time + INTERVAL 10 MINUTE)) <= {_KEPT}",
+}
 ORACLE["sink_upsert"] = ORACLE["dim_upsert_latest"]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.codes import DEFAULT_DATABASE
 from millrace.functions.times import millis_to_time, ymd_hms
 from millrace.operators import cdc, firsts, logs, routing, windows
 from millrace.operators.dedup import dedup_first, dedup_latest
@@ -338,22 +339,27 @@ def _wide(spark, d):
     return trade_facts.order_wide(records, sample.dictionary(spark))
 
 
-@query("trade_order_wide")
-def _(spark, d):
-    always_null = (
-        "consignee", "consignee_tel", "payment_way", "delivery_address", "order_comment",
-        "out_trade_no", "trade_body", "expire_time", "process_status", "tracking_no",
-        "parent_order_id", "activity_reduce_amount", "coupon_reduce_amount",
-        "original_total_amount", "feight_fee", "feight_fee_reduce", "refundable_time",
-    )
+_ALWAYS_NULL = (
+    "consignee", "consignee_tel", "payment_way", "delivery_address", "order_comment",
+    "out_trade_no", "trade_body", "expire_time", "process_status", "tracking_no",
+    "parent_order_id", "activity_reduce_amount", "coupon_reduce_amount",
+    "original_total_amount", "feight_fee", "feight_fee_reduce", "refundable_time",
+)
+
+
+def _shown_wide(wide):
     return (
-        _wide(spark, d)
-        .withColumn("old_status", cdc.old("order_status"))
+        wide.withColumn("old_status", cdc.old("order_status"))
         .withColumn("row_op_ts", ymd_hms(F.col("row_op_ts")))
-        .drop("old", *always_null)
+        .drop("old", *_ALWAYS_NULL)
     )
 
 
+@query("trade_order_wide")
+def _(spark, d):
+    return _shown_wide(_wide(spark, d))
+
+
 @query("trade_order_detail")
 def _(spark, d):
     return trade_facts.order_detail(_wide(spark, d)).withColumn(
@@ -596,3 +602,59 @@ streamed(
     ),
     "events",
 )
+
+
+# Joins of streams: change records in several micro-batches in the order of their commit
+# time, and rows far in the future that move every watermark past all others.
+
+#: How long these joins keep rows: positions of the sample are months away from their order.
+KEPT = "60 days"
+
+
+def _fed(spark, d, *tables, last=None):
+    return sample.in_batches(sample.change_records(spark, d, *tables), "ts", last=last)
+
+
+def _last_changes(spark, *tables):
+    rows = spark.createDataFrame([(t,) for t in tables], "table string")
+    return rows.selectExpr(
+        f"'{DEFAULT_DATABASE}' AS database", "table", "'insert' AS type", "4102444800L AS ts", "0L AS xid",
+        "map('id', 'last', 'order_id', 'last', 'order_detail_id', 'last', 'source_type', '2401') AS data",
+        "CAST(NULL AS MAP<STRING, STRING>) AS old",
+    )
+
+
+def _written(spark, rows):
+    return spark.read.schema(rows.schema).parquet(_through_stream(spark, rows))
+
+
+_ORDER_TABLES = ("order_info", "order_detail", "order_detail_activity", "order_detail_coupon")
+
+
+@query("trade_order_wide_stream")
+def _(spark, d):
+    stream = _fed(spark, d, *_ORDER_TABLES, last=_last_changes(spark, *_ORDER_TABLES))
+    wide = _written(spark, trade_facts.order_wide(stream, sample.dictionary(spark), retention=KEPT))
+    return _shown_wide(wide.where("id <> 'last'").drop("_detail_time"))
+
+
+@query("trade_order_refund_stream")
+def _(spark, d):
+    stream = _fed(spark, d, "order_info", "order_refund_info")
+    return _written(spark, trade_facts.order_refund(stream, sample.dictionary(spark)))
+
+
+@query("trade_refund_detail_stream")
+def _(spark, d):
+    stream = _fed(spark, d, "order_info", "order_refund_info", "refund_payment")
+    return _written(spark, trade_facts.refund_detail(stream, sample.dictionary(spark), by_sku=True))
+
+
+@query("trade_pay_detail_stream")
+def _(spark, d):
+    """The details are a table of their own, read as a stream."""
+    details = sample.in_batches(trade_facts.order_detail(_wide(spark, d)), "unix_seconds(row_op_ts)")
+    paid = trade_facts.pay_detail(
+        _fed(spark, d, "payment_info"), details, sample.dictionary(spark), retention=KEPT
+    )
+    return _written(spark, paid).withColumn("row_op_ts", ymd_hms(F.col("row_op_ts")))

@@ -27,6 +27,7 @@ from millrace.codes import (
     UPDATE,
 )
 from millrace.operators.dedup import dedup_latest
+from millrace.session import shared_dir
 
 # --- fixed values: the sample dictionary ------------------------------------
 DICTIONARY_ROWS = [
@@ -67,6 +68,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
+def in_batches(rows: DataFrame, seconds: str, batches: int = 4, last: DataFrame | None = None) -> DataFrame:
+    """``rows`` as a stream of several micro-batches in the order of ``seconds``, then ``last``.
+
+    The rows are written to the shared folder range by range; each range is some files,
+    which the stream takes together.
+    """
+    spark = rows.sparkSession
+    folder, files = shared_dir(spark, "feed"), 4
+    kept = f"{folder}/all"
+    rows.write.parquet(kept)
+    stored = spark.read.schema(rows.schema).parquet(kept)
+    cuts = stored.selectExpr(f"CAST({seconds} AS DOUBLE) AS s").approxQuantile(
+        "s", [i / batches for i in range(1, batches)], 0.01
+    )
+    lows, highs = [None, *cuts], [*cuts, None]
+    for i, (low, high) in enumerate(zip(lows, highs, strict=True)):
+        part = stored
+        if low is not None:
+            part = part.where(f"{seconds} > {low}")
+        if high is not None:
+            part = part.where(f"{seconds} <= {high}")
+        part.repartition(files).write.parquet(f"{folder}/feed/{i:03d}")
+    if last is not None:
+        last.select(rows.columns).coalesce(1).write.parquet(f"{folder}/feed/{batches:03d}")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/feed/*")
+
+
 def dictionary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DICTIONARY_ROWS, "dic_code string, dic_name string")
 
