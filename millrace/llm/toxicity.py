@@ -145,10 +145,10 @@ def fit(
         moved = (
             dealt.applyInArrow(_trainer(start), "coord int, z double, n double")
             .groupBy("coord").agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
-        ).toPandas()  # a row per coordinate at most
-        at = moved["coord"].to_numpy()
-        z[at] += moved["z"].to_numpy() / SHARDS
-        n[at] += moved["n"].to_numpy() / SHARDS
+        ).toArrow()  # a row per coordinate at most
+        at = moved.column("coord").to_numpy()
+        z[at] += moved.column("z").to_numpy() / SHARDS
+        n[at] += moved.column("n").to_numpy() / SHARDS
         start.destroy()
     w = weights(z, n)
     used = np.flatnonzero(w)
