@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import gc
-import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
@@ -26,14 +25,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from millrace.llm import hashing
 from millrace.llm.common import add_columns
 
-#: Bounds of what one Python worker keeps: transducer states, fitting pairs, chunks of text.
-MAX_STATES, MAX_PAIRS, MAX_CHUNKS = 150_000, 300_000, 200_000
-
-#: A space before white space or the end, after white space: chunks cut at single spaces
-#: would then not be where matches end.
-_UNSAFE = re.compile(r"\s (?:\s|\Z)")
+#: Bounds of what one Python worker keeps: transducer states, fitting pairs, words, chunks.
+MAX_STATES, MAX_PAIRS, MAX_WORDS, MAX_CHUNKS = 220_000, 300_000, 200_000, 2_000_000
+#: Bytes of text worked on at once.
+_STRETCH = 1 << 22
 
 #: Marks of one character that no other character joins in the split pattern.
 _MARKS = frozenset(".,;:!?|")
@@ -218,62 +216,147 @@ class Transducer:
 
 
 class Encoder:
-    """Whole texts to packed ids (little-endian unsigned 32-bit)."""
+    """Whole texts to packed ids (little-endian unsigned 32-bit), a batch at a time.
+
+    Texts are cut at single spaces, each chunk with the space before it; no match reaches
+    across such a cut (texts where one might are split by the pattern as a whole).  Each
+    distinct chunk of a batch goes through the transducer once; its ids are kept for later
+    batches under two independent 64-bit hashes of its bytes.
+    """
 
     def __init__(self, path: str, pattern: str, max_chunks: int = MAX_CHUNKS):
         self.transducer = Transducer(read_ranks(path))
         self.pattern = regex.compile(pattern)
         self.max_chunks = max_chunks
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         # with this pattern a run of letters is one match, and so is a mark after it
         self.letters = r" ?\p{L}+" in pattern and r" ?[^\s\p{L}\p{N}]+" in pattern
+        self._forget()
+
+    def _forget(self) -> None:
+        # chunks by their first hash: second hash, where their ids begin and how many
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, "<u4")
 
     def _match(self, match: str) -> bytes:
         ids = self.words.get(match)
         if ids is None:
             ids = array("I", self.transducer.encode(match.encode())).tobytes()
             if len(match) < 64:
-                if len(self.words) > self.max_chunks:
+                if len(self.words) > MAX_WORDS:
                     self.words.clear()
                 self.words[match] = ids
         return ids
 
-    def _plain(self, text: str) -> bytes:
+    def plain(self, text: str) -> bytes:
         return b"".join(map(self._match, self.pattern.findall(text)))
 
     def _chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk with the space before it."""
         if self.letters:
-            if chunk.isalpha():
-                return self._match(" " + chunk)
-            if chunk[-1:] in _MARKS and chunk[:-1].isalpha():
-                return self._match(" " + chunk[:-1]) + self._match(chunk[-1])
-        return self._plain(" " + chunk)
+            bare = chunk[1:] if chunk[:1] == " " else chunk
+            if bare.isalpha():
+                return self._match(chunk)
+            if bare[-1:] in _MARKS and bare[:-1].isalpha():
+                return self._match(chunk[:-1]) + self._match(chunk[-1])
+        return self.plain(chunk)
+
+    def _chunks(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, end to end, and how many each one has."""
+        if len(self.keys) > self.max_chunks:
+            self._forget()
+        first, second = (hashing.hash_ranges(data, starts, ends, v) for v in hashing.EXACT)
+        keys, at, place = np.unique(first, return_index=True, return_inverse=True)
+        checks = second[at]
+        if not (checks[place] == second).all():  # two chunks with one hash: go by the bytes
+            found = [self._chunk(data[s:e].tobytes().decode()) for s, e in zip(starts, ends, strict=True)]
+            return np.frombuffer(b"".join(found), "<u4"), np.array([len(f) // 4 for f in found], np.int64)
+        where = np.searchsorted(self.keys, keys)
+        begins, sizes = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        if len(self.keys):
+            near = np.minimum(where, len(self.keys) - 1)
+            known = (self.keys[near] == keys) & (self.checks[near] == checks)
+            begins[known], sizes[known] = self.begins[near[known]], self.sizes[near[known]]
+        else:
+            known = np.zeros(len(keys), bool)
+        new = np.flatnonzero(~known)
+        made = [
+            self._chunk(data[s:e].tobytes().decode())
+            for s, e in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)
+        ]
+        sizes[new] = [len(m) // 4 for m in made]
+        begins[new] = len(self.pool) + np.cumsum(sizes[new]) - sizes[new]
+        pool = np.concatenate([self.pool, np.frombuffer(b"".join(made), "<u4")])
+        # long chunks hardly come again
+        keep = new[(ends[at[new]] - starts[at[new]]) < 64]
+        if len(keep):
+            self.keys, self.checks = (np.insert(a, where[keep], b[keep]) for a, b in ((self.keys, keys), (self.checks, checks)))
+            self.begins, self.sizes = (np.insert(a, where[keep], b[keep]) for a, b in ((self.begins, begins), (self.sizes, sizes)))
+            self.pool = pool
+        size = sizes[place]
+        take = np.repeat(begins[place] - np.cumsum(size) + size, size)
+        take += np.arange(len(take))
+        return pool[take], size
+
+    def encode_batch(self, texts: pa.Array) -> list[bytes]:
+        data, at = hashing.flat(texts)
+        n = len(at) - 1
+        if not len(data):
+            return [b""] * n
+        cuts = data == 32
+        cuts[at[:-1][np.diff(at) > 0]] = True
+        starts = np.flatnonzero(cuts)
+        ends = np.append(starts[1:], len(data))
+        ids, counts = [], np.zeros(len(starts), np.int64)
+        lo = 0
+        while lo < len(starts):  # a stretch at a time, so that memory follows the stretch
+            hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + _STRETCH)))
+            base = starts[lo]
+            found, counts[lo:hi] = self._chunks(data[base : ends[hi - 1]], starts[lo:hi] - base, ends[lo:hi] - base)
+            ids.append(found)
+            lo = hi
+        packed = np.concatenate(ids).astype("<u4").tobytes()
+        borders = 4 * np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, at)]
+        out = [packed[a:b] for a, b in zip(borders.tolist(), borders[1:].tolist(), strict=False)]
+        for i in _across(data, at):
+            out[i] = self.plain(data[at[i] : at[i + 1]].tobytes().decode())
+        return out
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _UNSAFE.search(text):
-            return self._plain(text)
-        head, *rest = text.split(" ")
-        first = self.first.get(head)
-        if first is None:
-            if len(self.first) > self.max_chunks:
-                self.first.clear()
-            first = self.first[head] = self._plain(head)
-        later, parts = self.later, [first]
-        for chunk in rest:
-            ids = later.get(chunk)
-            if ids is None:
-                ids = self._chunk(chunk)
-                if len(chunk) < 64:
-                    if len(later) > self.max_chunks:
-                        later.clear()
-                    later[chunk] = ids
-            parts.append(ids)
-        return b"".join(parts)
+        return self.encode_batch(pa.array([text], pa.string()))[0]
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[*range(9, 14), *range(28, 33)]] = True
+#: White space of more than one byte: first two bytes, and the last ones that may follow.
+_WIDE_SPACE = {
+    (0xC2, 0x85): None, (0xC2, 0xA0): None, (0xE1, 0x9A): {0x80}, (0xE2, 0x81): {0x9F}, (0xE3, 0x80): {0x80},
+    (0xE2, 0x80): {*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF},
+}
+
+
+def _across(data: np.ndarray, at: np.ndarray) -> list[int]:
+    """Texts in which a match may reach across a cut.
+
+    These have a space between white space, or between white space and the end.
+    """
+    begins, closes = _SPACE[data], _SPACE[data].copy()
+    for p in np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3))).tolist():
+        pair = (int(data[p]), int(data[p + 1]))
+        if pair in _WIDE_SPACE:
+            last = _WIDE_SPACE[pair]
+            if last is None or int(data[p + 2]) in last:
+                begins[p] = True
+                closes[p + (1 if last is None else 2)] = True
+    starts = at[:-1][np.diff(at) > 0]
+    spaces = np.flatnonzero(data == 32)
+    begun, done = np.zeros(len(data), bool), np.append(begins, True)
+    begun[starts] = True
+    done[at] = True  # the end of a text counts as white space
+    before = closes[np.maximum(spaces - 1, 0)] & ~begun[spaces]
+    after = done[spaces + 1]
+    found = spaces[before & after]
+    return np.unique(np.searchsorted(at, found, "right") - 1).tolist() if len(found) else []
 
 
 #: Byte classes of UTF-8: how many bytes follow, and the bounds of the first of them.
@@ -386,7 +469,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         encoder = _kept((path, pattern), lambda: Encoder(path, pattern))
         gc.disable()  # the tables hold no cycles, and going through them again and again is slow
         try:
-            return [pa.array([encoder.encode(t.as_py() or "") for t in columns[0]], pa.binary())]
+            return [pa.array(encoder.encode_batch(columns[0]), pa.binary())]
         finally:
             gc.enable()
 

@@ -56,13 +56,20 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
-def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+#: Values of bytes as they are, for two independent hashes.
+EXACT = tuple(
+    np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.int64).astype(_U) * _U(2) + _U(1) for seed in (11, 12)
+)
+
+
+def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _VALUE) -> np.ndarray:
+    """Hashes of ranges of bytes, which depend on the bytes alone."""
     need = len(data) + 1
     if len(_TABLES[0]) < need:
         size = max(need, _CHUNK + 2)
         _TABLES[:] = [_powers(_BASE, size), _powers(_INVERSE, size)]
     total = np.zeros(need, _U)
-    np.cumsum(_VALUE[data] * _TABLES[0][: len(data)], out=total[1:])
+    np.cumsum(values[data] * _TABLES[0][: len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * _TABLES[1][starts] + (ends - starts).astype(_U))
 
 
@@ -99,7 +106,7 @@ def words(texts: pa.Array, separators: np.ndarray = ASCII_SPACE) -> tuple[np.nda
         after[-1], after[:-1] = False, inside[1:]
         after[borders[borders > 0] - 1] = False
         end = np.flatnonzero(inside & ~after) + 1
-        out.append(_hash_words(part, first, end))
+        out.append(hash_ranges(part, first, end))
         begins.append(first + lo)
         lo = hi
     begin = np.concatenate(begins)
