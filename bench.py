@@ -19,6 +19,8 @@ HEADLINE = [
     "trade_pay_detail", "trade_refund_detail", "coupon_order", "comment_add", "dedup_latest",
     "tumble_global", "window_distinct_count", "payment_window", "order_window",
     "province_order_window", "user_spu_order_window",
+    "traffic_unique_visitor_stream", "page_uv_window_stream", "user_login_window_stream",
+    "window_distinct_count_stream", "trade_order_refund_stream", "sink_upsert",
 ]
 
 

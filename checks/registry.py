@@ -11,7 +11,7 @@ from millrace.codes import DEFAULT_DATABASE
 from millrace.functions.times import millis_to_time, ymd_hms
 from millrace.operators import cdc, firsts, logs, routing, windows
 from millrace.operators.dedup import dedup_first, dedup_latest
-from millrace.operators.lookups import dictionary_name, lookup, small_table
+from millrace.operators.lookups import dictionary_name, lookup
 from millrace.operators.words import explode_words
 from millrace.plans import simple_facts, trade_facts, trade_summary, traffic_facts
 from millrace.plans import traffic_summary, user_summary
@@ -307,7 +307,7 @@ def _(spark, d):
 @query("lookup_join_inner")
 def _(spark, d):
     named = dictionary_name(
-        sample.positions_raw(spark, d), small_table(sample.dictionary(spark)),
+        sample.positions_raw(spark, d), sample.dictionary(spark),
         "source_type", "source_type_name",
     )
     return named.groupBy("source_type_name").agg(

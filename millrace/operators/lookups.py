@@ -3,8 +3,9 @@
 Dimension tables get no hint: Spark knows the size of files, broadcasts them
 while they are below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both
 sides beyond it, where adaptive execution splits skewed partitions of the fact
-side.  Sources without a known size (databases, change feeds) would always be
-shuffled, on a code with a handful of values; :func:`small_table` measures them.
+side.  Where a size is known only at run time (change feeds, databases), adaptive
+execution broadcasts what turned out small; a dictionary of a database that streams
+look up belongs in a table, whose size is known.
 """
 
 from __future__ import annotations
@@ -14,28 +15,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Largest table that :func:`small_table` marks for broadcast.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-
-
-def small_table(table: DataFrame) -> DataFrame:
-    """Mark ``table`` for broadcast if it is measured to be small, else leave it as it is.
-
-    One job that reads no more than ``BROADCAST_ROWS + 1`` rows and returns two numbers.
-    """
-    if table.isStreaming:
-        return table
-    width = F.octet_length(F.to_json(F.struct("*")))
-    size = (
-        table.limit(BROADCAST_ROWS + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
-        .first()
-    )
-    fits = size["n"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
-    return F.broadcast(table) if fits else table
-
-
 def lookup(
     fact: DataFrame,
     table: DataFrame,
@@ -55,8 +34,5 @@ def lookup(
 
 
 def dictionary_name(fact: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
-    """Add the name of ``code``; rows with a code the dictionary lacks are dropped.
-
-    Pass the dictionary through :func:`small_table` first.
-    """
+    """Add the name of ``code``; rows with a code the dictionary lacks are dropped."""
     return lookup(fact, dictionary, code, {name: "dic_name"}, key="dic_code", how="inner")

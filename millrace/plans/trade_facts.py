@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace import codes
 from millrace.operators.cdc import changed, changes, commit_time, data, fields, increase
 from millrace.operators.interval_join import retained_join
-from millrace.operators.lookups import dictionary_name, small_table
+from millrace.operators.lookups import dictionary_name
 from millrace.operators.windows import with_event_time
 
 ORDER_DETAIL_COLUMNS = (
@@ -49,7 +49,7 @@ def cart_add(cdc: DataFrame, dictionary: DataFrame, database: str = codes.DEFAUL
         data("source_type").alias("source_type_id"),
         *fields("source_id"),
     )
-    return dictionary_name(added, small_table(dictionary), "source_type_id", "source_type_name")
+    return dictionary_name(added, dictionary, "source_type_id", "source_type_name")
 
 
 def order_wide(
@@ -89,7 +89,7 @@ def order_wide(
         with_event_time(detail, "_detail_time", watermark).withColumn(
             "source_type_id", F.col("source_type")
         ),
-        small_table(dictionary), "source_type_id", "source_type_name",
+        dictionary, "source_type_id", "source_type_name",
     )
     # the two left joins share the position id, so they come before the join on
     # the order: the positions are then shuffled twice instead of three times
@@ -159,9 +159,8 @@ def order_refund(
         ),
         commit_time().alias("_refund_time"),
     )
-    names = small_table(dictionary)
-    request = dictionary_name(request, names, "refund_type", "type_dic_name")
-    request = dictionary_name(request, names, "refund_reason_type", "reason_dic_name")
+    request = dictionary_name(request, dictionary, "refund_type", "type_dic_name")
+    request = dictionary_name(request, dictionary, "refund_reason_type", "reason_dic_name")
     joined = retained_join(
         with_event_time(request, "_refund_time", watermark),
         _order_moved_to(cdc, codes.ORDER_REFUND_ASKED, database),
@@ -198,7 +197,7 @@ def pay_detail(
         )
     )
     payment = dictionary_name(
-        payment, small_table(dictionary), "payment_type_code", "payment_type_name"
+        payment, dictionary, "payment_type_code", "payment_type_name"
     )
     joined = retained_join(
         with_event_time(details, "row_op_ts", watermark),
@@ -218,16 +217,16 @@ def pay_detail(
 def refund_detail(
     cdc: DataFrame,
     dictionary: DataFrame,
-    by_sku: bool = False,
+    by_sku: bool = True,
     database: str = codes.DEFAULT_DATABASE,
     retention: str = codes.JOIN_RETENTION,
     watermark: str = codes.WATERMARK,
 ) -> DataFrame:
     """Refunds that were paid out, with the order and the refunded quantity.
 
-    Refund payments and refund records meet on the order, so an order with
-    several refunded goods gives each combination; ``by_sku=True`` pairs them
-    on the goods as well and keeps one row per refund payment.
+    Refund payments and refund records meet on the order and the goods, a row per refund
+    payment; ``by_sku=False`` pairs them on the order alone, so an order with several
+    refunded goods gives each combination.
     """
     done = (data("refund_status") == codes.REFUND_DONE) & changed("refund_status")
     payment = changes(cdc, "refund_payment", (codes.UPDATE,), database).where(done).select(
@@ -238,7 +237,7 @@ def refund_detail(
         ),
         commit_time().alias("_refund_time"),
     )
-    payment = dictionary_name(payment, small_table(dictionary), "payment_type", "payment_name")
+    payment = dictionary_name(payment, dictionary, "payment_type", "payment_name")
     refund = changes(cdc, "order_refund_info", (codes.UPDATE,), database).where(done).select(
         data("order_id").alias("_refund_order"),
         data("sku_id").alias("_refund_sku"),

@@ -11,6 +11,14 @@ from millrace.operators import logs, routing
 from millrace.operators.cdc import CORRUPT
 from millrace.streaming.sinks import KeyedTable, fan_out
 
+#: Micro-batches between two snapshots of the dimension table.
+FOLD_EVERY = 32
+
+#: Columns of the dimension table.
+DIMENSIONS = (
+    "sink_table string, sink_columns string, pk string, type string, ts bigint, xid bigint, data map<string, string>"
+)
+
 
 def route_logs(
     parsed: DataFrame, path: str, checkpoint: str, min_size: int = 1, trigger: Mapping | None = None
@@ -30,13 +38,14 @@ def load_dimensions(
     path: str,
     checkpoint: str,
     trigger: Mapping | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """The dimension job: change records to one keyed table of all dimensions.
 
     ``read_routes`` is called for each micro-batch, so a changed configuration
-    takes effect with the next one.
+    takes effect with the next one.  Every ``fold_every`` micro-batches the table is folded.
     """
-    table = dimension_store(path)
+    table = dimension_store(path, fold_every)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.write(routing.route_dimensions(batch, read_routes()), batch_id)
@@ -45,5 +54,6 @@ def load_dimensions(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def dimension_store(path: str) -> KeyedTable:
-    return KeyedTable(path, ["sink_table", "pk"], ["ts", "xid"])
+def dimension_store(path: str, fold_every: int = FOLD_EVERY) -> KeyedTable:
+    """The keyed table of all dimensions, by sink table; it reads as empty before its first batch."""
+    return KeyedTable(path, ["sink_table", "pk"], ["ts", "xid"], DIMENSIONS, "sink_table", fold_every)

@@ -108,32 +108,83 @@ def fan_out(
 class KeyedTable:
     """A table with one row per key, written by change batches.
 
-    A batch adds its newest row per key and does not touch older files, so the
-    cost of a write goes with the batch, not with the table.  Reading keeps the
-    newest row per key; :meth:`compact` writes that result as a new table.
+    A batch adds its newest row per key in a folder of its own and touches no older file,
+    so the cost of a write goes with the batch, not with the table.  Every ``fold_every``
+    batches the writer folds the newest snapshot and the batches since into a new snapshot.
+    A read takes the newest finished snapshot and the finished batches after it, and keeps
+    the newest row per key; folders still being written, or left by a failed try, do not
+    count.  With a ``schema`` the table can be read before its first batch; with
+    ``partition`` (one of the keys) reads of one value open the files of that value only.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], version: Sequence[str]) -> None:
+    def __init__(
+        self, path: str, keys: Sequence[str], version: Sequence[str],
+        schema: str | None = None, partition: str | None = None, fold_every: int | None = None,
+    ) -> None:
         self.path = path
         self.keys = list(keys)
         self.version = list(version)
+        self.schema = schema
+        self.partition = partition
+        self.fold_every = fold_every
 
     def _newest(self, df: DataFrame, *more: str) -> DataFrame:
         first, *rest = [*self.version, *more]
         return dedup_latest(df, self.keys, first, rest)
 
+    def _finished(self, spark: SparkSession, kind: str) -> list[int]:
+        """Numbers of the finished folders of a kind, smallest first."""
+        jvm = spark._jvm
+        top = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
+        fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(top):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(top)]
+        done = [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/{n}/_SUCCESS"))]
+        return sorted(int(n.partition("=")[2]) for n in done if n.startswith("batch_id="))
+
+    def _save(self, rows: DataFrame, kind: str, number: int) -> None:
+        writer = rows.write.mode("overwrite")
+        if self.partition:
+            writer = writer.partitionBy(self.partition)
+        writer.parquet(f"{self.path}/{kind}/batch_id={number}")
+
+    def _load(self, spark: SparkSession, kind: str, numbers: Sequence[int]) -> DataFrame:
+        reader = spark.read.option("basePath", f"{self.path}/{kind}")
+        if self.schema:
+            reader = reader.schema(f"{self.schema}, batch_id bigint")
+        return reader.parquet(*[f"{self.path}/{kind}/batch_id={n}" for n in numbers])
+
     def write(self, changes: DataFrame, batch_id: int) -> None:
         """Add one batch; writing the same batch again replaces it."""
-        self._newest(changes).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        self._save(self._newest(changes), "batches", batch_id)
+        if self.fold_every and (batch_id + 1) % self.fold_every == 0:
+            self.fold(changes.sparkSession, batch_id)
+
+    def fold(self, spark: SparkSession, upto: int) -> None:
+        """Write the rows of all batches up to ``upto`` as a snapshot."""
+        self._save(self._rows(spark, upto), "snapshots", upto)
+
+    def _rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        kept = [n for n in self._finished(spark, "snapshots") if upto is None or n < upto][-1:]
+        after = kept[0] if kept else -1
+        batches = [n for n in self._finished(spark, "batches") if n > after and (upto is None or n <= upto)]
+        parts = [self._load(spark, k, n) for k, n in (("snapshots", kept), ("batches", batches)) if n]
+        if not parts:
+            if not self.schema:
+                raise ValueError(f"nothing was written to {self.path} yet, and it has no schema")
+            return spark.createDataFrame([], self.schema)
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+        return self._newest(rows, "batch_id").drop("batch_id")
 
     def read(self, spark: SparkSession, deleted: str | None = None) -> DataFrame:
         """The newest row per key; ``deleted`` is a condition for keys to leave out."""
-        rows = self._newest(spark.read.parquet(self.path), "batch_id").drop("batch_id")
+        rows = self._rows(spark)
         return rows.where(f"NOT coalesce({deleted}, false)") if deleted else rows
 
     def compact(self, spark: SparkSession, path: str, batch_id: int) -> KeyedTable:
         """Write the current rows as the first batch of a new table at ``path``."""
-        table = KeyedTable(path, self.keys, self.version)
+        table = KeyedTable(path, self.keys, self.version, self.schema, self.partition, self.fold_every)
         table.write(self.read(spark), batch_id)
         return table
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from helpers import change, changes, dictionary, page, page_log
 from millrace import schemas
 from millrace.operators import cdc, logs, routing
-from millrace.operators.lookups import small_table
 from millrace.plans import simple_facts, trade_facts
 from millrace.sources import readers
 
@@ -197,19 +196,6 @@ def test_empty_dimension_has_text_columns(spark):
     ]
 
 
-def test_broadcast_only_after_measuring(spark, monkeypatch):
-    import millrace.operators.lookups as lookups
-
-    table = spark.range(100).select(F.col("id").cast("string").alias("dic_code"))
-    hinted = "ResolvedHint (strategy=broadcast)"
-    assert hinted in small_table(table)._jdf.queryExecution().analyzed().toString()
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 99)
-    assert hinted not in small_table(table)._jdf.queryExecution().analyzed().toString()
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 1000)
-    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 10)
-    assert hinted not in small_table(table)._jdf.queryExecution().analyzed().toString()
-
-
 def test_page_table_has_event_time(spark, rows):
     value = page_log(spark, [page(1, "m", "2024-01-01 00:00:01")]).select(
         F.to_json(F.struct("common", "page", "ts")).alias("value")

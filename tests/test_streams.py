@@ -394,6 +394,30 @@ def test_keyed_table_repeats_and_deletions(spark, rows, folder):
     assert rows(table.read(spark, deleted="gone"), "k", "v") == [("a", 2)]
 
 
+def test_keyed_table_folds_while_it_is_written(spark, rows, folder):
+    table = sinks.KeyedTable(folder, ["k"], ["v"], "k string, v int, gone boolean", "k", fold_every=3)
+    assert table.read(spark).collect() == []
+    newest = {}
+    for n in range(8):
+        values = [(f"k{(n * i) % 5}", n * 10 + i, False) for i in range(3)]
+        for k, v, _ in values:
+            newest[k] = max(v, newest.get(k, -1))
+        table.write(spark.createDataFrame(values, "k string, v int, gone boolean"), n)
+        assert rows(table.read(spark), "k", "v") == sorted(newest.items())
+    assert table._finished(spark, "snapshots") == [2, 5]
+    # what a failed try leaves behind does not count
+    os.makedirs(f"{folder}/snapshots/batch_id=7/k=k0")
+    os.makedirs(f"{folder}/batches/batch_id=9/k=k0")
+    assert rows(table.read(spark), "k", "v") == sorted(newest.items())
+    read = table.read(spark).where("k = 'k1'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(k" in read
+
+
+def test_unwritten_table_without_schema_says_so(spark, folder):
+    with pytest.raises(ValueError, match="nothing was written"):
+        sinks.KeyedTable(f"{folder}/none", ["k"], ["v"]).read(spark)
+
+
 def test_text_sink_reads_back(spark, rows, folder):
     stream = feed(spark, folder, [page(1, "a", "2024-01-01 00:00:00")])
     sinks.append_text(stream.select("event_id", "ts"), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
