@@ -18,7 +18,7 @@ from __future__ import annotations
 import base64
 import gc
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from millrace.llm import hashing
 from millrace.llm.common import add_columns
 
 #: Bounds of what one Python worker keeps: transducer states, fitting pairs, words, chunks.
-MAX_STATES, MAX_PAIRS, MAX_WORDS, MAX_CHUNKS = 220_000, 300_000, 200_000, 2_000_000
+MAX_STATES, MAX_PAIRS, MAX_WORDS, MAX_CHUNKS = 180_000, 250_000, 150_000, 1_500_000
 #: Bytes of text worked on at once.
 _STRETCH = 1 << 22
 
@@ -445,15 +445,44 @@ def _decoding_tables(path: str) -> tuple:
     return machine, begins, sizes, np.frombuffer(b"".join(tokens.values()), np.uint8), whole
 
 
-_KEPT: dict[tuple, object] = {}
-
-
-def _kept(key: tuple, make: Callable[[], object]) -> object:
-    """Compiled tables stay with the Python worker for its next tasks."""
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = make()
-    return _KEPT[key]
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_DECODERS: dict[str, tuple] = {}
+
+
+def _encode(texts: pa.Array, path: str, pattern: str) -> list[bytes]:
+    """Packed ids of a batch; the compiled tables stay with the Python worker for its next tasks."""
+    if (path, pattern) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, pattern] = Encoder(path, pattern)
+    gc.disable()  # the tables hold no cycles, and going through them again and again is slow
+    try:
+        return _ENCODERS[path, pattern].encode_batch(texts)
+    finally:
+        gc.enable()
+
+
+def _decode(packed: Iterable[bytes], path: str) -> tuple[list[bytes], list[bool]]:
+    """Bytes of packed ids, and whether they are UTF-8."""
+    if path not in _DECODERS:
+        _DECODERS.clear()
+        _DECODERS[path] = _decoding_tables(path)
+    machine, begins, sizes, data, whole = _DECODERS[path]
+    out, good = [], []
+    for ids in packed:
+        found = np.frombuffer(ids, dtype="<u4").astype(np.int64)
+        if len(found) and (found.max() >= len(sizes) or not sizes[found].all()):
+            raise ValueError("an id without a token")
+        size = sizes[found]
+        ends = np.cumsum(size)
+        at = np.repeat(begins[found] - ends + size, size)
+        at += np.arange(len(at))
+        out.append(data[at].tobytes())
+        if whole[found].all():
+            good.append(True)
+        else:
+            machine.decode(found.tolist())
+            good.append(machine.valid)
+    return out, good
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -464,16 +493,9 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     tables of the transducer.  A column of ``df`` called ``ids`` is replaced.  ``path`` is a
     file of ranks that every executor can open.
     """
-
-    def work(columns: list[pa.Array]) -> list[pa.Array]:
-        encoder = _kept((path, pattern), lambda: Encoder(path, pattern))
-        gc.disable()  # the tables hold no cycles, and going through them again and again is slow
-        try:
-            return [pa.array(encoder.encode_batch(columns[0]), pa.binary())]
-        finally:
-            gc.enable()
-
-    return add_columns(df, [text], f"`{ids}` binary", work)
+    return add_columns(
+        df, [text], f"`{ids}` binary", lambda columns: [pa.array(_encode(columns[0], path, pattern), pa.binary())]
+    )
 
 
 def decode(
@@ -486,22 +508,24 @@ def decode(
     """
 
     def work(columns: list[pa.Array]) -> list[pa.Array]:
-        machine, begins, sizes, data, whole = _kept((path, "decode"), lambda: _decoding_tables(path))
-        out, good = [], []
-        for packed in columns[0]:
-            found = np.frombuffer(packed.as_py() or b"", dtype="<u4").astype(np.int64)
-            if len(found) and (found.max() >= len(sizes) or not sizes[found].all()):
-                raise ValueError("an id without a token")
-            size = sizes[found]
-            ends = np.cumsum(size)
-            at = np.repeat(begins[found] - ends + size, size)
-            at += np.arange(len(at))
-            out.append(data[at].tobytes())
-            if whole[found].all():
-                good.append(True)
-            else:
-                machine.decode(found.tolist())
-                good.append(machine.valid)
+        out, good = _decode((p.as_py() or b"" for p in columns[0]), path)
         return [pa.array(out, pa.binary()), pa.array(good, pa.bool_())]
 
     return add_columns(df, [ids], f"`{decoded}` binary, `{valid}` boolean", work)
+
+
+def encode_and_decode(
+    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
+    decoded: str = "decoded", valid: str = "decoded_valid",
+) -> DataFrame:
+    """:func:`encode`, then :func:`decode` of its ids, in one Python pass.
+
+    One after the other they would hold two Python workers per task, each with its tables.
+    """
+
+    def work(columns: list[pa.Array]) -> list[pa.Array]:
+        packed = _encode(columns[0], path, pattern)
+        out, good = _decode(packed, path)
+        return [pa.array(packed, pa.binary()), pa.array(out, pa.binary()), pa.array(good, pa.bool_())]
+
+    return add_columns(df, [text], f"`{ids}` binary, `{decoded}` binary, `{valid}` boolean", work)

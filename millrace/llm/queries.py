@@ -30,9 +30,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every whole text, decode the ids, and give digests of both."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(
+    return bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN).select(
         "doc_id", (F.length("ids").cast("long") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "decoded_valid",
     )

@@ -77,6 +77,8 @@ def test_encode_and_decode_whole_texts(texts, library):
     assert [c.lower() for c in encoded.columns] == ["doc_id", "text", "score", "kept", "ids"]
     decoded = bpe.decode(encoded, RANKS).collect()
     assert len(decoded) == texts.count()
+    both = bpe.encode_and_decode(texts, RANKS, public_tokenizers.PATTERN)
+    assert sorted(map(str, both.collect())) == sorted(map(str, decoded))
     for r in decoded:
         assert ids(r.ids) == library.encode_ordinary(r.text or "")
         assert bytes(r.decoded) == (r.text or "").encode() and r.decoded_valid and r.Score in (7, 8)
