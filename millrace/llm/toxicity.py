@@ -86,23 +86,37 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(total + float(dense[_BIAS]), -35, 35)))
 
 
-def _trainer(start: Broadcast) -> Callable[[pa.Table], pa.Table]:
-    """One pass of a shard from the shared state on: how far each coordinate moved."""
-
-    def run(shard: pa.Table) -> pa.Table:
+def _packed(shard: pa.Table) -> pa.Table:
+    """All examples of a shard as one row, in hash order."""
+    shard = shard.sort_by([("place", "ascending"), ("y", "ascending")])
+    coords = [np.frombuffer(c, "<i4") for c in shard.column("coords").to_pylist()]
+    coords = [np.append(c[c != _BIAS], _BIAS).astype("<i4") for c in coords]
+    return pa.table({
+        "shard": pa.array(shard.column("shard").to_pylist()[:1], pa.int64()),
+        "sizes": pa.array([np.array([len(c) for c in coords], "<i4").tobytes()], pa.binary()),
+        "labels": pa.array([(shard.column("y").to_numpy() > 0).astype(np.uint8).tobytes()], pa.binary()),
+        "coords": pa.array([np.concatenate(coords).tobytes()], pa.binary()),
+    })
+
+
+def _trainer(start: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One pass of each shard from the shared state on: how far each coordinate moved."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before_z, before_n = start.value
-        z, n = before_z.copy(), before_n.copy()
-        shard = shard.sort_by([("place", "ascending"), ("y", "ascending")])
-        found = [np.frombuffer(c, "<i4") for c in shard.column("coords").to_pylist()]
-        train(z, n, [
-            (np.append(c[c != _BIAS], _BIAS), int(y > 0))
-            for c, y in zip(found, shard.column("y").to_pylist(), strict=True)
-        ])
-        moved = np.flatnonzero((z != before_z) | (n != before_n))
-        return pa.table({
-            "coord": pa.array(moved.astype(np.int32)),
-            "z": pa.array((z - before_z)[moved]), "n": pa.array((n - before_n)[moved]),
-        })
+        for batch in batches:
+            for r in batch.to_pylist():
+                ends = np.cumsum(np.frombuffer(r["sizes"], "<i4"))
+                found = np.split(np.frombuffer(r["coords"], "<i4"), ends[:-1])
+                z, n = before_z.copy(), before_n.copy()
+                train(z, n, list(zip(found, r["labels"], strict=True)))
+                moved = np.flatnonzero((z != before_z) | (n != before_n))
+                yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array([r["shard"]], pa.int64()),
+                    "coord": pa.array([moved.astype("<i4").tobytes()], pa.binary()),
+                    "z": pa.array([(z - before_z)[moved].astype("<f4").tobytes()], pa.binary()),
+                    "n": pa.array([(n - before_n)[moved].astype("<f4").tobytes()], pa.binary()),
+                })
 
     return run
 
@@ -137,18 +151,23 @@ def fit(
                 [batch.column("place"), batch.column("y"), pa.array(packed, pa.binary())], names=["place", "y", "coords"]
             )
 
-    examples = stored(given.mapInArrow(extract, "place long, y int, coords binary"), "toxicity")
-    dealt = examples.groupBy(F.pmod(F.col("place"), F.lit(SHARDS)).alias("shard"))
+    shard = F.pmod(F.col("place"), F.lit(SHARDS)).alias("shard")
+    dealt = (
+        given.mapInArrow(extract, "place long, y int, coords binary").select(shard, "place", "y", "coords")
+        .groupBy("shard").applyInArrow(_packed, "shard long, sizes binary, labels binary, coords binary")
+    )
+    examples = stored(dealt.repartition(SHARDS, "shard"), "toxicity")
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for _ in range(PASSES):
         start = docs.sparkSession.sparkContext.broadcast((z, n))
-        moved = (
-            dealt.applyInArrow(_trainer(start), "coord int, z double, n double")
-            .groupBy("coord").agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
-        ).toArrow()  # a row per coordinate at most
-        at = moved.column("coord").to_numpy()
-        z[at] += moved.column("z").to_numpy() / SHARDS
-        n[at] += moved.column("n").to_numpy() / SHARDS
+        # a row per shard, with a number per coordinate at most
+        moved = examples.mapInArrow(_trainer(start), "shard long, coord binary, z binary, n binary").toArrow()
+        for r in sorted(moved.to_pylist(), key=lambda r: r["shard"]):
+            at = np.frombuffer(r["coord"], "<i4")
+            # the new arrays leave those that were sent alone
+            z, n = z.copy(), n.copy()
+            z[at] += np.frombuffer(r["z"], "<f4") / SHARDS
+            n[at] += np.frombuffer(r["n"], "<f4") / SHARDS
         start.destroy()
     w = weights(z, n)
     used = np.flatnonzero(w)
