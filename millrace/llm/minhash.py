@@ -36,7 +36,7 @@ MAX_DISTANCE = 2 * len(CHUNKS) - 1
 #: Similarity as a fraction of whole numbers.
 SIMILAR = (75, 100)
 #: Members compared with each other at once.
-BLOCK = 256
+BLOCK = 512
 #: Pairs of signatures compared at once within a task.
 _PAIRS = 1 << 16
 

@@ -86,7 +86,7 @@ def crowd():
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("block", [256, 16])
+@pytest.mark.parametrize("block", [512, 16])
 def test_near_duplicates_equal_brute_force(spark, crowd, block, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", block)
     df = spark.createDataFrame([(i, t, 0, "x") for i, t in crowd], "doc_id long, text string, KEPT int, sig string").repartition(6)
