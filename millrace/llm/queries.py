@@ -53,6 +53,31 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+#: Links to components: the smallest id reachable from each node over ``links(a, b)``.
+_REACH = """
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (
+  SELECT id, id FROM nodes UNION SELECT r.a, l.b FROM reach AS r JOIN both_ways AS l ON l.a = r.b),
+component AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY 1)"""
+
+ORACLE["op3_minhash_near_dedup"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+nodes AS (
+  SELECT doc_id AS id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM w),
+e AS (SELECT id, unnest(s) AS g FROM nodes),
+i AS (SELECT x.id AS a, y.id AS b, count(*) AS n FROM e AS x JOIN e AS y ON x.g = y.g AND x.id < y.id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM i JOIN nodes AS x ON x.id = a JOIN nodes AS y ON y.id = b
+  WHERE 100 * n >= 75 * (len(x.s) + len(y.s) - n)), {_REACH}
+SELECT id AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, component_id = id AS kept
+FROM nodes JOIN component USING (id)
+"""
+
+
 @query
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest inner products of every hundredth vector with all others."""
@@ -108,6 +133,20 @@ def op8_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
 
 
+ORACLE["op8_vector_near_dedup"] = f"""
+WITH RECURSIVE nodes AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+v AS (
+  SELECT id, label, e, sqrt(list_sum([x * x FOR x IN e])) AS n FROM nodes
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT x.id AS a, y.id AS b FROM v AS x JOIN v AS y ON x.label = y.label AND x.id < y.id AND len(x.e) = len(y.e)
+  WHERE x.n > 0 AND y.n > 0 AND list_sum([x.e[i] * y.e[i] FOR i IN range(1, len(x.e) + 1)]) >= 0.98 * x.n * y.n), {_REACH},
+degree AS (SELECT a AS id, count(*) AS n FROM both_ways GROUP BY 1)
+SELECT id AS vec_id, CAST(coalesce(degree.n, 0) AS BIGINT) AS n_links, component_id, component_id = id AS kept
+FROM nodes JOIN component USING (id) LEFT JOIN degree USING (id)
+"""
+
+
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal numbers, dates and addresses replaced by pseudonyms."""
