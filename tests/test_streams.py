@@ -460,12 +460,12 @@ def test_refund_joins_batch(spark, rows):
     assert rows(
         trade_facts.order_refund(records, names), "id", "province_id", "type_dic_name", "reason_dic_name"
     ) == [("1", "3", "refund only", "size")]
-    by_order = trade_facts.refund_detail(records, names)
+    by_order = trade_facts.refund_detail(records, names, by_sku=False)
     assert rows(by_order, "id", "refund_num", "payment_name", "user_id") == [
         ("p1", "1", "wallet", "w"), ("p1", "2", "wallet", "w"),
         ("p2", "1", "wallet", "w"), ("p2", "2", "wallet", "w"),
     ]
-    by_sku = trade_facts.refund_detail(records, names, by_sku=True)
+    by_sku = trade_facts.refund_detail(records, names)
     assert rows(by_sku, "id", "refund_num") == [("p1", "1"), ("p2", "2")]
 
 
