@@ -26,7 +26,7 @@ _SECRET_HEAD = r"""(?i:password|passwd|token|secret|api[_-]?key)["']?\s{0,3}[=:]
 _SECRET = _SECRET_HEAD + r"[A-Za-z0-9+/_-]{8,512}+"
 _ACCESS_KEY = r"AKIA[A-Z0-9]{16}"
 _IBAN = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"
-_ADDRESS = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
+_ADDRESS = r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 _YMD = r"(?:1[89]|2[01])[0-9]{2}([-/.])[01][0-9]\1[0-3][0-9]"
 _DMY = r"[0-3]?[0-9]([-/.])[0-3]?[0-9]\2(?:1[89]|2[01])[0-9]{2}"
 _SOCIAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
