@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -198,6 +199,28 @@ def test_lm_equals_brute_force(spark, order, monkeypatch):
         assert (r.log10_per_word is None) == (n == 0)
 
 
+def test_lm_registered_order_sees_long_contexts(spark):
+    # the last word is told by the first one only, four words before
+    texts = ["p x x x q", "r x x x s"] * 20 + ["p x x x s", "p x x x q"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = brute_lm(texts, 5, 0.4, 2)
+    got = {r.doc_id: r.log10_score for r in lm.score(df).collect()}
+    assert all(math.isclose(got[i], score, rel_tol=1e-9) for i, (_, score) in enumerate(want))
+    assert got[41] > got[40] + 0.5
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_lm_sql_follows_the_order(order):
+    rng = random.Random(order)
+    texts = ["", "a", "A b"] + [" ".join(rng.choices("abc", k=rng.randint(1, 40))) for _ in range(60)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    want = brute_lm(texts, order, 0.4, 2)
+    for doc_id, n, score, _ in con.execute(lm.oracle(order)).fetchall():
+        assert n == want[doc_id][0] and abs(score - want[doc_id][1]) < 1e-4
+
+
 def test_lm_edges(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score(none).collect() == []
