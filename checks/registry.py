@@ -607,8 +607,9 @@ streamed(
 # Joins of streams: change records in several micro-batches in the order of their commit
 # time, and rows far in the future that move every watermark past all others.
 
-#: How long these joins keep rows: positions of the sample are months away from their order.
-KEPT = "60 days"
+#: How long these joins keep rows: positions of the sample are up to seven years away from their
+#: order, so more than the whole span of the tables, and less than the rows in the future are away.
+KEPT = "10000 days"
 
 
 def _fed(spark, d, *tables, last=None):

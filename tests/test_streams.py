@@ -8,6 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from checks.oracle import ORACLE
 from helpers import LOG_SCHEMA, change, changes, dictionary, ms, page, page_log
 from millrace import schemas
 from millrace.operators import cdc, logs, routing
@@ -320,6 +321,22 @@ def test_order_joins(spark, rows, folder):
     assert rows(cancelled, "id", "cancel_time") == [("0", "2024-01-01 10:10:00")]
 
 
+@pytest.mark.parametrize("retention, found", [("905 seconds", ["in"]), ("2 days", ["in", "out"])])
+def test_joins_keep_rows_for_the_retention_and_no_longer(spark, folder, retention, found):
+    at = ms("2024-01-01 10:00:00") // 1000
+    first = [change("order_detail", "insert", {"id": n, "order_id": n, "source_type": "2401"}, ts=at) for n in ("in", "out")]
+    later = [change("order_info", "insert", {"id": n, "user_id": "u"}, ts=at + s) for n, s in (("in", 900), ("out", 86_400))]
+    stream = feed(spark, folder, first, later, future(), schema=schemas.CDC)
+    wide = trade_facts.order_wide(stream, dictionary(spark, c2401="search"), retention=retention)
+    got = run(spark, folder, wide)
+    assert sorted(r.id for r in got.where("id <> 'last'").collect()) == found
+
+
+def test_registered_stream_joins_are_held_against_the_batch_sql():
+    assert ORACLE["trade_order_wide_stream"] == ORACLE["trade_order_wide"]
+    assert ORACLE["trade_pay_detail_stream"] == ORACLE["trade_pay_detail"]
+
+
 def test_payment_joins(spark, rows, folder):
     names = dictionary(spark, c2401="search", c1101="wallet")
     at = ms("2024-01-01 10:00:00") // 1000
