@@ -4,9 +4,12 @@ Two texts are compared by the number of byte n-grams (1 to 4 bytes, letters lowe
 other ASCII as spaces) present in both, over the geometric mean of their numbers.  The
 kernel is approximated from landmark texts (Nyström): with L the landmarks' presence
 matrix and K its kernel, a text x maps to K^(-1/2) k(x, L).  One ridge regression per
-language on these features gives the scores.  Presence is kept over hashed n-grams, so a
-batch of texts is scored by two matrix products: texts x n-grams by n-grams x landmarks,
-then by landmarks x languages.
+language on these features gives the scores.  Presence is kept over hashed n-grams.
+
+Presence says little once most n-grams are there, so a long text is cut into equal
+stretches of bounded size, all of it, and stands for the mean of their normalised presence,
+weighted by their letters.  The kernel of two texts is then the mean over their stretches,
+and the margins of a text are the mean of the margins of its stretches.
 """
 
 from __future__ import annotations
@@ -23,8 +26,10 @@ from pyspark.sql import functions as F
 from millrace.llm import hashing
 from millrace.llm.common import add_columns, held_out, ready
 
-#: Hashed n-grams; a text's presence is this many bits.
+#: Hashed n-grams; the presence of a stretch is this many bits.
 SLOTS = 8192
+#: Bytes of a stretch at most; a shorter text is one stretch.
+SPAN = 4096
 LONGEST = 4
 #: Labelled texts per language used for training, and as landmarks, at most.
 MAX_TRAIN_PER_LANG = 500
@@ -39,13 +44,11 @@ _FOLD[65:91] += np.uint64(32)
 _STRETCH = 1 << 18
 
 
-def presence(texts: pa.Array) -> np.ndarray:
-    """A row of ``SLOTS`` zeros and ones per text."""
-    data, at = hashing.flat(texts)
-    out = np.zeros((len(at) - 1, SLOTS), np.uint8)
-    for i in range(len(at) - 1):
-        for lo in range(at[i], at[i + 1], _STRETCH):  # stretches overlap by an n-gram less one
-            part = _FOLD[data[lo : min(lo + _STRETCH + LONGEST - 1, at[i + 1])]]
+def _presence(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(starts), SLOTS), np.uint8)
+    for i, (start, end) in enumerate(zip(starts, ends, strict=True)):
+        for lo in range(start, end, _STRETCH):  # these overlap by an n-gram less one
+            part = _FOLD[data[lo : min(lo + _STRETCH + LONGEST - 1, end)]]
             grams = np.zeros(len(part), np.uint64)
             for n in range(LONGEST):
                 if len(part) <= n:
@@ -56,11 +59,38 @@ def presence(texts: pa.Array) -> np.ndarray:
     return out
 
 
+def presence(texts: pa.Array) -> np.ndarray:
+    """A row of ``SLOTS`` zeros and ones per text."""
+    data, at = hashing.flat(texts)
+    return _presence(data, at[:-1], at[1:])
+
+
 def _normed(seen: np.ndarray) -> np.ndarray:
     x = seen.astype(np.float32)
     return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
 
 
+def averaged(texts: pa.Array, times: np.ndarray | None = None) -> np.ndarray:
+    """Mean normalised presence of the stretches of each text, times a matrix if one is given."""
+    data, at = hashing.flat(texts)
+    size = np.diff(at)
+    n = np.maximum(-(-size // SPAN), 1)
+    own = np.repeat(np.arange(len(size)), n)
+    nth = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+    cut = lambda k: at[own] + size[own] * k // n[own]
+    lows, highs = cut(nth), cut(nth + 1)
+    weight = np.array([np.count_nonzero(~hashing.NO_LETTER[data[lo:hi]]) for lo, hi in zip(lows, highs, strict=True)], float)
+    total = np.bincount(own, weight, len(size))[own]
+    weight = np.where(total > 0, weight / np.maximum(total, 1), 1 / n[own]).astype(np.float32)
+    ends = np.minimum(highs + LONGEST - 1, at[own + 1])  # n-grams over a cut belong to the stretch before it
+    out = np.zeros((len(size), SLOTS if times is None else times.shape[1]), np.float32)
+    for lo in range(0, len(own), 256):
+        some = slice(lo, lo + 256)
+        rows = _normed(_presence(data, lows[some], ends[some]))
+        np.add.at(out, own[some], weight[some, None] * (rows if times is None else rows @ times))
+    return out
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
@@ -71,6 +101,7 @@ class Model:
 
     def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
         langs, scores = [], []
+        direct = self.landmarks @ self.weights
         for lo in range(0, len(texts), 256):
             part = texts.slice(lo, 256)
             known = [t is not None and _LETTER.search(t) is not None for t in part.to_pylist()]
@@ -78,7 +109,7 @@ class Model:
                 langs += [UNKNOWN] * len(part)
                 scores += [0.0] * len(part)
                 continue
-            margins = (_normed(presence(part)) @ self.landmarks) @ self.weights
+            margins = averaged(part, direct)
             best = margins.argmax(axis=1)
             # margins aim at 1 for the language and -1 for the others
             shown = np.clip((margins[np.arange(len(best)), best] + 1) / 2, 0, 1)
@@ -87,14 +118,16 @@ class Model:
         return langs, scores
 
 
-def solve(seen: np.ndarray, langs: list[str], landmarks: np.ndarray) -> Model:
-    """Nyström features of the training texts, and one ridge regression per language."""
+def solve(kernel: np.ndarray, langs: list[str], marks: np.ndarray) -> Model:
+    """Nyström features of the training texts, and one ridge regression per language.
+
+    ``kernel`` is that of training texts x landmarks, ``marks`` are landmarks x n-grams.
+    """
     names = sorted(set(langs))
-    x, marks = _normed(seen), _normed(landmarks)
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
     keep = values > 1e-6 * values[-1]
     root = vectors[:, keep] / np.sqrt(values[keep])
-    phi = (x @ marks.T).astype(float) @ root
+    phi = kernel.astype(float) @ root
     y = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     # languages weigh alike, however many texts each one has
     share = np.array([1.0 / langs.count(name) for name in names])
@@ -111,7 +144,8 @@ def fit(
     """Learn from at most ``per_lang`` texts of each language, none of them held out.
 
     Rows are taken by a hash of the id.  The texts themselves stay on the executors: a
-    text comes to the driver as ``SLOTS`` bits.  Rows with a null id, text or language, and
+    landmark comes to the driver as ``SLOTS`` numbers, any other text as its kernel with the
+    landmarks.  Rows with a null id, text or language, and
     texts without a letter, teach nothing.  Without any row the model knows no language.
     """
     ready(docs.sparkSession)
@@ -123,22 +157,30 @@ def fit(
     chosen = given.select("id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_lang)
     sample = given.join(F.broadcast(chosen), ["id", "lang"]).select("place", "lang", "text")
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [_LETTER.search(t) is not None for t in batch.column("text").to_pylist()]
-            batch = batch.filter(pa.array(keep, pa.bool_()))
-            packed = np.packbits(presence(batch.column("text")), axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("place"), batch.column("lang"), pa.array([r.tobytes() for r in packed], pa.binary())],
-                names=["place", "lang", "bits"],
-            )
-
-    rows = sorted(tuple(r) for r in sample.mapInArrow(bits, "place int, lang string, bits binary").collect())
-    if not rows:
+    def rows(given: DataFrame, times=None) -> tuple[list[str], np.ndarray]:
+        """Languages of texts with a letter, and a row of numbers for each."""
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = [_LETTER.search(t) is not None for t in batch.column("text").to_pylist()]
+                batch = batch.filter(pa.array(keep, pa.bool_()))
+                numbers = averaged(batch.column("text"), None if times is None else times.value)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("place"), batch.column("lang"), pa.array([r.tobytes() for r in numbers], pa.binary())],
+                    names=["place", "lang", "numbers"],
+                )
+
+        got = sorted(tuple(r) for r in given.mapInArrow(work, "place int, lang string, numbers binary").collect())
+        numbers = np.frombuffer(b"".join(bytes(b) for _, _, b in got), np.float32)
+        return [name for _, name, _ in got], numbers.reshape(len(got), -1) if got else np.zeros((0, SLOTS), np.float32)
+
+    _, marks = rows(sample.where(F.col("place") <= landmarks_per_lang))
+    if not len(marks):
+        _, marks = rows(sample)
+    if not len(marks):
         return Model([], np.zeros((SLOTS, 0), np.float32), np.zeros((0, 0), np.float32))
-    seen = np.unpackbits(np.frombuffer(b"".join(bytes(b) for _, _, b in rows), np.uint8).reshape(len(rows), -1), axis=1)
-    marks = [i for i, (place, _, _) in enumerate(rows) if place <= landmarks_per_lang] or list(range(len(rows)))
-    return solve(seen, [name for _, name, _ in rows], seen[marks])
+    langs, kernel = rows(sample, docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(marks.T)))
+    return solve(kernel, langs, marks)
 
 
 def predict(

@@ -1,10 +1,12 @@
 """Language ID and toxicity: held-out accuracy, and defined results for odd rows."""
 
+import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import langid, toxicity
 from millrace.llm.common import held_out, table
@@ -44,6 +46,25 @@ def test_language_held_out_accuracy(docs):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_language_of_megabyte_texts_with_odd_words(spark, docs):
+    rng = random.Random(3)
+    texts = {}
+    for lang, text in docs.where(held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text").collect():
+        texts.setdefault(lang, []).extend(text.split())
+    long = []
+    for size in (50_000, 1_000_000):
+        for lang, words in sorted(texts.items()):
+            out, n = [], 0
+            while n < size:
+                out += [*rng.choices(words, k=20), "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8))]
+                n += sum(len(w) + 1 for w in out[-21:])
+            long.append((lang, " ".join(out)))
+            long.append((lang, long[-1][1] + " 0123 " * (size // 3)))
+    model = langid.fit(docs)
+    got, _ = model.predict(pa.array([t for _, t in long]))
+    assert len(texts) >= 4 and got == [lang for lang, _ in long]
+
+
 def test_language_of_odd_rows(spark, docs):
     model = langid.fit(docs)
     df = spark.createDataFrame(ODD, "doc_id long, text string, Lang_Pred string")
