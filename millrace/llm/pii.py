@@ -23,23 +23,42 @@ ROUNDS = 8
 
 _MAIL = r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9.-]{1,190}\.[A-Za-z]{2,24}"
 _SECRET_HEAD = r"""(?i:password|passwd|token|secret|api[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?"""
-_SECRET = _SECRET_HEAD + r"[A-Za-z0-9+/_-]{8,512}+"
+_SECRET = _SECRET_HEAD + r"[A-Za-z0-9+/_-]{8,}+"
 _ACCESS_KEY = r"AKIA[A-Z0-9]{16}"
 _IBAN = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"
+#: Lengths of IBANs by country, for the printed form in groups of four.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC",
+}
+_PRINTED_IBAN = "(?:" + "|".join(
+    f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, names in _IBAN_LENGTHS.items()
+) + ")"
 _ADDRESS = r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"
 _YMD = r"(?:1[89]|2[01])[0-9]{2}([-/.])[01][0-9]\1[0-3][0-9]"
 _DMY = r"[0-3]?[0-9]([-/.])[0-3]?[0-9]\2(?:1[89]|2[01])[0-9]{2}"
 _SOCIAL = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 _NATIONAL = r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}"
 _ABROAD = r"\+[1-9][0-9](?:[ .()-]{0,2}[0-9]){6,13}"
-_CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
-
-#: Nothing but a value that stands by itself.
-PATTERN = (
-    "(?<![A-Za-z0-9])(?:"
-    + "|".join([_MAIL, _SECRET, _ACCESS_KEY, _IBAN, _ADDRESS, _YMD, _DMY, _SOCIAL, _NATIONAL, _ABROAD, _CARD])
-    + ")(?![A-Za-z0-9])"
-)
+#: Where a card may be: digits in groups, and a letter that spoils the last group.
+_RUN = r"(?<![A-Za-z0-9])[0-9][0-9 -]{12,}+[A-Za-z]?"
+#: At each border of groups in a run, the longest string of whole groups with 13 to 19 digits.
+_CARDS_AT = r"(?<![A-Za-z0-9])(?=([0-9](?:[ -]?[0-9]){12,18})(?![A-Za-z0-9]))"
+#: The string of whole groups with so many digits at the start of a longer one.
+_CARD_OF = r"^[0-9](?:[ -]?[0-9]){%d}(?![0-9])"
+
+_END = "(?![A-Za-z0-9])"
+#: A date may be followed by a time.
+_DATE_END = "(?:(?=[Tt][0-2][0-9])|(?![A-Za-z0-9]))"
+
+#: Nothing but a value that stands by itself; cards are looked for in what is left.
+PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join(
+    [x + _END for x in (_MAIL, _SECRET, _ACCESS_KEY, _PRINTED_IBAN, _IBAN, _ADDRESS)]
+    + [x + _DATE_END for x in (_YMD, _DMY)] + [x + _END for x in (_SOCIAL, _NATIONAL, _ABROAD)]
+) + ")"
 
 # dates of 400 years, a whole cycle of the calendar: 189 * 773 days
 _FIRST_DAY, _DAY_A, _DAY_B = "DATE'1800-01-01'", 189, 773
@@ -143,13 +162,17 @@ def _pseudonym(key: str, m: str) -> str:
     whole = lambda pattern: f"{m} RLIKE {_quoted('^(?:' + pattern + ')$')}"
     mail = f"concat({_characters(key, 'mail', f'substring_index({m}, {_quoted(chr(64))}, 1)')}, '@', substring_index({m}, '@', -1))"
     head = f"regexp_extract({m}, {_quoted('^' + _SECRET_HEAD)}, 0)"
-    secret = _bind(head, "g", f"concat(g, {_characters(key, 'secret', f'substr({m}, length(g) + 1)')})")
+    # long ones in parts of 512 characters, as the work grows with the square of a part
+    parts = f"regexp_extract_all(substr({m}, length(g) + 1), '.{{1,512}}', 0)"
+    secret = _bind(head, "g", f"concat(g, array_join(transform({parts}, part -> {_characters(key, 'secret', 'part')}), ''))")
     access = f"concat('AKIA', {_characters(key, 'access', f'substr({m}, 5)')})"
 
-    moved = _characters(key, "iban", f"substr({m}, 5)")
+    plain = f"replace({m}, ' ', '')"
+    moved = _characters(key, "iban", f"substr({plain}, 5)")
     check = _bind(f"{_mod97('q')}", "c", "lpad(CAST(98 - c AS STRING), 2, '0')")
     iban = _bind(moved, "bban", _bind(f"concat(bban, substr({m}, 1, 2), '00')", "q", f"concat(substr({m}, 1, 2), {check}, bban)"))
-    iban_ok = f"{_mod97(f'concat(substr({m}, 5), substr({m}, 1, 4))')} = 1"
+    iban_ok = _bind(f"concat(substr({plain}, 5), substr({plain}, 1, 4))", "q", f"{_mod97('q')} = 1")
+    printed = f"regexp_replace({iban}, '(.{{4}})(?=.)', '$1 ')"
 
     octets = f"split({m}, '[.]')"
     address_ok = f"forall({octets}, o -> CAST(o AS INT) <= 255 AND CAST(CAST(o AS INT) AS STRING) = o)"
@@ -191,51 +214,81 @@ def _pseudonym(key: str, m: str) -> str:
         "CAST(200 + h.b DIV 10000 AS STRING), lpad(CAST(h.b % 10000 AS STRING), 4, '0'))",
     )))
     abroad = _refilled(m, f"concat(left({_digits(m)}, 2), {_characters(key, 'abroad', f'substr({_digits(m)}, 3)')})")
-    # the first digit tells the kind of card and stays; the last one is the check digit
-    body = f"concat(left({_digits(m)}, 1), {_characters(key, 'card', f'substr({_digits(m)}, 2, length({_digits(m)}) - 2)')})"
-    card = _refilled(m, _bind(body, "b", f"concat(b, CAST((10 - {_luhn('b', 0)} % 10) % 10 AS STRING))"))
-    card_ok = _bind(_digits(m), "n", f"{_luhn('n', 1)} % 10 = 0")
 
     return (
         f"CASE WHEN {whole(_MAIL)} THEN {mail} WHEN {whole(_SECRET)} THEN {secret} WHEN {whole(_ACCESS_KEY)} THEN {access} "
-        f"WHEN {whole(_IBAN)} THEN IF({iban_ok}, {iban}, {m}) "
+        f"WHEN {whole(_PRINTED_IBAN)} THEN IF({iban_ok}, {printed}, {m}) WHEN {whole(_IBAN)} THEN IF({iban_ok}, {iban}, {m}) "
         f"WHEN {whole(_ADDRESS)} THEN IF({address_ok}, {address}, {m}) "
         f"WHEN {whole(_YMD)} THEN IF({ymd} IS NOT NULL, {ymd_out}, {m}) "
         f"WHEN {whole(_DMY.replace(chr(92) + '2', chr(92) + '1'))} THEN CASE WHEN {slash} AND {mdy} IS NOT NULL THEN {mdy_out} "
         f"WHEN {dmy} IS NOT NULL THEN {dmy_out} WHEN {mdy} IS NOT NULL THEN {mdy_out} ELSE {m} END "
         f"WHEN {whole(_SOCIAL)} THEN IF({social_ok}, {social}, {m}) WHEN {whole(_NATIONAL)} THEN {national} "
-        f"WHEN {whole(_ABROAD)} THEN {abroad} WHEN {whole(_CARD)} THEN IF({card_ok}, {card}, {m}) ELSE {m} END"
+        f"WHEN {whole(_ABROAD)} THEN {abroad} ELSE {m} END"
     )
 
 
+def _woven(gaps: str, values: str) -> str:
+    """Gaps and the values between them as one string."""
+    return f"array_join(zip_with({gaps}, {values}, (g, v) -> concat(g, coalesce(v, ''))), '')"
+
+
+def _cards(key: str, x: str) -> str:
+    """``x`` with its cards replaced and their number: struct with t and n.
+
+    In a run of groups of digits, a card may start and end at any border of groups.
+    """
+    # the first digit tells the kind of card and stays; the last one is the check digit
+    body = f"concat(left({_digits('m')}, 1), {_characters(key, 'card', f'substr({_digits('m')}, 2, length({_digits('m')}) - 2)')})"
+    card = _refilled("m", _bind(body, "b", f"concat(b, CAST((10 - {_luhn('b', 0)} % 10) % 10 AS STRING))"))
+    some = ", ".join(f"regexp_extract(c, {_quoted(_CARD_OF % (n - 1))}, 0)" for n in range(19, 12, -1))
+    ok = f"p <> '' AND {_bind(_digits('p'), 'n', f'{_luhn('n', 1)} % 10 = 0')}"
+    best = f"coalesce(get(filter(array({some}), p -> {ok}), 0), '')"
+    cards = f"array_distinct(filter(transform(regexp_extract_all(u, {_quoted(_CARDS_AT)}, 1), c -> {best}), p -> p <> ''))"
+    exact = f"concat('(?<![A-Za-z0-9])(?:', array_join(cs, '|'), ')(?![A-Za-z0-9])')"
+    changed = _bind(exact, "e", _bind("regexp_extract_all(u, e, 0)", "fs", (
+        f"named_struct('t', {_woven('split(u, e, -1)', f'transform(fs, m -> {card})')}, 'n', size(fs))"
+    )))
+    run = _bind(cards, "cs", f"IF(size(cs) = 0, named_struct('t', u, 'n', 0), {changed})")
+    runs = f"transform(regexp_extract_all({x}, {_quoted(_RUN)}, 0), u -> {run})"
+    return f"IF({x} RLIKE '[0-9][0-9 -]{{12}}', " + _bind(runs, "rs", (
+        f"named_struct('t', {_woven(f'split({x}, {_quoted(_RUN)}, -1)', 'transform(rs, o -> o.t)')}, "
+        f"'n', aggregate(rs, 0, (a, o) -> a + o.n))"
+    )) + f", named_struct('t', {x}, 'n', 0))"
+
+
 def pseudonymise(
     df: DataFrame, key: str, text: str = "text", n_replaced: str = "n_replaced"
 ) -> DataFrame:
     """Replace ``text`` by itself with pseudonyms, and append how many values were replaced.
 
     Mail addresses keep their domain, cards their first digit, telephone numbers their
-    country code, IBANs their country, dates stay within 1800 to 2199 and keep their order
+    country code, IBANs their country and grouping, dates stay within 1800 to 2199 and keep their order
     and separators (month first with slashes, day first else).  Values that fail their
-    check are left alone.  A null text stays null with 0 replacements; the rest of every
+    check are left alone; a card is found beside other numbers of its run of digits.  A null text stays null with 0 replacements; the rest of every
     text stays as it is.  Other columns pass through; one called ``n_replaced`` is replaced.
     Everything is an expression of the row: no shuffle, no Python.
     """
     ready(df.sparkSession)
     kept = [c for c in df.columns if c.lower() not in (text.lower(), n_replaced.lower())]
-    t, found, made, gaps = (fresh(df.columns, [f"_{i}"]) for i in range(4))
+    t, found, made, parts = (fresh(df.columns, [f"_{i}"]) for i in range(4))
     pattern = _quoted(PATTERN)
     # only texts with a digit or a mail sign can hold a value
     may = f"{t} RLIKE '[0-9@]'"
+    gaps = f"IF(size({found}) > 0, split({t}, {pattern}, -1), array({t}))"
+    values = f"zip_with({found}, {made}, (f, v) -> named_struct('t', v, 'd', f <> v))"
+    # what is between the values, and each value; d: replaced already
+    whole = (
+        f"flatten(zip_with({gaps}, {values}, (g, v) -> array(named_struct('t', g, 'd', false), "
+        "coalesce(v, named_struct('t', '', 'd', false)))))"
+    )
     out = (
         df.select(*(df[f"`{c}`"] for c in kept), F.col(f"`{text}`").cast("string").alias(t))
         .withColumn(found, F.expr(f"IF({may}, regexp_extract_all({t}, {pattern}, 0), array())"))
         .withColumn(made, F.expr(f"IF(size({found}) > 0, transform({found}, m -> {_pseudonym(key, 'm')}), array())"))
-        .withColumn(gaps, F.expr(f"IF(size({found}) > 0, split({t}, {pattern}, -1), array({t}))"))
+        .withColumn(parts, F.expr(f"IF({may}, transform({whole}, z -> IF(z.d, named_struct('t', z.t, 'n', 1), {_cards(key, 'z.t')})), array())"))
     )
-    joined = f"array_join(zip_with({gaps}, {made}, (g, v) -> concat(g, coalesce(v, ''))), '')"
-    count = f"size(filter(arrays_zip({found}, {made}), z -> z.`0` <> z.`1`))".replace("`0`", f"`{found}`").replace("`1`", f"`{made}`")
     result = out.select(
-        *kept, F.expr(f"IF(size({found}) > 0, {joined}, {t})").alias(text),
-        F.expr(f"IF({t} IS NULL, 0, {count})").cast("int").alias(n_replaced),
+        *kept, F.expr(f"IF(size({parts}) > 0, array_join(transform({parts}, z -> z.t), ''), {t})").alias(text),
+        F.expr(f"IF({t} IS NULL, 0, aggregate({parts}, 0, (a, z) -> a + z.n))").cast("int").alias(n_replaced),
     )
     return result.select(*(c for c in df.columns if c.lower() != n_replaced.lower()), n_replaced)

@@ -101,6 +101,49 @@ def test_iban_keeps_its_country_and_check(replace):
     assert int("".join(str(int(c, 36)) for c in out[4:] + out[:4])) % 97 == 1
 
 
+CARD = "4111111111111111"
+
+
+def card_pseudonym(card):
+    body = card[0] + characters("card", card[1:-1])
+    return next(body + str(c) for c in range(10) if luhn_ok(body + str(c)))
+
+
+@pytest.mark.parametrize("before, card, after, n", [
+    ("id 12 ", CARD, "", 1), ("", CARD, " 123", 1), ("", "4111 1111 1111 1111", " 123", 1), ("7 ", "4111-1111-1111-1111", " 99 x", 1),
+    ("1 2 3 ", CARD, " 4 5 6", 1), ("", CARD, " 2 " + CARD, 2), ("12 ", CARD, "a", 0), ("AT61 ", "4111 1111 1111 1111", "", 1),
+])
+def test_cards_beside_other_numbers(replace, before, card, after, n):
+    digits = iter(card_pseudonym(CARD))
+    new = "".join(next(digits) if c.isdigit() else c for c in card) if n else card
+    assert replace(before + card + after) == [(before + new + after.replace(CARD, card_pseudonym(CARD)), n)]
+
+
+def test_runs_of_digits_do_not_hide_other_values(replace):
+    (date_alone, _), (beside, n) = replace("1990-03-05", "12345 1990-03-05")
+    assert (beside, n) == ("12345 " + date_alone, 1)
+
+
+def test_dates_of_timestamps_are_those_of_dates(replace):
+    day = date(dt.date(1990, 3, 5)).isoformat()
+    assert replace("1990-03-05", "at 1990-03-05T10:00:00Z.", "1990-03-05Ten") == [
+        (day, 1), (f"at {day}T10:00:00Z.", 1), ("1990-03-05Ten", 0)]
+
+
+def test_printed_iban_is_the_plain_one_in_groups(replace):
+    (plain, _), (shown, n), (other, k) = replace(
+        "DE89370400440532013000", "x DE89 3704 0044 0532 0130 00, y", "GB82 WEST 1234 5698 7654 33")
+    assert n == 1 and shown == "x " + " ".join(plain[i : i + 4] for i in range(0, 22, 4)) + ", y"
+    assert (other, k) == ("GB82 WEST 1234 5698 7654 33", 0)
+
+
+@pytest.mark.parametrize("length", [400, 512, 513, 5000])
+def test_secrets_of_any_length(replace, length):
+    secret = ("aB3-" * length)[:length]
+    parts = [secret[i : i + 512] for i in range(0, length, 512)]
+    assert replace(f"token={secret}.") == [("token=" + "".join(characters("secret", p) for p in parts) + ".", 1)]
+
+
 @pytest.mark.parametrize("text", [
     "", "Nothing to see, 12 or 345.", "4276924586904848", "300.1.1.1", "000-12-3456", "2001-02-30", "DE89370400440532013001",
     "1.2.3.4.5 x", "a@b", "words only é", "99999999999999999999999", "password", "1899 and 2024",
