@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, licenses, lm, minhash, packing, pii, topk, toxicity, vectors
+from millrace.llm import bpe, langid, licenses, lm, minhash, packing, pii, repeats, topk, toxicity, vectors
 from millrace.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,3 +165,28 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_lm_score"] = lm.oracle()
+
+
+@query
+def op11_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of passages of 35 words that occur twice."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLE["op11_repeated_passages"] = """
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+g AS (SELECT r, s, hash(array_to_string(w[s:s + 34], ' ')) AS h, md5(array_to_string(w[s:s + 34], ' ')) AS m
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS s FROM w)),
+twice AS (SELECT h, m FROM g GROUP BY ALL HAVING count(*) > 1),
+gone AS (SELECT r, list_distinct(flatten(list(range(s, s + 35)))) AS places FROM g JOIN twice USING (h, m) GROUP BY r),
+k AS (
+  SELECT doc_id, w, [i FOR i IN range(1, len(w) + 1) IF NOT coalesce(list_contains(places, i), false)] AS kept
+  FROM w LEFT JOIN gone USING (r))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIGINT) AS n_removed,
+  sha256(array_to_string([w[i] FOR i IN kept], ' ')) AS kept_sha256
+FROM k
+"""
