@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, langid, licenses, lm, minhash, packing, pii, repeats, topk, toxicity, vectors
+from millrace.llm import alignment, bpe, langid, licenses, lm, minhash, packing, pii, repeats, topk, toxicity, vectors
 from millrace.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +190,16 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIG
   sha256(array_to_string([w[i] FOR i IN kept], ' ')) AS kept_sha256
 FROM k
 """
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document, with corpus-wide counts of linked pairs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    aligned = alignment.align(docs, *paths)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.encode("groups", "UTF-8"), 256)).otherwise("")
+    counted = alignment.count_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return counted.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
