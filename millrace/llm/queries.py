@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import alignment, bpe, langid, licenses, lm, minhash, packing, pii, repeats, topk, toxicity, vectors
+from millrace.llm import alignment, bpe, langid, licenses, lm, minhash, negatives, packing, pii, repeats, topk, toxicity, vectors
 from millrace.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,3 +203,33 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(
         F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
     )
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for its five best positives."""
+    given = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.labelled(given.select("vec_id", "embedding", moved.alias("label")), "vec_id", "embedding", "label", 256)
+    return negatives.hard_negatives(rows.where("id % 100 = 0"), rows)
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same,
+    CAST(list_sum([a.e[i] * c.e[i] FOR i IN range(1, len(a.e) + 1)]) AS BIGINT) AS score
+  FROM v AS a JOIN v AS c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.e) = len(c.e)),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.*, other AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS r
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score) WHERE r <= 10
+"""
