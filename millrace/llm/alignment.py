@@ -14,9 +14,13 @@ each block, so a pair that all texts hold is an entry per block, never one per t
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
+from operator import concat
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +31,10 @@ from pyspark.sql import functions as F
 from millrace.llm import hashing
 from millrace.llm.common import ready, stored
 
-#: Bytes of links that one block holds about; a longer text is a block of its own.
-BLOCK_BYTES = 24 << 20
+#: Bytes of links and groups that one block holds; a text with more is a block of its own.
+BLOCK_BYTES = 8 << 20
+#: Bytes of texts that are tokenized at once; a longer text is taken alone.
+STRETCH_BYTES = 1 << 20
 
 #: The split of texts that byte-level tokenizer files with ``use_regex`` stand for.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -96,49 +102,51 @@ class Pieces:
         return self._model.encode(texts, num_threads=1)
 
 
-def diagonal_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[tuple[int, int, int, int, bool]]:
-    """Groups of tokens between common ends, in order: ``a0, a1, b0, b1, run``.
+def diagonal_groups(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int, list | None]]:
+    """Groups of tokens between common ends, in order: ``a0, a1, b0, b1, links``.
 
-    With ``run``, the tokens a0 to a1 and b0 to b1 correspond one to one and are a group each;
-    otherwise the tokens of both ranges are one group.  Ends ascend and the last ones agree.
+    Without links, the tokens a0 to a1 and b0 to b1 correspond one to one and are a group each;
+    otherwise the tokens of both ranges are one group, and ``links`` are the pairs of them that
+    overlap.  Ends ascend, and the last ones agree.
     """
     na, nb = len(ends_a), len(ends_b)
-    a, b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
-    list_a, list_b = ends_a.tolist(), ends_b.tolist()
+    a, b = array("q", ends_a).tobytes(), array("q", ends_b).tobytes()
     i = j = 0
     while i < na:
         n, step, most = 0, 1, min(na - i, nb - j)
         while n < most:  # probe ahead at the shift j - i
             m = min(step, most - n)
-            x, y = i + n, j + n
-            if a[8 * x : 8 * (x + m)] == b[8 * y : 8 * (y + m)]:
+            x, y = 8 * (i + n), 8 * (j + n)
+            if a[x : x + 8 * m] == b[y : y + 8 * m]:
                 n, step = n + m, 2 * step
                 continue
             lo, hi = 0, m  # the first difference lies within hi
             while hi - lo > 1:
                 mid = (lo + hi) // 2
-                if a[8 * (x + lo) : 8 * (x + mid)] == b[8 * (y + lo) : 8 * (y + mid)]:
+                if a[x + 8 * lo : x + 8 * mid] == b[y + 8 * lo : y + 8 * mid]:
                     lo = mid
                 else:
                     hi = mid
             n += lo
             break
         if n:
-            yield i, i + n, j, j + n, True
+            yield i, i + n, j, j + n, None
             i, j = i + n, j + n
             if i == na:
                 return
-        # the ends differ here: step the shorter side until they agree again
+        # the ends differ here: step the side that ends first until they agree again
         p, q = i, j
-        x, y = list_a[p], list_b[q]
+        x, y = ends_a[p], ends_b[q]
+        links = [(p, q)]
         while x != y:
             if x < y:
                 p += 1
-                x = list_a[p]
+                x = ends_a[p]
             else:
                 q += 1
-                y = list_b[q]
-        yield i, p + 1, j, q + 1, False
+                y = ends_b[q]
+            links.append((p, q))
+        yield i, p + 1, j, q + 1, links
         i, j = p + 1, q + 1
 
 
@@ -147,34 +155,31 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.len_a, self.len_b = (np.array([len(t) for t in c.table]) for c in (self.a, self.b))
-        self.text_a, self.text_b = ([str(i) for i in range(len(c.table))] for c in (self.a, self.b))
+        self.len_a, self.len_b = ([len(t) for t in c.table] for c in (self.a, self.b))
+        # ids as text, those of A with the sign before those of B
+        self.before, self.after = [f"{i}|" for i in range(len(self.len_a))], [str(i) for i in range(len(self.len_b))]
 
     def align(self, ids_a: list[int], ids_b: list[int]) -> tuple[int, str, list[int], list[int]]:
         """Number of groups, their text, and the A and B ids of all links."""
-        ends = [np.cumsum(n[np.array(ids, np.int64)]) for n, ids in ((self.len_a, ids_a), (self.len_b, ids_b))]
-        shown_a, shown_b = [self.text_a[i] for i in ids_a], [self.text_b[i] for i in ids_b]
+        ends_a = list(accumulate([self.len_a[i] for i in ids_a]))
+        ends_b = list(accumulate([self.len_b[i] for i in ids_b]))
+        before, after = [self.before[i] for i in ids_a], [self.after[i] for i in ids_b]
         left: list[int] = []
         right: list[int] = []
         groups: list[str] = []
-        for a0, a1, b0, b1, run in diagonal_groups(*ends):
-            if run:
+        for a0, a1, b0, b1, links in diagonal_groups(ends_a, ends_b):
+            if links is None:
                 left += ids_a[a0:a1]
                 right += ids_b[b0:b1]
-                groups += [f"{x}|{y}" for x, y in zip(shown_a[a0:a1], shown_b[b0:b1], strict=True)]
+                groups += map(concat, before[a0:a1], after[b0:b1])
                 continue
-            groups.append(",".join(shown_a[a0:a1]) + "|" + ",".join(shown_b[b0:b1]))
-            # ends within a group differ, so the token that ends first meets the next one
-            p, q = a0, b0
-            while True:
+            for p, q in links:
                 left.append(ids_a[p])
                 right.append(ids_b[q])
-                if p + 1 == a1 and q + 1 == b1:
-                    break
-                if q + 1 == b1 or (p + 1 < a1 and ends[0][p] < ends[1][q]):
-                    p += 1
-                else:
-                    q += 1
+            if a1 - a0 == 1:
+                groups.append(before[a0] + ",".join(after[b0:b1]))
+            else:
+                groups.append("".join(before[a0:a1]).replace("|", ",")[:-1] + "|" + ",".join(after[b0:b1]))
         return len(groups), ";".join(groups), left, right
 
     def rows(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, str, bytes]]:
@@ -183,108 +188,91 @@ class Aligner:
         table_a, table_b = self.a.table, self.b.table
         for text, ids_a, ids_b in zip(given, self.a.ids(given), self.b.ids(given), strict=True):
             whole = (" " + text).encode()
-            if (
-                not text or b"".join([table_a[i] for i in ids_a]) != whole or b"".join([table_b[i] for i in ids_b]) != whole
-                or not all(map(table_a.__getitem__, ids_a)) or not all(map(table_b.__getitem__, ids_b))
-            ):
+            parts_a, parts_b = [table_a[i] for i in ids_a], [table_b[i] for i in ids_b]
+            if not text or b"".join(parts_a) != whole or b"".join(parts_b) != whole or b"" in parts_a or b"" in parts_b:
                 yield 0, 0, 0, 0, "", b""
                 continue
             n, groups, left, right = self.align(ids_a, ids_b)
             links = np.empty((len(left), 2), "<u4")
-            links[:, 0], links[:, 1] = left, right
+            links[:, 0], links[:, 1] = array("q", left), array("q", right)
             yield len(ids_a), len(ids_b), n, len(left), groups, links.tobytes()
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
-def align(df: DataFrame, path_a: str, path_b: str, id_: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row: ``id_``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups``, ``links``.
+def _packed(block: int, rows: list[tuple], names: list[str], kind: pa.DataType) -> pa.RecordBatch:
+    """A block of aligned rows: its distinct pairs, in how many rows each is, and the rows themselves.
 
-    ``groups`` is text: ``a1,a2|b1;a3|b2,b3`` with decimal ids in order; ``links`` are the
-    linked pairs as little-endian 32-bit ids, A before B.  A text that is null, empty, or not
-    given back byte by byte by the tokens of both tokenizers has no tokens: zeros, an empty
-    text and no links.  Null and repeated ids are rows like any other.  Other columns are not
-    read.  No shuffle; memory is one batch of texts.
+    The last entry of a row are its links; they become places among the pairs of the block.
     """
-    ready(df.sparkSession)
-    given = df.select(F.col(f"`{id_}`"), F.col(f"`{text}`").cast("string").alias("text" if id_ != "text" else "_text"))
-    kind = given.schema[0].dataType.simpleString()
+    columns = list(zip(*rows, strict=True))
+    sizes = np.array([len(b) // 8 for b in columns[-1]])
+    pairs = np.frombuffer(b"".join(columns[-1]), "<u4").reshape(-1, 2)
+    keys, place = np.unique(pairs[:, 0].astype(np.int64) << 32 | pairs[:, 1], return_inverse=True)
+    del pairs
+    place = place.astype("<u4")
+    links = np.split(place, np.cumsum(sizes)[:-1])
+    docs = np.zeros(len(keys), np.int64)
+    for one in links:
+        docs[np.unique(one)] += 1
+    kinds = [kind, *[pa.int64()] * 4, pa.string()]
+    arrays = [pa.array(c, k) for c, k in zip(columns[:-1], kinds, strict=True)]
+    local = pa.RecordBatch.from_arrays([*arrays, pa.array([p.tobytes() for p in links], pa.binary())], names=[*names, "links"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, local.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(local)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block]), pa.array([keys], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.int64())),
+         pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+        names=["block", "keys", "docs", "rows"],
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (path_a, path_b)
-        if key not in _ALIGNERS:
-            _ALIGNERS[key] = Aligner(*key)
-        for batch in batches:
-            lo, (_, at) = 0, hashing.flat(batch.column(1))
-            while lo < batch.num_rows:
-                # some megabytes of text at a time
-                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (4 << 20), "right")) - 1)
-                part = batch.slice(lo, hi - lo)
-                columns = list(zip(*_ALIGNERS[key].rows(part.column(1).to_pylist()), strict=True))
-                kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                    names=[id_, "n_a", "n_b", "n_groups", "n_links", "groups", "links"],
-                )
-                lo = hi
 
-    return given.mapInArrow(
-        run, f"`{id_}` {kind}, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
-    )
+def align(
+    df: DataFrame, path_a: str, path_b: str, id_: str = "doc_id", text: str = "text", digest: bool = False,
+) -> DataFrame:
+    """One row per row: ``id_``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups``, ``n_best``, ``count_sum``.
 
+    ``groups`` is text, ``a1,a2|b1;a3|b2,b3`` with decimal ids in order; with ``digest`` the
+    hexadecimal SHA-256 of it.  The count of an id pair is the number of rows in which it is
+    linked; ``count_sum`` adds up the counts of a row's links, ``n_best`` is the number of links
+    whose count is the highest of all pairs with their A id, ties included.
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows put together to about ``BLOCK_BYTES`` of links."""
-    held, size = [], 0
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            n = len(row.column("links")[0].as_buffer() or b"")
-            if held and size + n > BLOCK_BYTES:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
-            held.append(row)
-            size += n
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def count_links(aligned: DataFrame) -> DataFrame:
-    """Replace ``links`` by ``n_best`` and ``count_sum``, given rows as :func:`align` makes them.
-
-    The count of an id pair is the number of rows in which it is linked.  ``count_sum`` adds up
-    the counts of a row's links; ``n_best`` is the number of links whose count is the highest
-    of all pairs with their A id, ties included.  Rows without links have zeros.  All other
-    columns pass through, repeated and null values too.
+    A text that is null, empty, or not given back byte by byte by the tokens of both tokenizers
+    has no tokens: zeros and an empty ``groups``, never a digest.  Null and repeated ids are
+    rows like any other; other columns are not read.  A frame without rows gives none.
     """
-    spark = ready(aligned.sparkSession)
-    kept = [c for c in aligned.columns if c.lower() not in ("links", "n_best", "count_sum")]
-    given = aligned.select(*(F.col(f"`{c}`") for c in kept), "links")
+    spark = ready(df.sparkSession)
+    given = df.select(F.col(f"`{id_}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    names = ["id", "n_a", "n_b", "n_groups", "n_links", "groups"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        for number, block in enumerate(_blocks(batches)):
-            links = [np.frombuffer(b or b"", "<u4").reshape(-1, 2).astype(np.int64) for b in block.column("links").to_pylist()]
-            sizes = np.array([len(x) for x in links])
-            pairs = np.concatenate(links)
-            keys, place = np.unique(pairs[:, 0] << 32 | pairs[:, 1], return_inverse=True)
-            rows = np.repeat(np.arange(len(sizes)), sizes)
-            # in how many rows of the block each pair is
-            once = np.unique(rows * max(1, len(keys)) + place) % max(1, len(keys))
-            docs = np.bincount(once, minlength=len(keys))
-            place = place.astype("<u4")
-            borders = np.cumsum(sizes)[:-1]
-            # rows are kept as they are, with places in the block's keys for links
-            local = block.select(kept).append_column("links", pa.array([p.tobytes() for p in np.split(place, borders)], pa.binary()))
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, local.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                writer.write_table(local.combine_chunks())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([task << 32 | number]), pa.array([keys], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.int64())),
-                 pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                names=["block", "keys", "docs", "rows"],
-            )
+        key = (path_a, path_b)
+        if key not in _ALIGNERS:
+            _ALIGNERS[key] = Aligner(*key)
+        aligner, task, number = _ALIGNERS[key], TaskContext.get().partitionId(), 0
+        held, size, kind = [], 0, None
+        for batch in batches:
+            kind = batch.column(0).type
+            ids, (_, at), lo = batch.column(0).to_pylist(), hashing.flat(batch.column(1)), 0
+            while lo < batch.num_rows:
+                # a stretch of texts at a time
+                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + STRETCH_BYTES, "right")) - 1)
+                texts = batch.column(1).slice(lo, hi - lo).to_pylist()
+                for doc, row in zip(ids[lo:hi], aligner.rows(texts), strict=True):
+                    *counts, groups, links = row
+                    if digest and groups:
+                        groups = hashlib.sha256(groups.encode()).hexdigest()
+                    more = len(links) + len(groups)
+                    if held and size + more > BLOCK_BYTES:
+                        yield _packed(task << 32 | number, held, names, kind)
+                        held, size, number = [], 0, number + 1
+                    held.append((doc, *counts, groups, links))
+                    size += more
+                lo = hi
+        if held:
+            yield _packed(task << 32 | number, held, names, kind)
 
     blocks = stored(given.mapInArrow(pack, "block long, keys array<long>, docs array<long>, rows binary"), "links")
     each = blocks.select("block", F.explode(F.arrays_zip("keys", "docs")).alias("e")).select(
@@ -294,7 +282,8 @@ def count_links(aligned: DataFrame) -> DataFrame:
     most = counts.groupBy("a").agg(F.max("n").alias("most"))
     counts = counts.join(most, "a").select("key", "n", (F.col("n") == F.col("most")).alias("best"))
     answers = each.select("block", "key").join(counts, "key").select(F.col("block").alias("to"), "key", "n", "best")
-    schema = given.select(*kept).schema.add("n_best", "long").add("count_sum", "long")
+    id_type = given.schema["id"].dataType.simpleString()
+    schema = f"`{id_}` {id_type}, n_a long, n_b long, n_groups long, n_links long, groups string, n_best long, count_sum long"
 
     def add_up(block: pa.Table, found: pa.Table) -> pa.Table:
         parts = []
@@ -305,7 +294,7 @@ def count_links(aligned: DataFrame) -> DataFrame:
             rows = pa.ipc.open_stream(packed).read_all()
             links = [np.frombuffer(b, "<u4") for b in rows.column("links").to_pylist()]
             parts.append(
-                rows.select(kept)
+                rows.select(names).rename_columns([id_, *names[1:]])
                 .append_column("n_best", pa.array([int(best[x].sum()) for x in links], pa.int64()))
                 .append_column("count_sum", pa.array([int(n[x].sum()) for x in links], pa.int64()))
             )

@@ -197,11 +197,10 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers over every document, with corpus-wide counts of linked pairs."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    aligned = alignment.align(docs, *paths)
-    digest = F.when(F.col("n_a") > 0, F.sha2(F.encode("groups", "UTF-8"), 256)).otherwise("")
-    counted = alignment.count_links(aligned.withColumn("groups_sha256", digest).drop("groups"))
-    return counted.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    found = alignment.align(docs, *paths, digest=True)
+    return found.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.col("groups").alias("groups_sha256"),
     )
 
 
