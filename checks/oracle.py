@@ -78,6 +78,12 @@ rows_first AS (
     FROM rows_raw) WHERE rn = 1)
 """
 
+FIRST_AFTER_IDLE = """
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, row_op_ts
+  ORDER BY id, sku_id, sku_num, order_price, tot_txt, act_txt NULLS LAST, coup_txt NULLS LAST) AS n FROM rows_raw),
+g AS (SELECT *, lag(row_op_ts) OVER (PARTITION BY user_id ORDER BY row_op_ts) AS before FROM r WHERE n = 1)
+"""
+
 DIMS = """
 spu AS (SELECT DISTINCT CAST(p_partkey % 50 AS VARCHAR) AS id, 'spu_' || CAST(p_partkey % 50 AS VARCHAR) AS spu_name
         FROM part WHERE p_partkey % 50 < 40),
@@ -394,13 +400,6 @@ CHANGE_KINDS = """
     CASE WHEN event_id % 2 = 1 AND event_id % 11 <> 0 THEN CAST(event_id % 5 + 1 AS VARCHAR) END AS old_num
   FROM events WHERE event_type = 'click'"""
 
-def closed(sql, last="(SELECT max(ts) FROM events)"):
-    """Only the windows a stream has closed when its last row is ``last``."""
-    return (
-        f"SELECT * FROM ({sql}) WHERE strptime(edt, {FMT}) <= {last} - INTERVAL 2 SECOND"
-    )
-
-
 ORACLE = {
     # logs
     "log_dirty_split": LOG + """
@@ -545,31 +544,21 @@ ORACLE = {
       UNION ALL SELECT 'display', CAST(sum(event_id % 3) AS BIGINT) FROM raw_log WHERE event_id % 13 <> 0 AND event_id % 101 <> 0
       UNION ALL SELECT 'action', CAST(sum(event_id % 4) AS BIGINT) FROM raw_log WHERE event_id % 13 <> 0
       UNION ALL SELECT 'page', count(*) FROM raw_log WHERE event_id % 13 <> 0""",
-    "traffic_unique_visitor_stream": _with(PAGE_LOG, VISITORS)
-    + f"""SELECT {_PROJECT}, vc, ch, ar, is_new FROM visitors
-      WHERE ms <= (SELECT max(ms) FROM page_log) - 2000""",
-    "traffic_user_jump_stream": user_jump(21_600_000)
-    + " WHERE ms + 21600000 <= (SELECT max(ms) FROM page_log) - 2000",
-    "keyword_window_stream": closed(
-        keyword_window("10 seconds"),
-        "(SELECT max(ts) FROM events WHERE event_id % 10 IN (5, 6))",
-    ),
-    "page_uv_window_stream": closed(
-        page_uv_window("10 seconds"),
-        "(SELECT max(ts) FROM events WHERE event_type IN ('view', 'click'))",
-    ),
-    "user_login_window_stream": closed(user_login_window("1 day", 2)),
-    "cart_uu_window_stream": CART + f""", w AS (
-      SELECT coalesce(operate_time, create_time) AS t, row_number() OVER (
-        PARTITION BY user_id, CAST(coalesce(operate_time, create_time) AS DATE)
-        ORDER BY coalesce(operate_time, create_time), id) AS rn FROM cart)
-      SELECT {bounds('t', '10 seconds')}, count(*) AS cart_add_uu_ct FROM w WHERE rn = 1
-        AND time_bucket(INTERVAL '10 seconds', t) + INTERVAL 12 SECOND
-          <= (SELECT max(coalesce(operate_time, create_time)) FROM cart)
-      GROUP BY ALL""",
-    "window_distinct_count_stream": closed(f"""
-      SELECT {bounds('ts', '1 day')}, event_type, count(DISTINCT user_id) AS users FROM events GROUP BY ALL"""),
+    "first_after_idle": _with(DICTIONARY, ORDERS, FIRST_AFTER_IDLE) + f"""
+      SELECT user_id, id, order_id, sku_id, sku_num, order_price, tot_txt AS split_total_amount,
+        strftime(row_op_ts, {FMT}) AS row_op_ts FROM g
+      WHERE before IS NULL OR row_op_ts - before > INTERVAL 30 DAY""",
+}
+# streams get rows far in the future, so they give what the batch forms give, to the last row
+ORACLE |= {
+    f"{name}_stream": ORACLE[name]
+    for name in (
+        "traffic_unique_visitor", "traffic_user_jump", "keyword_window", "page_uv_window", "cart_uu_window",
+        "window_distinct_count", "traffic_dims_window", "dedup_first", "dedup_latest", "first_after_idle",
+        "payment_window", "order_window", "province_order_window", "user_spu_order_window",
+    )
 }
+ORACLE["user_login_window_stream"] = ORACLE["user_login_window_1d"]
 # stream joins keep rows for longer than the tables span, so they give what the batch joins give
 ORACLE |= {
     "trade_order_wide_stream": ORDER_WIDE,
@@ -578,3 +567,45 @@ ORACLE |= {
     "trade_pay_detail_stream": PAY_DETAIL,
 }
 ORACLE["sink_upsert"] = ORACLE["dim_upsert_latest"]
+
+_S = "epoch_ms(date_trunc('second', ts)) // 1000"
+_ROUTED = f"""
+  WITH r AS (
+    SELECT 'cart_info' AS tbl, CASE WHEN event_id % 2 = 0 THEN 'insert' ELSE 'update' END AS type, event_id, user_id,
+      {_S} + (CASE WHEN event_id % 2 = 0 THEN 0 ELSE 1800 END) AS s FROM events WHERE event_type = 'click'
+    UNION ALL SELECT 'favor_info', 'insert', event_id, user_id, {_S} FROM events WHERE event_type = 'view'),
+  t AS (SELECT *, make_timestamp(s * 1000000) AS t FROM r),
+  routed AS (
+    SELECT 'dim_cart' AS sink_table, type, CAST(event_id AS VARCHAR) AS pk, CAST(s AS BIGINT) AS ts, event_id AS xid, 'id,user_id' AS kept
+    FROM t WHERE tbl = 'cart_info' AND t >= '2024-01-05' AND t < '2024-01-15 12:00:00'
+    UNION ALL SELECT 'dim_cart_goods', type, CAST(event_id AS VARCHAR), CAST(s AS BIGINT), event_id, 'id,sku_id,sku_num'
+    FROM t WHERE tbl = 'cart_info' AND t >= '2024-01-15 12:00:00' AND t < '2024-01-22'
+    UNION ALL SELECT 'dim_cart', type, CAST(user_id AS VARCHAR), CAST(s AS BIGINT), event_id, 'id,sku_num,user_id'
+    FROM t WHERE tbl = 'cart_info' AND t >= '2024-01-26'
+    UNION ALL SELECT 'dim_favor', type, CAST(event_id AS VARCHAR), CAST(s AS BIGINT), event_id, 'id,sku_id'
+    FROM t WHERE tbl = 'favor_info' AND t >= '2024-01-10 12:00:00')"""
+_CUSTOMERS = """
+  SELECT CAST(c_custkey AS VARCHAR) AS pk, CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name END AS name,
+    CAST(c_nationkey AS VARCHAR) AS province_id FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 7 <> 0
+  UNION ALL SELECT CAST(c_custkey + 1000000 AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_custkey % 5 = 0"""
+_DETAIL_ACTIVITY = TRADE + """
+  SELECT CAST(id AS VARCHAR) AS id, CAST(order_id AS VARCHAR) AS order_id,
+    CASE WHEN rf = 'A' THEN CAST(id AS VARCHAR) END AS detail_id,
+    CASE WHEN rf = 'A' THEN CAST(id % 10 AS VARCHAR) END AS activity_id,
+    CASE WHEN rf = 'A' THEN CAST(id % 20 AS VARCHAR) END AS activity_rule_id FROM detail"""
+ORACLE |= {
+    "route_by_time": _ROUTED + " SELECT * FROM routed",
+    "route_by_time_stream": _ROUTED + """
+      SELECT sink_table, type, pk, ts, xid, kept FROM (
+        SELECT *, row_number() OVER (PARTITION BY sink_table, pk ORDER BY ts DESC, xid DESC) AS rn FROM routed) WHERE rn = 1""",
+    "as_of_join": """
+      WITH p AS (SELECT user_id, epoch_ms(ts) AS ms, max(event_id) AS purchase_id FROM events WHERE event_type = 'purchase' GROUP BY ALL),
+      v AS (SELECT event_id, user_id, epoch_ms(ts) AS ms FROM events WHERE event_type = 'view')
+      SELECT event_id, purchase_id FROM v ASOF LEFT JOIN p ON v.user_id = p.user_id AND v.ms >= p.ms""",
+    "snapshot_then_changes": _CUSTOMERS,
+    "snapshot_then_changes_stream": _CUSTOMERS,
+    "trade_detail_activity": _DETAIL_ACTIVITY,
+    "trade_detail_activity_changes_stream": _DETAIL_ACTIVITY,
+    "trade_pay_detail_from_feed": PAY_DETAIL,
+    "payment_window_resumed_stream": payment_window("10 seconds"),
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +11,15 @@ from pyspark.sql import functions as F
 from millrace.codes import DEFAULT_DATABASE
 from millrace.functions.times import millis_to_time, ymd_hms
 from millrace.operators import cdc, firsts, logs, routing, windows
-from millrace.operators.dedup import dedup_first, dedup_latest
+from millrace.operators.as_of import as_of_join
+from millrace.operators.dedup import dedup_first, dedup_latest, first_after_idle
 from millrace.operators.lookups import dictionary_name, lookup
 from millrace.operators.words import explode_words
 from millrace.plans import simple_facts, trade_facts, trade_summary, traffic_facts
 from millrace.plans import traffic_summary, user_summary
 from millrace.session import prepare, shared_dir
 from millrace.sources import readers, sample
-from millrace.streaming import jobs, sinks
+from millrace.streaming import jobs, sinks, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 SIX_HOURS_MS = 21_600_000
@@ -490,7 +492,7 @@ windowed(
 
 # --- streams ----------------------------------------------------------------
 # The same jobs fed by a stream of the sample table, written by a checkpointed
-# query and read back.  Windows still open at the end are not written.
+# query and read back.
 
 
 def _through_stream(spark, rows, sink=sinks.append_table):
@@ -499,13 +501,34 @@ def _through_stream(spark, rows, sink=sinks.append_table):
     return f"{folder}/out"
 
 
-def streamed(name: str, build, *tables: str) -> None:
-    def run(spark, d):
-        rows = build(spark, sample.StreamDir.of(d, *tables))
-        path = _through_stream(spark, rows)
-        return spark.read.schema(rows.schema).parquet(path)
+def _written(spark, rows):
+    return spark.read.schema(rows.schema).parquet(_through_stream(spark, rows))
 
-    query(name)(run)
+
+# Rows far in the future move every watermark past all others; their own windows and state
+# stay open, so a stream gives what its batch form gives, down to the last row.
+
+FUTURE_S = 4_102_444_800
+
+
+def _from_json(spark, schema, *texts):
+    rows = spark.createDataFrame([(t,) for t in texts], "value string")
+    return rows.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+def _pages_in_batches(spark, d, with_item=False):
+    pages = sample.page_log(spark, d, with_item)
+    last = [
+        {"event_id": -1, "common": {"mid": "last", "uid": "last"}, "ts": FUTURE_S * 1000,
+         "page": {"page_id": page, "last_page_id": before, "item": "last", "item_type": "keyword"}}
+        for page, before in (("home", "search"), ("good_detail", None), ("home", "login"))
+    ]
+    return sample.in_batches(pages, "ts", last=_from_json(spark, pages.schema, *map(json.dumps, last)))
+
+
+def streamed(name: str, build) -> None:
+    """Register a job over a stream of several micro-batches; the result is read back."""
+    query(name)(lambda spark, d: _written(spark, build(spark, d)))
 
 
 @query("src_stream")
@@ -562,45 +585,146 @@ def _(spark, d):
 streamed(
     "traffic_unique_visitor_stream",
     lambda spark, d: _page_fields(
-        traffic_facts.unique_visitors(sample.page_log(spark, d), ID), "vc", "ch", "ar", "is_new"
+        traffic_facts.unique_visitors(_pages_in_batches(spark, d), ID), "vc", "ch", "ar", "is_new"
     ),
-    "events",
 )
 streamed(
     "traffic_user_jump_stream",
-    lambda spark, d: _page_fields(
-        traffic_facts.user_jumps(sample.page_log(spark, d), SIX_HOURS_MS, ID)
-    ),
-    "events",
+    lambda spark, d: _page_fields(traffic_facts.user_jumps(_pages_in_batches(spark, d), SIX_HOURS_MS, ID)),
 )
 streamed(
     "keyword_window_stream",
-    lambda spark, d: traffic_summary.keyword_window(sample.page_log(spark, d, True)).drop("ts"),
-    "events",
+    lambda spark, d: traffic_summary.keyword_window(_pages_in_batches(spark, d, True)).drop("ts"),
 )
 streamed(
     "page_uv_window_stream",
-    lambda spark, d: traffic_summary.page_uv_window(sample.page_log(spark, d)).drop("ts"),
-    "events",
+    lambda spark, d: traffic_summary.page_uv_window(_pages_in_batches(spark, d)).drop("ts"),
 )
 streamed(
     "user_login_window_stream",
-    lambda spark, d: user_summary.user_login_window(
-        sample.page_log(spark, d), "1 day", gap_days=2
-    ).drop("ts"),
-    "events",
+    lambda spark, d: user_summary.user_login_window(_pages_in_batches(spark, d), "1 day", gap_days=2).drop("ts"),
 )
+
+
+@query("cart_uu_window_stream")
+def _(spark, d):
+    records = sample.change_records(spark, d, "cart_info")
+    last = {"database": DEFAULT_DATABASE, "table": "cart_info", "type": "insert", "ts": FUTURE_S, "xid": 0,
+            "data": {"id": "last", "user_id": "last", "sku_num": "1", "source_type": "2401",
+                     "create_time": "2100-01-01 00:00:00"}}
+    stream = sample.in_batches(
+        records, "unix_seconds(CAST(coalesce(data['operate_time'], data['create_time']) AS TIMESTAMP))",
+        last=_from_json(spark, records.schema, json.dumps(last)),
+    )
+    carts = trade_facts.cart_add(stream, sample.dictionary(spark))
+    return _written(spark, user_summary.cart_uu_window(carts).drop("ts"))
+
+
+@query("window_distinct_count_stream")
+def _(spark, d):
+    events = sample.events(spark, d)
+    last = _from_json(spark, events.schema, json.dumps({"event_id": -1, "event_type": "last", "ts": "2100-01-01T00:00:00Z"}))
+    stream = windows.with_event_time(sample.in_batches(events, "unix_micros(ts)", last=last), "ts")
+    return _written(spark, windows.tumble_distinct(stream, "ts", "user_id", "users", "1 day", ["event_type"]))
+
+
+@query("traffic_dims_window_stream")
+def _(spark, d):
+    """Visitors and jumps are tables of their own, read as streams beside the log."""
+    log = sample.page_log(spark, d)
+    parts = [
+        _pages_in_batches(spark, d),
+        *(
+            sample.in_batches(rows, "ts", last=_from_json(spark, rows.schema, json.dumps(
+                {"event_id": -1, "common": {"mid": "last"}, "page": {"page_id": "home"}, "ts": FUTURE_S * 1000})))
+            for rows in (traffic_facts.unique_visitors(log, ID), traffic_facts.user_jumps(log, 10_000, ID))
+        ),
+    ]
+    return _written(spark, traffic_summary.traffic_dims_window(*parts).drop("ts"))
+
+
+# Details and payments in the order of their event time.  Versions of a position lie years
+# apart in the sample, so these queries wait for longer than the whole span of the tables.
+
+WAIT_MS = 10_000 * 86_400_000
+
+
+def _details_in_batches(spark, d, time="create_time"):
+    details = sample.order_detail_rows(spark, d)
+    last = {"id": "last", "order_id": "last", "user_id": "last", "sku_id": "last", "create_time": "2100-01-01 00:00:00",
+            "row_op_ts": "2100-01-01T00:00:00Z"}
+    return sample.in_batches(
+        details, f"unix_seconds(CAST({time} AS TIMESTAMP))", last=_from_json(spark, details.schema, json.dumps(last))
+    )
+
+
+@query("dedup_first_stream")
+def _(spark, d):
+    """The first version of each position, kept in state until the watermark has passed it."""
+    kept = stateful.keep_first(
+        _details_in_batches(spark, d, "row_op_ts"), ["id"], "row_op_ts", "row_op_ts", WAIT_MS, trade_summary.DETAIL_TIE_BREAK
+    )
+    return _written(spark, kept.select(*_DEDUP_COLUMNS, ymd_hms(F.col("row_op_ts")).alias("row_op_ts")))
+
+
+@query("dedup_latest_stream")
+def _(spark, d):
+    kept = stateful.settle_latest(
+        _details_in_batches(spark, d, "row_op_ts"), ["id"], "row_op_ts", "row_op_ts", WAIT_MS, trade_summary.DETAIL_TIE_BREAK
+    )
+    return _written(spark, kept.select(*_DEDUP_COLUMNS, ymd_hms(F.col("row_op_ts")).alias("row_op_ts")))
+
+
+_IDLE_MS = 30 * 86_400_000
+
+
+@query("first_after_idle")
+def _(spark, d):
+    """The first row of each user, and again after thirty days without an order."""
+    rows = sample.order_detail_rows(spark, d)
+    kept = first_after_idle(rows, ["user_id"], "row_op_ts", "row_op_ts", _IDLE_MS, ("id", *trade_summary.DETAIL_TIE_BREAK))
+    return kept.select("user_id", *_DEDUP_COLUMNS, ymd_hms(F.col("row_op_ts")).alias("row_op_ts"))
+
+
+@query("first_after_idle_stream")
+def _(spark, d):
+    kept = stateful.keep_first(
+        _details_in_batches(spark, d, "row_op_ts"), ["user_id"], "row_op_ts", "row_op_ts", _IDLE_MS,
+        ("id", *trade_summary.DETAIL_TIE_BREAK),
+    )
+    return _written(spark, kept.select("user_id", *_DEDUP_COLUMNS, ymd_hms(F.col("row_op_ts")).alias("row_op_ts")))
+
+
+@query("payment_window_stream")
+def _(spark, d):
+    payments = trade_facts.pay_detail(
+        sample.change_records(spark, d, "payment_info"), sample.order_detail_rows(spark, d), sample.dictionary(spark)
+    )
+    last = {"order_detail_id": "last", "user_id": "last", "callback_time": "2100-01-01 00:00:00", "row_op_ts": "2100-01-01T00:00:00Z"}
+    stream = sample.in_batches(
+        payments, "unix_seconds(CAST(callback_time AS TIMESTAMP))", last=_from_json(spark, payments.schema, json.dumps(last))
+    )
+    return _written(spark, trade_summary.payment_window(stream, settle_ms=WAIT_MS).drop("ts"))
+
+
 streamed(
-    "cart_uu_window_stream",
-    lambda spark, d: user_summary.cart_uu_window(_cart_add(spark, d)).drop("ts"),
-    "events",
+    "order_window_stream",
+    lambda spark, d: trade_summary.order_window(_details_in_batches(spark, d), settle_ms=WAIT_MS).drop("ts"),
 )
 streamed(
-    "window_distinct_count_stream",
-    lambda spark, d: windows.tumble_distinct(
-        windows.with_event_time(sample.events(spark, d), "ts"), "ts", "user_id", "users", "1 day", ["event_type"]
-    ),
-    "events",
+    "province_order_window_stream",
+    lambda spark, d: trade_summary.province_order_window(
+        _details_in_batches(spark, d), sample.provinces(spark, d), settle_ms=WAIT_MS
+    ).drop("ts"),
+)
+streamed(
+    "user_spu_order_window_stream",
+    lambda spark, d: trade_summary.user_spu_order_window(
+        _details_in_batches(spark, d),
+        *[f(spark, d) for f in (sample.sku, sample.spu, sample.trademark, sample.category3,
+                                sample.category2, sample.category1)],
+        idle_ms=WAIT_MS,
+    ).drop("ts"),
 )
 
 
@@ -625,10 +749,6 @@ def _last_changes(spark, *tables):
     )
 
 
-def _written(spark, rows):
-    return spark.read.schema(rows.schema).parquet(_through_stream(spark, rows))
-
-
 _ORDER_TABLES = ("order_info", "order_detail", "order_detail_activity", "order_detail_coupon")
 
 
@@ -659,3 +779,136 @@ def _(spark, d):
         _fed(spark, d, "payment_info"), details, sample.dictionary(spark), retention=KEPT
     )
     return _written(spark, paid).withColumn("row_op_ts", ymd_hms(F.col("row_op_ts")))
+
+
+# --- configuration by time, snapshots, logs of changes ---------------------------
+
+
+def _timed_records(spark, d):
+    return sample.change_records(spark, d, "cart_info", "favor_info")
+
+
+def _shown_routes(routed):
+    kept = F.array_join(F.array_sort(F.map_keys("data")), ",")
+    return routed.select("sink_table", "type", "pk", "ts", "xid", kept.alias("kept"))
+
+
+@query("route_by_time")
+def _(spark, d):
+    """Records by the configuration in force at their time, which changes half-way."""
+    return _shown_routes(routing.route_by_time(_timed_records(spark, d), routing.route_versions(sample.route_history(spark))))
+
+
+@query("route_by_time_stream")
+def _(spark, d):
+    """The same as a keyed table, from micro-batches that are not cut where the configuration changes."""
+    folder = shared_dir(spark, "dims")
+    stream = sample.in_batches(_timed_records(spark, d), "ts", batches=3)
+    jobs.load_dimensions_by_time(
+        stream, lambda: routing.route_versions(sample.route_history(spark)), f"{folder}/table", f"{folder}/checkpoint"
+    ).awaitTermination()
+    return _shown_routes(jobs.dimension_store(f"{folder}/table").read(spark))
+
+
+@query("as_of_join")
+def _(spark, d):
+    """Each view with the newest purchase of its user at or before it."""
+    events = sample.events(spark, d).withColumn("ms", F.unix_millis("ts"))
+    bought = events.where("event_type = 'purchase'").select("user_id", "ms", F.struct("event_id").alias("bought"))
+    views = events.where("event_type = 'view'").select("event_id", "user_id", "ms")
+    return as_of_join(views, bought, ["user_id"], "ms", "bought").select(
+        "event_id", F.col("bought.event_id").alias("purchase_id")
+    )
+
+
+def _shown_customers(latest):
+    return latest.where("type <> 'delete'").select("pk", *[F.col("data")[c].alias(c) for c in ("name", "province_id")])
+
+
+@query("snapshot_then_changes")
+def _(spark, d):
+    """The customers of a snapshot with the changes after its position."""
+    feed = cdc.snapshot_then_changes(
+        sample.customer_snapshot(spark, d), sample.customer_log(spark, d), "customer_info", sample.SNAPSHOT_AT
+    )
+    return _shown_customers(dedup_latest(feed.withColumn("pk", cdc.data("id")), ["pk"], "ts", ["xid"]))
+
+
+@query("snapshot_then_changes_stream")
+def _(spark, d):
+    """The same, the snapshot written once and the overlapping log read as a stream."""
+    folder = shared_dir(spark, "customers")
+    table = jobs.snapshot_store(f"{folder}/table")
+    jobs.load_snapshot(
+        table, sample.customer_snapshot(spark, d), sample.in_batches(sample.customer_log(spark, d), "ts"),
+        "customer_info", sample.SNAPSHOT_AT, f"{folder}/checkpoint",
+    ).awaitTermination()
+    return _shown_customers(table.read(spark))
+
+
+def _reductions(spark, d, stream):
+    records = {
+        t: sample.in_batches(sample.change_records(spark, d, t), "ts") if stream else sample.change_records(spark, d, t)
+        for t in ("order_detail", "order_detail_activity")
+    }
+    left = cdc.changes(records["order_detail"], "order_detail", ("insert",)).select(
+        *cdc.fields("id", "order_id"), cdc.commit_time().alias("detail_time")
+    )
+    right = cdc.changes(records["order_detail_activity"], "order_detail_activity", ("insert",)).select(
+        cdc.data("order_detail_id").alias("detail_id"), *cdc.fields("activity_id", "activity_rule_id"),
+        cdc.commit_time().alias("activity_time"),
+    )
+    return left, right
+
+
+def _shown_reductions(rows):
+    return rows.select("id", "order_id", "detail_id", "activity_id", "activity_rule_id")
+
+
+@query("trade_detail_activity")
+def _(spark, d):
+    left, right = _reductions(spark, d, False)
+    return _shown_reductions(left.join(right, left.id == right.detail_id, "left"))
+
+
+@query("trade_detail_activity_changes_stream")
+def _(spark, d):
+    """A left join that answers at once and takes back padded rows; its log, folded."""
+    left, right = _reductions(spark, d, True)
+    log = stateful.left_join_changes(left, right, "id", "detail_id", "detail_time", "activity_time", WAIT_MS)
+    folder = shared_dir(spark, "stream")
+    sinks.append_changes(log, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return _shown_reductions(stateful.fold_changes(spark.read.schema(log.schema).parquet(f"{folder}/out/*")))
+
+
+@query("trade_pay_detail_from_feed")
+def _(spark, d):
+    """Payments of positions that come out of the change feed of a keyed table."""
+    details = trade_facts.order_detail(_wide(spark, d))
+    table = sinks.KeyedTable(f"{shared_dir(spark, 'details')}/table", ["id"], ["row_op_ts"])
+    for n in range(3):
+        table.write(details.where(F.pmod(F.xxhash64("id"), F.lit(3)) == n), n)
+    table.write(details.where(F.pmod(F.xxhash64("id"), F.lit(3)) == 1), 3)  # a replay changes nothing
+    feed = table.changes(spark).where("op <> 'delete'").select("after.*")
+    return trade_facts.pay_detail(
+        sample.change_records(spark, d, "payment_info"), feed, sample.dictionary(spark)
+    ).withColumn("row_op_ts", ymd_hms(F.col("row_op_ts")))
+
+
+HALF_WAY = "1998-07-01"
+
+
+@query("payment_window_resumed_stream")
+def _(spark, d):
+    """The first half as a batch; the second as a stream that starts with the users of the first."""
+    payments = trade_facts.pay_detail(
+        sample.change_records(spark, d, "payment_info"), sample.order_detail_rows(spark, d), sample.dictionary(spark)
+    )
+    before = payments.where(F.col("callback_time") < HALF_WAY)
+    last = {"order_detail_id": "last", "user_id": "last", "callback_time": "2100-01-01 00:00:00", "row_op_ts": "2100-01-01T00:00:00Z"}
+    stream = sample.in_batches(
+        payments.where(F.col("callback_time") >= HALF_WAY), "unix_seconds(CAST(callback_time AS TIMESTAMP))",
+        last=_from_json(spark, payments.schema, json.dumps(last)),
+    )
+    later = trade_summary.payment_window(stream, settle_ms=WAIT_MS, history=trade_summary.payment_history(before))
+    return trade_summary.payment_window(before).drop("ts").unionByName(_written(spark, later.drop("ts")))

@@ -27,7 +27,10 @@ BOUNCE_WITHIN_MS = 10_000
 RETURN_GAP_DAYS = 8
 DEDUP_DELAY_MS = 5000
 DETAIL_RETENTION = "5 seconds"
+DETAIL_IDLE_MS = 5000
+DISORDER_MS = 2000
 JOIN_RETENTION = "905 seconds"
+JOIN_KEEP_MS = 905_000
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"

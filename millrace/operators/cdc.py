@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
-from millrace.codes import DEFAULT_DATABASE
+from millrace.codes import BOOTSTRAP_INSERT, DEFAULT_DATABASE
 
 CORRUPT = "_corrupt"
 
@@ -107,3 +107,37 @@ def increase(column: str) -> Column:
 
 def commit_time() -> Column:
     return F.timestamp_seconds(F.col("ts"))
+
+
+def snapshot_then_changes(
+    snapshot: DataFrame, changes: DataFrame, table: str, position: tuple[int, int], database: str = DEFAULT_DATABASE
+) -> DataFrame:
+    """A table as it was at ``position`` (commit time, transaction) and its changes after it, as one feed.
+
+    Rows of ``snapshot`` become bootstrap records at the position, with all columns as text.
+    Changes of the table up to the position are in the snapshot already and are left out:
+    nothing comes twice, and a row deleted before the position does not come back.  With
+    ``changes`` a stream, the feed needs the snapshot once only: see ``jobs.load_snapshot``.
+    """
+    ts, xid = position
+    taken = snapshot.select(
+        F.lit(database).alias("database"), F.lit(table).alias("table"), F.lit(BOOTSTRAP_INSERT).alias("type"),
+        F.lit(ts).cast("bigint").alias("ts"), F.lit(xid).cast("bigint").alias("xid"),
+        F.map_filter(
+            F.create_map(*[x for c in snapshot.columns for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]),
+            lambda _, v: v.isNotNull(),
+        ).alias("data"),
+        F.lit(None).cast("map<string,string>").alias("old"),
+    )
+    return taken.unionByName(after_position(changes, table, position, database))
+
+
+def after_position(
+    changes: DataFrame, table: str, position: tuple[int, int], database: str = DEFAULT_DATABASE
+) -> DataFrame:
+    """Changes of one table after a position of the log; records without a time are left out."""
+    ts, xid = position
+    later = (F.col("ts") > ts) | ((F.col("ts") == ts) & (F.coalesce(F.col("xid"), F.lit(0)) > xid))
+    return changes.where((F.col("database") == database) & (F.col("table") == table) & later).select(
+        "database", "table", "type", "ts", "xid", "data", "old"
+    )

@@ -24,27 +24,43 @@ DETAIL_TIE_BREAK = (
 )
 
 
-def _latest(df: DataFrame, key: str, tie_break: Sequence[str]) -> DataFrame:
-    if df.isStreaming:
-        from millrace.streaming import stateful
+def _latest(df: DataFrame, key: str, time: str, tie_break: Sequence[str], settle_ms: int | None) -> DataFrame:
+    """The newest version of each key, with ``event_time`` from the text column ``time``.
+
+    On streams the newest of those that arrive within 5 seconds by the clock; with
+    ``settle_ms`` of those within so many milliseconds by event time, which is repeatable.
+    """
+    timed = df.withColumn("event_time", as_time(F.col(time)))
+    if not df.isStreaming:
+        return dedup_latest(timed, [key], "row_op_ts", tie_break)
+    from millrace.streaming import stateful
 
-        return stateful.keep_latest(df, key, "row_op_ts", tie_break)
-    return dedup_latest(df, [key], "row_op_ts", tie_break)
+    if settle_ms is None:
+        latest = stateful.keep_latest(timed, key, "row_op_ts", tie_break)
+        return with_event_time(latest.where("event_time is not null"), "event_time")
+    return stateful.settle_latest(timed, [key], "event_time", "row_op_ts", settle_ms, tie_break)
 
 
 def _money(column: str):
     return F.coalesce(F.col(column).try_cast(MONEY), F.lit(0).cast(MONEY))
 
 
-def payment_window(payments: DataFrame, size: str = codes.WINDOW_SIZE) -> DataFrame:
-    """Users paying for the first time that day, and for the first time ever, per window."""
-    rows = _latest(payments, "order_detail_id", ("callback_time", "user_id")).select(
-        "user_id", as_time(F.col("callback_time")).alias("event_time")
-    )
+def payment_window(
+    payments: DataFrame,
+    size: str = codes.WINDOW_SIZE,
+    settle_ms: int | None = None,
+    history: DataFrame | None = None,
+) -> DataFrame:
+    """Users paying for the first time that day, and for the first time ever, per window.
+
+    A stream may start with the users of an earlier table: see ``payment_history``.
+    """
+    tie_break = ("callback_time", "user_id")
+    rows = _latest(payments, "order_detail_id", "callback_time", tie_break, settle_ms).select("user_id", "event_time")
     if payments.isStreaming:
         from millrace.streaming import stateful
 
-        flags = stateful.visit_flags(with_event_time(rows, "event_time"), "user_id", "event_time")
+        flags = stateful.visit_flags(rows, "user_id", "event_time", history=history)
         new = F.sum("new")
         time = "event_time"
     else:
@@ -60,13 +76,24 @@ def payment_window(payments: DataFrame, size: str = codes.WINDOW_SIZE) -> DataFr
     )
 
 
+def payment_history(payments: DataFrame) -> DataFrame:
+    """The last payment day of each user of a batch table, for the first start of a stream."""
+    from millrace.streaming import stateful
+
+    rows = _latest(payments, "order_detail_id", "callback_time", ("callback_time", "user_id"), None)
+    return stateful.last_visits(rows, "user_id", "event_time")
+
+
 def order_window(
-    details: DataFrame, size: str = codes.WINDOW_SIZE, tie_break: Sequence[str] = DETAIL_TIE_BREAK
+    details: DataFrame,
+    size: str = codes.WINDOW_SIZE,
+    tie_break: Sequence[str] = DETAIL_TIE_BREAK,
+    settle_ms: int | None = None,
 ) -> DataFrame:
     """Ordering users and order amounts per window."""
-    rows = _latest(details, "id", tie_break).select(
-        "user_id",
-        as_time(F.col("create_time")).alias("event_time"),
+    latest = lambda: _latest(details, "id", "create_time", tie_break, settle_ms)
+    rows = latest().select(
+        "user_id", "event_time",
         _money("split_activity_amount").alias("activity"),
         _money("split_coupon_amount").alias("coupon"),
         (F.col("sku_num").try_cast("int") * F.col("order_price").try_cast(MONEY)).alias("original"),
@@ -77,12 +104,14 @@ def order_window(
     if details.isStreaming:
         from millrace.streaming import stateful
 
-        # amounts go by themselves; only first visits need state
-        rows = with_event_time(rows.where("user_id is not null and event_time is not null"), "event_time")
+        # amounts go by themselves; only first visits need state.  The two branches are built
+        # apart: timers of an operator that a union repeats would not see the watermark
+        rows = rows.where("user_id is not null")
+        visits = latest().select("user_id", "event_time")
         measures = rows.select(
             "event_time", F.lit(0).alias("unique"), F.lit(0).alias("new"), *amounts.values()
         ).unionByName(
-            stateful.visit_flags(rows, "user_id", "event_time").select("event_time", "unique", "new"),
+            stateful.visit_flags(visits, "user_id", "event_time").select("event_time", "unique", "new"),
             allowMissingColumns=True,
         )
         counted = tumble(
@@ -113,14 +142,12 @@ def province_order_window(
     provinces: DataFrame,
     size: str = codes.WINDOW_SIZE,
     tie_break: Sequence[str] = DETAIL_TIE_BREAK,
+    settle_ms: int | None = None,
 ) -> DataFrame:
     """Orders and amounts per window and province, with the province name."""
-    rows = _latest(details, "id", tie_break).select(
-        "province_id", "order_id",
-        _money("split_total_amount").alias("amount"),
-        as_time(F.col("create_time")).alias("event_time"),
+    rows = _latest(details, "id", "create_time", tie_break, settle_ms).select(
+        "province_id", "order_id", _money("split_total_amount").alias("amount"), "event_time"
     )
-    rows = with_event_time(rows, "event_time")
     counted = tumble_distinct(
         rows, "event_time", "order_id", "order_count", size, ["province_id"], {"order_amount": "amount"}
     ).withColumn("order_amount", F.col("order_amount").cast("double"))
@@ -162,17 +189,19 @@ def user_spu_order_window(
     category1: DataFrame,
     size: str = codes.WINDOW_SIZE,
     tie_break: Sequence[str] = DETAIL_TIE_BREAK,
+    idle_ms: int = codes.DETAIL_IDLE_MS,
 ) -> DataFrame:
     """Orders and amounts per window, user and product group.
 
     The ids come from the sku before the aggregate; the names are added after
-    it, to far fewer rows.
+    it, to far fewer rows.  On streams the first row of a position counts, and again
+    after ``idle_ms`` without one.
     """
     rows = details.withColumn("event_time", as_time(F.col("create_time")))
     if details.isStreaming:
-        # one event time for both: a stream may set its watermark only once
-        rows = with_event_time(rows, "event_time", codes.DETAIL_RETENTION)
-        rows = rows.dropDuplicatesWithinWatermark(["id"])
+        from millrace.streaming import stateful
+
+        rows = stateful.keep_first(rows, ["id"], "event_time", "row_op_ts", idle_ms, tie_break)
     else:
         rows = dedup_first(rows, ["id"], "row_op_ts", tie_break)
     rows = rows.select(

@@ -644,6 +644,62 @@ def change_records(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
     return union
 
 
+#: Commit time and transaction at which the snapshot of the customers was taken.
+SNAPSHOT_AT = (1_704_067_200, 0)
+
+
+def customer_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers as a table was at ``SNAPSHOT_AT``; every eleventh was deleted before."""
+    return table(spark, sf_dir, "customer").where("c_custkey % 11 <> 0").selectExpr(
+        "CAST(c_custkey AS STRING) AS id", "c_name AS name", "CAST(c_nationkey AS STRING) AS province_id"
+    )
+
+
+def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of the customers; those up to the position of the snapshot overlap with it."""
+    rows = table(spark, sf_dir, "customer")
+    at, _ = SNAPSHOT_AT
+    names = {"id": "c_custkey", "name": "c_name", "province_id": "c_nationkey"}
+    time = lambda seconds: f"timestamp_seconds({at} + ({seconds}))"
+    parts = [
+        _change(rows, "customer_info", INSERT, time("c_custkey % 500 - 1000"), "c_custkey", {**names, "name": "'before'"}),
+        _change(rows.where("c_custkey % 11 = 0"), "customer_info", DELETE, time("-100"), "c_custkey", names),
+        _change(rows.where("c_custkey % 3 = 0 AND c_custkey % 11 <> 0"), "customer_info", UPDATE,
+                time("1 + c_custkey % 1000"), "c_custkey", {**names, "name": "upper(c_name)"}, {"name": "c_name"}),
+        _change(rows.where("c_custkey % 7 = 0 AND c_custkey % 11 <> 0"), "customer_info", DELETE, time("2000"), "c_custkey", names),
+        _change(rows.where("c_custkey % 5 = 0"), "customer_info", INSERT, time("3000 + c_custkey % 10"), "c_custkey",
+                {**names, "id": "c_custkey + 1000000"}),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+# --- fixed values: the history of a routing configuration ---------------------
+#: source table, sink table, kept columns, primary key, operation, time of the change
+ROUTE_HISTORY = [
+    ("cart_info", "dim_cart", "id,user_id", None, "c", "2024-01-05 00:00:00"),
+    ("cart_info", "dim_cart_goods", "id,sku_id,sku_num", "", "u", "2024-01-15 12:00:00"),
+    ("cart_info", "dim_cart_goods", "id,sku_id,sku_num", "", "d", "2024-01-22 00:00:00"),
+    ("cart_info", "dim_cart", "id,user_id,sku_num", "user_id", "c", "2024-01-26 00:00:00"),
+    ("favor_info", "dim_favor", "id,sku_id", "id", "r", "2024-01-10 12:00:00"),
+]
+# ---------------------------------------------------------------------------
+
+
+def route_history(spark: SparkSession) -> DataFrame:
+    """Changes of the routing configuration while the records come in."""
+    rows = spark.createDataFrame(
+        ROUTE_HISTORY,
+        "source_table string, sink_table string, sink_columns string, sink_pk string, op string, at string",
+    ).withColumn("ts_ms", F.unix_millis(F.col("at").cast("timestamp")))
+    image = F.struct("source_table", "sink_table", "sink_columns", "sink_pk")
+    return rows.select(
+        F.when(F.col("op").isin("u", "d"), image).alias("before"), F.when(F.col("op") != "d", image).alias("after"), "op", "ts_ms"
+    )
+
+
 # --- fixed values: the sample routing configuration ---------------------------
 #: source table, sink table, kept columns, primary key, operation, change time
 ROUTE_CHANGES = [

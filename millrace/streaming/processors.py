@@ -90,9 +90,12 @@ class VisitFlags(StatefulProcessor):
 
     Input: ``ms, day`` (day number), a row per key and time slot.  Output: ``event_time,
     unique, new, gap_days``.  The last visit day of a key is kept for good, since a key is
-    new only once.
+    new only once.  The initial state holds ``day``, the last visit day of a key in a history.
     """
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._last.update((initialState.day,))
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._last = handle.getValueState("last", "day int")
@@ -203,3 +206,190 @@ class KeepLatest(StatefulProcessor):
             _, _, payload = self._newest.get()
             self._newest.clear()
             yield Row(payload=payload)
+
+
+class KeepFirst(StatefulProcessor):
+    """The first row of each key, once more after the key was idle for ``idle_ms``.
+
+    Input: ``ms`` (event time), ``version, tie, payload``.  Output: ``event_time, payload``.
+    A row is first if no row of its key lies less than or as long as ``idle_ms`` before it;
+    equal times go by version, then by tie-break values.  Rows of a key that are close
+    together are held as one stretch with its first row only, so a hot key takes no more
+    state than a rare one.  A stretch is emitted when the watermark has passed its first row
+    and forgotten when it has passed its last row by ``idle_ms``.
+    """
+
+    def __init__(self, idle_ms: int) -> None:
+        self._idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        # an emitted stretch has no payload any more
+        self._stretches = handle.getListState(
+            "stretches", "first long, last long, version long, tie string, payload string"
+        )
+
+    def _order(self, stretch: tuple) -> tuple:
+        first, _, version, tie, payload = stretch
+        if payload is None:
+            return (first, -1, 0, ())
+        # a null version sorts last, as in batch
+        return (first, version is None, version or 0, tie_order(tie, True))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        fresh = [(r.ms, r.ms, r.version, r.tie, r.payload) for r in rows]
+        held = [tuple(s) for s in self._stretches.get()] if self._stretches.exists() else []
+        merged: list[tuple] = []
+        for stretch in sorted([*held, *fresh], key=self._order):
+            if merged and stretch[0] - merged[-1][1] <= self._idle_ms:
+                before = merged[-1]
+                merged[-1] = (before[0], max(before[1], stretch[1]), *before[2:])
+            else:
+                merged.append(stretch)
+        self._stretches.put(merged)
+        for stretch in merged:
+            if stretch not in held:
+                if stretch[4] is not None:
+                    self._handle.registerTimer(stretch[0])
+                self._handle.registerTimer(stretch[1] + self._idle_ms + 1)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = _passed(timerValues, expiredTimerInfo)
+        held = [tuple(s) for s in self._stretches.get()] if self._stretches.exists() else []
+        kept = []
+        for first, last, version, tie, payload in held:
+            if payload is not None and first <= passed:
+                yield Row(event_time=_time(first), payload=payload)
+                payload = None
+            if payload is not None or last + self._idle_ms >= passed:
+                kept.append((first, last, version, tie, payload))
+        if not kept:
+            self._stretches.clear()
+        elif kept != held:
+            self._stretches.put(kept)
+
+
+class KeepFirstArrival(StatefulProcessor):
+    """The first arriving row of each key; the state goes when no row came for ``idle_ms`` by the clock.
+
+    Input as in :class:`KeepFirst`; among rows that arrive together the least version counts.
+    """
+
+    def __init__(self, idle_ms: int) -> None:
+        self._idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._seen = handle.getValueState("seen", "yes boolean", self._idle_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self._seen.exists()
+        best = None
+        for r in rows:
+            order = (r.version is None, r.version or 0, tie_order(r.tie, True))
+            if not known and (best is None or order < best[0]):
+                best = (order, r.payload)
+        self._seen.update((True,))  # the time to live starts anew
+        if best is not None:
+            yield Row(payload=best[1])
+
+
+class SettleLatest(StatefulProcessor):
+    """The newest version of a key among its rows within ``delay_ms`` (event time) of the first.
+
+    Input: ``ms, version, tie, payload``.  Output: ``event_time, payload``.  The watermark must
+    lag by ``delay_ms`` and the disorder, so that when it passes the first row, all rows that
+    belong to it have arrived; the row goes out then and is not late for what follows.
+    """
+
+    def __init__(self, delay_ms: int) -> None:
+        self._delay_ms = delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._rows = handle.getListState("rows", "ms long, version long, tie string, payload string")
+        self._until = handle.getValueState("until", "ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        until = self._until.get()[0] if self._until.exists() else None
+        fresh = [(r.ms, r.version, r.tie, r.payload) for r in rows if until is None or r.ms > until]
+        if fresh:
+            self._rows.appendList(fresh)
+            self._handle.registerTimer(min(r[0] for r in fresh))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = _passed(timerValues, expiredTimerInfo)
+        until = self._until.get()[0] if self._until.exists() else None
+        rows = sorted([tuple(r) for r in self._rows.get()] if self._rows.exists() else [], key=lambda r: r[0])
+        while rows and rows[0][0] <= passed:
+            until = rows[0][0] + self._delay_ms
+            group = [r for r in rows if r[0] <= until]
+            # a null version sorts first, so that any other one is newer
+            newest = max(group, key=lambda r: (r[1] is not None, r[1] or 0, tie_order(r[2], False)))
+            yield Row(event_time=_time(newest[0]), payload=newest[3])
+            rows = rows[len(group):]
+        if rows:
+            self._rows.put(rows)
+            self._handle.registerTimer(rows[0][0])
+        else:
+            self._rows.clear()
+        if until is not None and until >= passed:
+            self._until.update((until,))
+            self._handle.registerTimer(until + 1)
+        else:
+            self._until.clear()
+
+
+class RetractingLeftJoin(StatefulProcessor):
+    """A left join of two streams that answers at once and takes back what changes.
+
+    Input: ``left`` (side), ``ms, payload``.  Output: ``op`` (``+`` or ``-``), ``left, right``
+    payloads.  A left row goes out with its matches, or padded with null when there is none;
+    the first match of a padded row takes the padded one back.  Both sides are kept for
+    ``keep_ms`` of event time after a row's own.
+    """
+
+    def __init__(self, keep_ms: int) -> None:
+        self._keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._left = handle.getListState("left", "ms long, payload string, matched boolean")
+        self._right = handle.getListState("right", "ms long, payload string")
+
+    @staticmethod
+    def _held(state) -> list[tuple]:
+        return [tuple(r) for r in state.get()] if state.exists() else []
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        left, right = self._held(self._left), self._held(self._right)
+        for r in rows:
+            self._handle.registerTimer(r.ms + self._keep_ms)
+            if r.left:
+                for _, payload in right:
+                    yield Row(op="+", left=r.payload, right=payload)
+                if not right:
+                    yield Row(op="+", left=r.payload, right=None)
+                left.append((r.ms, r.payload, bool(right)))
+            else:
+                for i, (ms, payload, matched) in enumerate(left):
+                    if not matched:
+                        yield Row(op="-", left=payload, right=None)
+                        left[i] = (ms, payload, True)
+                    yield Row(op="+", left=payload, right=r.payload)
+                right.append((r.ms, r.payload))
+        self._keep(left, right)
+
+    def _keep(self, left: list[tuple], right: list[tuple]) -> None:
+        for state, rows in ((self._left, left), (self._right, right)):
+            if rows:
+                state.put(rows)
+            else:
+                state.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = _passed(timerValues, expiredTimerInfo)
+        alive = lambda rows: [r for r in rows if r[0] + self._keep_ms > passed]
+        self._keep(alive(self._held(self._left)), alive(self._held(self._right)))
+        yield from ()

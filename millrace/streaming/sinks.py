@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.dedup import dedup_latest
@@ -20,6 +21,13 @@ def _start(writer, checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
     )
 
 
+def start_batches(
+    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: Mapping | None = None
+) -> StreamingQuery:
+    """Hand each micro-batch and its number to ``write``."""
+    return _start(df.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
 def append_table(
     df: DataFrame, path: str, checkpoint: str, trigger: Mapping | None = None
 ) -> StreamingQuery:
@@ -30,6 +38,15 @@ def append_table(
     )
 
 
+def append_changes(df: DataFrame, path: str, checkpoint: str, trigger: Mapping | None = None) -> StreamingQuery:
+    """Append a log of changes, a folder per micro-batch; a repeated batch replaces its folder."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return _start(df.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
+
+
 def append_text(
     df: DataFrame, path: str, checkpoint: str, trigger: Mapping | None = None
 ) -> StreamingQuery:
@@ -155,6 +172,68 @@ class KeyedTable:
             reader = reader.schema(f"{self.schema}, batch_id bigint")
         return reader.parquet(*[f"{self.path}/{kind}/batch_id={n}" for n in numbers])
 
+    def has_batch(self, spark: SparkSession, batch_id: int) -> bool:
+        return batch_id in self._finished(spark, "batches") or any(n >= batch_id for n in self._finished(spark, "snapshots"))
+
+    def changes(self, spark: SparkSession, after: int | None = None, deleted: str | None = None) -> DataFrame:
+        """Changes of the batches after number ``after``: ``op, batch_id, before, after``.
+
+        ``op`` is insert, update or delete; ``before`` and ``after`` are the rows of the key
+        around the batch, null where there was none.  A batch that writes a key's version again,
+        or an older one, changes nothing.  Rows for which ``deleted`` holds are tombstones: they
+        take the key away, and a key that was not there gives no change.  The state before
+        comes from the newest snapshot up to ``after`` and the batches since.
+        """
+        first = -1 if after is None else after
+        later = [n for n in self._finished(spark, "batches") if n > first]
+        if not later:
+            return self._no_changes(spark)
+        parts = [self._load(spark, "batches", later)]
+        if after is not None:
+            parts.append(self._rows(spark, after).withColumn("batch_id", F.lit(after)))
+        columns = [c for c in parts[0].columns if c != "batch_id"]
+        rows = parts[0].select(*columns, F.col("batch_id").cast("long").alias("batch_id"))
+        for p in parts[1:]:
+            rows = rows.unionByName(p.select(*columns, F.col("batch_id").cast("long").alias("batch_id")), allowMissingColumns=True)
+        version = F.struct(*[F.col(c) for c in self.version])
+        by_key = Window.partitionBy(*self.keys).orderBy("batch_id")
+        before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+        # the newest version so far; an equal one of a later batch changes nothing
+        seen = rows.select(
+            "batch_id", *self.keys, F.struct(*columns).alias("after"), version.alias("_v"),
+            (F.expr(f"coalesce({deleted}, false)") if deleted else F.lit(False)).alias("_gone"),
+        ).withColumn("_most", F.max("_v").over(before))
+        kept = seen.where("_most IS NULL OR _v > _most").select("batch_id", *self.keys, "after", "_gone")
+        live = F.when(~F.col("_gone"), F.col("after"))
+        pairs = kept.withColumn("before", F.lag(live).over(by_key)).withColumn("after", live)
+        op = (
+            F.when(F.col("before").isNull() & F.col("after").isNotNull(), "insert")
+            .when(F.col("before").isNotNull() & F.col("after").isNull(), "delete")
+            .when(F.col("before").isNotNull(), "update")
+        )
+        return pairs.where(F.col("batch_id") > first).select(op.alias("op"), "batch_id", "before", "after").where("op IS NOT NULL")
+
+    def _no_changes(self, spark: SparkSession) -> DataFrame:
+        if not self.schema:
+            raise ValueError(f"nothing was written to {self.path} yet, and it has no schema")
+        row = spark.createDataFrame([], self.schema).schema
+        empty = T.StructType().add("op", "string").add("batch_id", "long").add("before", row).add("after", row)
+        return spark.createDataFrame([], empty)
+
+    def changes_since(
+        self, spark: SparkSession, write: Callable[[DataFrame, int], None], done: int | None = None, deleted: str | None = None
+    ) -> int | None:
+        """Hand all changes after batch ``done`` to ``write`` with the newest batch number, and return it.
+
+        A reader keeps the number with its own output and goes on from there.
+        """
+        finished = self._finished(spark, "batches")
+        newest = finished[-1] if finished else None
+        if newest is None or newest == done:
+            return done
+        write(self.changes(spark, done, deleted).where(F.col("batch_id") <= newest), newest)
+        return newest
+
     def write(self, changes: DataFrame, batch_id: int) -> None:
         """Add one batch; writing the same batch again replaces it."""
         self._save(self._newest(changes), "batches", batch_id)

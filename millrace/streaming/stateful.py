@@ -17,7 +17,11 @@ from millrace.streaming import processors
 from millrace.streaming.processors import (
     Bounces,
     FirstRow,
+    KeepFirst,
+    KeepFirstArrival,
     KeepLatest,
+    RetractingLeftJoin,
+    SettleLatest,
     VisitFlags,
 )
 
@@ -150,12 +154,26 @@ def user_jumps(page_log: DataFrame, within_ms: int, tie_break: Sequence[str] = (
     return _unpack(jumps, page_log)
 
 
-def visit_flags(rows: DataFrame, key: str, time: str, visit: Column | None = None) -> DataFrame:
+def last_visits(rows: DataFrame, key: str, time: str) -> DataFrame:
+    """``key, day``: the last visit day (days since 1970) of each key of a batch table.
+
+    One aggregate, combined before its shuffle; the history with which a stream can start.
+    """
+    day = F.datediff(F.max(time), F.lit("1970-01-01").cast("date"))
+    return rows.where(F.col(key).isNotNull() & F.col(time).isNotNull()).groupBy(key).agg(day.alias("day"))
+
+
+def visit_flags(
+    rows: DataFrame, key: str, time: str, visit: Column | None = None, history: DataFrame | None = None
+) -> DataFrame:
     """``event_time, unique, new, gap_days`` for the first row of each key and day.
 
     ``visit`` restricts which rows count as visits.  The caller sets the watermark on
-    ``time`` and unions other measures of its rows by itself.
+    ``time`` and unions other measures of its rows by itself.  ``history`` (from
+    :func:`last_visits`) is the state of the first start: its keys are not new, and a day up
+    to their last one is not a new day.
     """
+    known = None if history is None else history.select(key, "day").groupBy(key)
     counted = rows if visit is None else rows.where(visit)
     return (
         _slots(counted, [key], time)
@@ -166,7 +184,7 @@ def visit_flags(rows: DataFrame, key: str, time: str, visit: Column | None = Non
         .groupBy(key)
         .transformWithState(
             VisitFlags(), "event_time timestamp, unique int, new int, gap_days int",
-            "append", "eventTime", eventTimeColumnName="event_time",
+            "append", "eventTime", initialState=known, eventTimeColumnName="event_time",
         )
     )
 
@@ -185,3 +203,101 @@ def keep_latest(
         KeepLatest(delay_ms), "payload string", "append", "processingTime"
     )
     return _unpack(latest, rows)
+
+
+def _versions(rows: DataFrame, keys: Sequence[str], time: str, version: str, tie_break: Sequence[str]) -> DataFrame:
+    """Keys, event time and the columns by which versions of a key are told apart."""
+    return rows.where(F.col(time).isNotNull()).select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.unix_millis(time).alias("ms"),
+        F.unix_micros(F.col(version).cast("timestamp")).alias("version"), _tie(rows, tie_break), _payload(rows),
+        F.col(time).alias("_event_time"),
+    )
+
+
+def _settled(rows: DataFrame, keys: Sequence[str], processor, like: DataFrame, time: str) -> DataFrame:
+    """Run an event-time processor; ``time`` of its rows carries the watermark on."""
+    out = rows.groupBy(*[f"_key{i}" for i in range(len(keys))]).transformWithState(
+        processor, "event_time timestamp, payload string", "append", "eventTime", eventTimeColumnName="event_time"
+    )
+    unpacked = out.select("event_time", F.from_json("payload", like.schema, _JSON).alias("_row"))
+    return unpacked.select(*[F.col("event_time").alias(c) if c == time else F.col(f"_row.{c}") for c in like.columns])
+
+
+def keep_first(
+    rows: DataFrame, keys: Sequence[str], time: str, version: str, idle_ms: int, tie_break: Sequence[str] = (),
+    disorder: str = codes.WATERMARK,
+) -> DataFrame:
+    """The first row of each key by event time, and again after ``idle_ms`` without a row of the key.
+
+    Equal times go to the smallest version, then the smallest tie-break values, as in
+    ``dedup_first`` with ``idle``; the result does not depend on how rows arrive.  Rows may be
+    late by ``disorder``.  State of a key goes once the watermark has passed its last row by
+    ``idle_ms``.  Rows without a time are left out; ``time`` keeps milliseconds.
+    """
+    given = with_event_time(rows, time, disorder)
+    return _settled(_versions(given, keys, time, version, tie_break), keys, KeepFirst(idle_ms), rows, time)
+
+
+def keep_first_arrival(
+    rows: DataFrame, keys: Sequence[str], version: str, idle_ms: int, tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """The first arriving row of each key, passed on at once; state has a time to live of ``idle_ms``."""
+    packed = rows.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.unix_micros(F.col(version).cast("timestamp")).alias("version"), _tie(rows, tie_break), _payload(rows),
+    )
+    first = packed.groupBy(*[f"_key{i}" for i in range(len(keys))]).transformWithState(
+        KeepFirstArrival(idle_ms), "payload string", "append", "processingTime"
+    )
+    return _unpack(first, rows)
+
+
+def settle_latest(
+    rows: DataFrame, keys: Sequence[str], time: str, version: str, delay_ms: int, tie_break: Sequence[str] = (),
+    disorder_ms: int = codes.DISORDER_MS,
+) -> DataFrame:
+    """Newest version of each key among its rows within ``delay_ms`` of the first one, by event time.
+
+    The repeatable form of :func:`keep_latest`, which waits by the clock.  Rows that come later
+    start anew.  Rows without a time are left out; ``time`` keeps milliseconds.
+    """
+    given = with_event_time(rows, time, f"{delay_ms + disorder_ms} milliseconds")
+    return _settled(_versions(given, keys, time, version, tie_break), keys, SettleLatest(delay_ms), rows, time)
+
+
+def left_join_changes(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_time: str, right_time: str,
+    keep_ms: int = codes.JOIN_KEEP_MS, disorder: str = codes.WATERMARK,
+) -> DataFrame:
+    """A left join as a log of changes: ``op`` (``+`` or ``-``), then the columns of both sides.
+
+    A left row goes out at once, padded with nulls if it has no match yet; when its first match
+    comes, the padded row is taken back.  Rows meet while both are kept, ``keep_ms`` of event
+    time each.  Left rows without a key stay padded; right rows without one are left out, and
+    so are rows without a time.  Column names of the sides are distinct.
+    """
+    def side(rows: DataFrame, key: str, time: str, is_left: bool) -> DataFrame:
+        # a left row without a key has a key of its own that no right row can have
+        name = F.concat(F.lit("k"), F.col(key).cast("string"))
+        name = F.coalesce(name, F.concat(F.lit("n"), F.xxhash64(*rows.columns).cast("string"))) if is_left else name
+        return with_event_time(rows.where(F.col(time).isNotNull()), time, disorder).select(
+            name.alias("_key"), F.lit(is_left).alias("left"), F.unix_millis(time).alias("ms"),
+            _payload(rows), F.col(time).alias("_time"),
+        ).where("_key IS NOT NULL")
+
+    both = side(left, left_key, left_time, True).unionByName(side(right, right_key, right_time, False))
+    log = both.groupBy("_key").transformWithState(
+        RetractingLeftJoin(keep_ms), "op string, left string, right string", "update", "eventTime"
+    )
+    parsed = log.select(
+        "op", F.from_json("left", left.schema, _JSON).alias("l"), F.from_json("right", right.schema, _JSON).alias("r")
+    )
+    return parsed.select("op", *[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in right.columns])
+
+
+def fold_changes(log: DataFrame) -> DataFrame:
+    """The rows that stay of a written log of changes: each as often as it was added and not taken back."""
+    columns = [c for c in log.columns if c != "op"]
+    n = F.sum(F.when(F.col("op") == "+", 1).otherwise(-1)).alias("_n")
+    kept = log.groupBy(*columns).agg(n).where("_n > 0")
+    return kept.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_i")).drop("_i")
