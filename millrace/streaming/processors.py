@@ -346,8 +346,8 @@ class RetractingLeftJoin(StatefulProcessor):
 
     Input: ``left`` (side), ``ms, payload``.  Output: ``op`` (``+`` or ``-``), ``left, right``
     payloads.  A left row goes out with its matches, or padded with null when there is none;
-    the first match of a padded row takes the padded one back.  Both sides are kept for
-    ``keep_ms`` of event time after a row's own.
+    the first match of a padded row takes the padded one back.  Rows match if their event
+    times lie within ``keep_ms``; both sides are kept until the watermark has passed that.
     """
 
     def __init__(self, keep_ms: int) -> None:
@@ -365,15 +365,16 @@ class RetractingLeftJoin(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         left, right = self._held(self._left), self._held(self._right)
         for r in rows:
-            self._handle.registerTimer(r.ms + self._keep_ms)
+            self._handle.registerTimer(r.ms + self._keep_ms + 1)
             if r.left:
-                for _, payload in right:
+                found = [payload for ms, payload in right if abs(ms - r.ms) <= self._keep_ms]
+                for payload in found or [None]:
                     yield Row(op="+", left=r.payload, right=payload)
-                if not right:
-                    yield Row(op="+", left=r.payload, right=None)
-                left.append((r.ms, r.payload, bool(right)))
+                left.append((r.ms, r.payload, bool(found)))
             else:
                 for i, (ms, payload, matched) in enumerate(left):
+                    if abs(ms - r.ms) > self._keep_ms:
+                        continue
                     if not matched:
                         yield Row(op="-", left=payload, right=None)
                         left[i] = (ms, payload, True)
@@ -390,6 +391,6 @@ class RetractingLeftJoin(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = _passed(timerValues, expiredTimerInfo)
-        alive = lambda rows: [r for r in rows if r[0] + self._keep_ms > passed]
+        alive = lambda rows: [r for r in rows if r[0] + self._keep_ms >= passed]
         self._keep(alive(self._held(self._left)), alive(self._held(self._right)))
         yield from ()

@@ -272,8 +272,8 @@ def left_join_changes(
     """A left join as a log of changes: ``op`` (``+`` or ``-``), then the columns of both sides.
 
     A left row goes out at once, padded with nulls if it has no match yet; when its first match
-    comes, the padded row is taken back.  Rows meet while both are kept, ``keep_ms`` of event
-    time each.  Left rows without a key stay padded; right rows without one are left out, and
+    comes, the padded row is taken back.  Rows match if their times lie within ``keep_ms``; state
+    goes when the watermark has passed that.  Left rows without a key stay padded; right rows without one are left out, and
     so are rows without a time.  Column names of the sides are distinct.
     """
     def side(rows: DataFrame, key: str, time: str, is_left: bool) -> DataFrame:
