@@ -15,6 +15,8 @@ from millrace.streaming.sinks import KeyedTable, fan_out, start_batches
 
 #: Micro-batches between two snapshots of the dimension table.
 FOLD_EVERY = 32
+#: Batches whose changes can still be read from the feed after they were folded.
+KEEP_BATCHES = 64
 
 #: Columns of the dimension table.
 DIMENSIONS = (
@@ -82,7 +84,7 @@ def snapshot_store(path: str, fold_every: int = FOLD_EVERY) -> KeyedTable:
         "database string, table string, type string, ts bigint, xid bigint, data map<string, string>, "
         "old map<string, string>, pk string"
     )
-    return KeyedTable(path, ["pk"], ["ts", "xid"], schema, fold_every=fold_every)
+    return KeyedTable(path, ["pk"], ["ts", "xid"], schema, fold_every=fold_every, keep=KEEP_BATCHES)
 
 
 def load_dimensions_by_time(
@@ -103,4 +105,4 @@ def load_dimensions_by_time(
 
 def dimension_store(path: str, fold_every: int = FOLD_EVERY) -> KeyedTable:
     """The keyed table of all dimensions, by sink table; it reads as empty before its first batch."""
-    return KeyedTable(path, ["sink_table", "pk"], ["ts", "xid"], DIMENSIONS, "sink_table", fold_every)
+    return KeyedTable(path, ["sink_table", "pk"], ["ts", "xid"], DIMENSIONS, "sink_table", fold_every, KEEP_BATCHES)

@@ -132,13 +132,18 @@ class KeyedTable:
     the newest row per key; folders still being written, or left by a failed try, do not
     count.  With a ``schema`` the table can be read before its first batch; with
     ``partition`` (one of the keys) reads of one value open the files of that value only.
+
+    After a fold the writer removes what no reader needs: snapshots but the newest two, and
+    batches that the older of these covers, except the newest ``keep`` of them, from which the
+    change feed is read.  ``keep=None`` removes nothing.
     """
 
     def __init__(
         self, path: str, keys: Sequence[str], version: Sequence[str],
-        schema: str | None = None, partition: str | None = None, fold_every: int | None = None,
+        schema: str | None = None, partition: str | None = None, fold_every: int | None = None, keep: int | None = None,
     ) -> None:
         self.path = path
+        self.keep = keep
         self.keys = list(keys)
         self.version = list(version)
         self.schema = schema
@@ -185,7 +190,11 @@ class KeyedTable:
         comes from the newest snapshot up to ``after`` and the batches since.
         """
         first = -1 if after is None else after
-        later = [n for n in self._finished(spark, "batches") if n > first]
+        finished = self._finished(spark, "batches")
+        later = [n for n in finished if n > first]
+        covering = [n for n in self._finished(spark, "snapshots") if n > first]
+        if covering and not (finished and finished[0] <= first + 1):
+            raise ValueError(f"batches after {first} were removed; read the table and go on from its newest batch")
         if not later:
             return self._no_changes(spark)
         parts = [self._load(spark, "batches", later)]
@@ -243,6 +252,24 @@ class KeyedTable:
     def fold(self, spark: SparkSession, upto: int) -> None:
         """Write the rows of all batches up to ``upto`` as a snapshot."""
         self._save(self._rows(spark, upto), "snapshots", upto)
+        if self.keep is not None:
+            self._remove_old(spark)
+
+    def _remove_old(self, spark: SparkSession) -> None:
+        snapshots = self._finished(spark, "snapshots")
+        if len(snapshots) < 2:
+            return
+        *older, covered, _ = snapshots
+        batches = self._finished(spark, "batches")
+        kept = set(batches[len(batches) - self.keep :] if self.keep else [])
+        gone = [("snapshots", n) for n in older] + [("batches", n) for n in batches if n <= covered and n not in kept]
+        jvm = spark._jvm
+        for kind, n in gone:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/batch_id={n}")
+            # the mark of a finished folder goes first: a folder half removed does not count
+            fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+            fs.delete(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"), False)
+            fs.delete(folder, True)
 
     def _rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         kept = [n for n in self._finished(spark, "snapshots") if upto is None or n < upto][-1:]
@@ -263,7 +290,7 @@ class KeyedTable:
 
     def compact(self, spark: SparkSession, path: str, batch_id: int) -> KeyedTable:
         """Write the current rows as the first batch of a new table at ``path``."""
-        table = KeyedTable(path, self.keys, self.version, self.schema, self.partition, self.fold_every)
+        table = KeyedTable(path, self.keys, self.version, self.schema, self.partition, self.fold_every, self.keep)
         table.write(self.read(spark), batch_id)
         return table
 

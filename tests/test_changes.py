@@ -288,3 +288,18 @@ def test_a_stream_starts_with_the_users_of_a_batch(spark, rows, folder):
     history = trade_summary.payment_history(before)
     got, _ = run(spark, folder, trade_summary.payment_window(stream, settle_ms=1000, history=history).drop("ts"))
     assert rows(got, "stt", "unique_users", "new_users") == [("2024-01-03 10:00:00", 2, 1), ("2024-01-04 10:00:00", 1, 0)]
+
+
+def test_folding_removes_what_is_covered(spark, rows, folder):
+    table = sinks.KeyedTable(folder, ["k"], ["v"], "k string, v int", fold_every=3, keep=2)
+    for n in range(14):
+        table.write(spark.createDataFrame([(f"k{n % 4}", n)], "k string, v int"), n)
+        assert max(rows(table.read(spark), "v")) == (n,)
+    assert rows(table.read(spark)) == [("k0", 12), ("k1", 13), ("k2", 10), ("k3", 11)]
+    # snapshots after batches 8 and 11; batches up to 8 are covered by the older one
+    assert table._finished(spark, "snapshots") == [8, 11]
+    assert table._finished(spark, "batches") == [9, 10, 11, 12, 13]
+    assert rows(table.changes(spark, 11).select("batch_id", "op", "after.v")) == [(12, "update", 12), (13, "update", 13)]
+    assert table.changes(spark, 8).count() == 5
+    with pytest.raises(ValueError, match="removed"):
+        table.changes(spark, 5)
