@@ -18,7 +18,8 @@ HEADLINE = [
     "trade_order_wide", "trade_order_detail", "trade_order_cancel", "trade_order_refund",
     "trade_pay_detail", "trade_refund_detail", "coupon_order", "comment_add", "dedup_latest",
     "tumble_global", "window_distinct_count", "payment_window", "order_window",
-    "province_order_window", "user_spu_order_window",
+    "province_order_window", "user_spu_order_window", "first_after_idle", "route_by_time", "as_of_join",
+    "snapshot_then_changes", "trade_pay_detail_from_feed", "window_distinct_sketch",
     "traffic_unique_visitor_stream", "page_uv_window_stream", "user_login_window_stream",
     "window_distinct_count_stream", "trade_order_refund_stream", "sink_upsert",
 ]

@@ -609,3 +609,4 @@ ORACLE |= {
     "trade_pay_detail_from_feed": PAY_DETAIL,
     "payment_window_resumed_stream": payment_window("10 seconds"),
 }
+ORACLE["window_distinct_sketch"] = f"SELECT *, true AS near FROM ({ORACLE['window_distinct_count']})"

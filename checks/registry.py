@@ -459,6 +459,17 @@ def _(spark, d):
     return windows.tumble_distinct(sample.events(spark, d), "ts", "user_id", "users", "1 day", ["event_type"])
 
 
+@query("window_distinct_sketch")
+def _(spark, d):
+    """Users per day from sketches of ten-second slots: the exact number, and whether the estimate is near it."""
+    events = sample.events(spark, d)
+    sketches = windows.distinct_sketches(events, "ts", "user_id", keys=["event_type"])
+    estimated = windows.roll_up_distinct(sketches, "estimate", "1 day", ["event_type"])
+    exact = windows.tumble_distinct(events, "ts", "user_id", "users", "1 day", ["event_type"])
+    near = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.lit(1.0), 0.06 * F.col("users"))
+    return exact.join(estimated, ["stt", "edt", "event_type"]).select("stt", "edt", "event_type", "users", near.alias("near"))
+
+
 windowed(
     "payment_window",
     lambda spark, d, size: trade_summary.payment_window(

@@ -325,3 +325,19 @@ def test_no_window_runs_in_one_partition(spark):
 def test_millis_round_trip(spark, rows):
     df = spark.createDataFrame([(1704067207179,)], "ms bigint")
     assert rows(df.select(F.unix_millis(millis_to_time(F.col("ms"))))) == [(1704067207179,)]
+
+
+def test_sketches_of_slots_roll_up_to_days(spark):
+    from millrace.operators import windows
+
+    day = "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 86400)"
+    df = spark.range(40_000).selectExpr(f"{day} AS t", "id % 7000 AS user", "IF(id % 3 = 0, 'a', 'b') AS k", "CAST(NULL AS BIGINT) AS gone")
+    sketches = windows.distinct_sketches(df, "t", "user", "10 seconds", ["k"])
+    exact = {r.k: r.n for r in df.groupBy("k").agg(F.count_distinct("user").alias("n")).collect()}
+    for size in ("1 hour", "1 day"):
+        got = windows.roll_up_distinct(sketches, "users", size, ["k"]).collect()
+        assert len(got) == (2 if size == "1 day" else 24)
+    assert all(abs(r.users - exact[r.k]) < 0.05 * exact[r.k] for r in got)
+    nothing = windows.roll_up_distinct(windows.distinct_sketches(df, "t", "gone"), "users", "1 day").collect()
+    assert [r.users for r in nothing] == [0]
+    assert windows.roll_up_distinct(windows.distinct_sketches(df.limit(0), "t", "user"), "users", "1 day").collect() == []
