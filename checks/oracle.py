@@ -610,3 +610,4 @@ ORACLE |= {
     "payment_window_resumed_stream": payment_window("10 seconds"),
 }
 ORACLE["window_distinct_sketch"] = f"SELECT *, true AS near FROM ({ORACLE['window_distinct_count']})"
+ORACLE["trade_cart_add_refreshed_stream"] = CART_ADD

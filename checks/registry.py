@@ -13,7 +13,7 @@ from millrace.functions.times import millis_to_time, ymd_hms
 from millrace.operators import cdc, firsts, logs, routing, windows
 from millrace.operators.as_of import as_of_join
 from millrace.operators.dedup import dedup_first, dedup_latest, first_after_idle
-from millrace.operators.lookups import dictionary_name, lookup
+from millrace.operators.lookups import ExpiringTable, dictionary_name, lookup
 from millrace.operators.words import explode_words
 from millrace.plans import simple_facts, trade_facts, trade_summary, traffic_facts
 from millrace.plans import traffic_summary, user_summary
@@ -923,3 +923,14 @@ def _(spark, d):
     )
     later = trade_summary.payment_window(stream, settle_ms=WAIT_MS, history=trade_summary.payment_history(before))
     return trade_summary.payment_window(before).drop("ts").unionByName(_written(spark, later.drop("ts")))
+
+
+@query("trade_cart_add_refreshed_stream")
+def _(spark, d):
+    """Cart facts of several micro-batches, named by a dictionary that is read again when it has aged."""
+    folder = shared_dir(spark, "carts")
+    names = ExpiringTable(lambda: sample.dictionary(spark), 1.0)
+    jobs.append_enriched(
+        _fed(spark, d, "cart_info"), trade_facts.cart_add, names, f"{folder}/out", f"{folder}/checkpoint"
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/out/*")

@@ -10,11 +10,42 @@ look up belongs in a table, whose size is known.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import shared_dir
+
+
+class ExpiringTable:
+    """A lookup table that is read again once it is older than ``max_age`` seconds.
+
+    Each reading is written to the shared folder, so all tasks of a micro-batch, and tasks that
+    are tried again, see one version of it, and the source is asked once per reading, not once
+    per task.  Its size is known then, and Spark broadcasts it only while it is small.  ``clock``
+    gives seconds.
+    """
+
+    def __init__(self, read: Callable[[], DataFrame], max_age: float, clock: Callable[[], float] = time.time) -> None:
+        self._read = read
+        self._max_age = max_age
+        self._clock = clock
+        self._held: DataFrame | None = None
+        self._since = 0.0
+
+    def current(self) -> DataFrame:
+        """The version in force: ask once per micro-batch."""
+        now = self._clock()
+        if self._held is None or now - self._since >= self._max_age:
+            rows = self._read()
+            path = shared_dir(rows.sparkSession, "lookup")
+            rows.write.parquet(path)
+            self._held, self._since = rows.sparkSession.read.schema(rows.schema).parquet(path), now
+        return self._held
+
+
 def lookup(
     fact: DataFrame,
     table: DataFrame,

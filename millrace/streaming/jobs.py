@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import logs, routing
 from millrace.operators.cdc import CORRUPT, after_position, snapshot_then_changes
+from millrace.operators.lookups import ExpiringTable
 from millrace.schemas import CDC
 from millrace.streaming.sinks import KeyedTable, fan_out, start_batches
 
@@ -36,6 +37,18 @@ def route_logs(
     return fan_out(parsed, outputs, path, checkpoint, trigger)
 
 
+def append_enriched(
+    rows: DataFrame, enrich: Callable[[DataFrame, DataFrame], DataFrame], table: ExpiringTable, path: str, checkpoint: str,
+    trigger: Mapping | None = None,
+) -> StreamingQuery:
+    """Append ``enrich(batch, lookup table)``, with the table in force when each micro-batch starts."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        enrich(batch, table.current()).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return start_batches(rows, write, checkpoint, trigger)
+
+
 def load_dimensions(
     cdc: DataFrame,
     read_routes: Callable[[], DataFrame],

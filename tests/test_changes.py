@@ -10,6 +10,7 @@ from millrace import schemas
 from millrace.operators import cdc, routing
 from millrace.operators.as_of import as_of_join
 from millrace.operators.dedup import first_after_idle
+from millrace.operators.lookups import ExpiringTable, dictionary_name
 from millrace.plans import trade_summary
 from millrace.session import shared_dir
 from millrace.streaming import jobs, sinks, stateful
@@ -303,3 +304,28 @@ def test_folding_removes_what_is_covered(spark, rows, folder):
     assert table.changes(spark, 8).count() == 5
     with pytest.raises(ValueError, match="removed"):
         table.changes(spark, 5)
+
+
+def test_a_dictionary_is_read_again_when_it_has_expired(spark, rows, folder):
+    now, names, readings = [0.0], {"1": "old"}, []
+
+    def read():
+        readings.append(now[0])
+        return spark.createDataFrame(list(names.items()), "dic_code string, dic_name string")
+
+    table = ExpiringTable(read, 10, lambda: now[0])
+
+    def batch(n):
+        spark.createDataFrame([(n, "1")], "id int, code string").coalesce(1).write.parquet(f"{folder}/in/{n:03d}")
+        stream = spark.readStream.schema("id int, code string").parquet(f"{folder}/in/*")
+        jobs.append_enriched(
+            stream, lambda b, t: dictionary_name(b, t, "code", "name"), table, f"{folder}/out", f"{folder}/checkpoint"
+        ).awaitTermination()
+
+    batch(0)
+    names["1"], now[0] = "new", 9.0
+    batch(1)  # not expired yet
+    now[0] = 10.0
+    batch(2)
+    assert rows(spark.read.parquet(f"{folder}/out/*"), "id", "name") == [(0, "old"), (1, "old"), (2, "new")]
+    assert readings == [0.0, 10.0]
