@@ -42,10 +42,11 @@ HOT = 8_000
 #: Slices of one automaton, beyond those of its last anchor.
 SHARD_SLICES = 8_000
 #: Bytes of text worked on at once; a longer text is taken alone.
-STRETCH_BYTES = 8 << 20
+STRETCH_BYTES = 4 << 20
 #: Places of one row of slices.
 ROW_PLACES = 4096
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _U = np.uint64
 _FACTOR = _U(0xD1342543DE82EF95)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,8 +79,8 @@ class _Words:
         self.end = np.flatnonzero(last[1:] & inside) + 1
         self.at = np.searchsorted(self.begin, borders)
         out, i = [np.zeros(0, _U)], 0
-        while i < len(self.begin):  # a few megabytes at a time
-            j = max(i + 1, int(np.searchsorted(self.end, self.begin[i] + (1 << 22), "right")))
+        while i < len(self.begin):  # a megabyte at a time
+            j = max(i + 1, int(np.searchsorted(self.end, self.begin[i] + (1 << 20), "right")))
             lo = self.begin[i]
             part = self.data[lo : self.end[j - 1]]
             out.append(hashing.hash_ranges(part, self.begin[i:j] - lo, self.end[i:j] - lo, hashing.EXACT[0]))
@@ -124,6 +125,21 @@ def _anchored(w: _Words, words: int, anchor: int) -> tuple[np.ndarray, np.ndarra
     return grams, starts, _least(grams, words - anchor + 1)[starts]
 
 
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    """Rows written to the shared folder and read back; the shuffle files behind them go at once.
+
+    Each step shuffles about one copy of the texts, which Spark keeps by default until the
+    driver collects the plan as garbage.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return stored(df, purpose)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def _runs(flags: list[bool]) -> list[tuple[int, int]]:
     """First and last place of each run of true flags."""
     out, begin = [], None
@@ -209,19 +225,34 @@ def remove_repeats(
             w = _Words(part.column("text"))
             grams, _, places = _anchored(w, words, anchor)
             at = np.unique(places)
-            row = np.searchsorted(w.at, at, "right") - 1
-            k1, k2 = (part.column(k).to_numpy()[row] for k in ("k1", "k2"))
+            row, found = np.searchsorted(w.at, at, "right") - 1, grams[at]
+            # one row per text and anchor: its first place, and a list of the others where there are any
+            order = np.lexsort((at, found, row))
+            at, row, found = at[order], row[order], found[order]
+            head = np.ones(len(at), bool)
+            head[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
+            first = np.flatnonzero(head)
+            k1, k2 = (part.column(k).to_numpy()[row[first]] for k in ("k1", "k2"))
+            places = (at - w.at[row]).astype(np.int64)
+            others = np.diff(np.append(first, len(at))) - 1
+            more = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(others)]).astype(np.int32)), pa.array(places[~head]), mask=pa.array(others == 0)
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k1), pa.array(k2), pa.array(grams[at].view(np.int64)), pa.array((at - w.at[row]).astype(np.int64))],
-                names=["k1", "k2", "anchor", "pos"],
+                [pa.array(k1), pa.array(k2), pa.array(found[first].view(np.int64)), pa.array(places[first]), more],
+                names=["k1", "k2", "anchor", "pos", "more"],
             )
 
-    anchored = stored(long_enough.mapInArrow(anchors, "k1 long, k2 long, anchor long, pos long"), "anchors")
-    recurring = anchored.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    anchored = _written(long_enough.mapInArrow(anchors, "k1 long, k2 long, anchor long, pos long, more array<long>"), "anchors")
+    # written, so that adaptive execution sees a plain shuffle on both sides and splits hot anchors
+    times = F.when(F.col("more").isNull(), F.lit(1)).otherwise(F.size("more") + 1)
+    recurring = _written(anchored.groupBy("anchor").agg(F.sum(times).alias("n")).where("n > 1"), "recurring")
     # equal rows (id and text) have equal places, so a set of places serves them all
+    places_ = F.when(F.col("more").isNull(), F.array("pos")).otherwise(F.concat(F.array("pos"), "more"))
     hits = (
         anchored.join(recurring, "anchor")
-        .groupBy("k1", "k2").agg(F.collect_set(F.col("pos") * 2 + (F.col("n") > hot).cast("long")).alias("hits"))
+        .select("k1", "k2", F.explode(places_).alias("p"), (F.col("n") > hot).cast("long").alias("hot"))
+        .groupBy("k1", "k2").agg(F.collect_set(F.col("p") * 2 + F.col("hot")).alias("hits"))
     )
 
     def cut_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +303,7 @@ def remove_repeats(
                 names=["key", "s1", "s2", "n", "slice", "places"],
             )
 
-    slices = stored(
+    slices = _written(
         long_enough.join(hits, ["k1", "k2"]).mapInArrow(
             cut_slices, "key long, s1 long, s2 long, n long, slice binary, places array<struct<k1: long, k2: long, pos: long>>"
         ),
@@ -303,7 +334,7 @@ def remove_repeats(
         if held:
             yield settle()
 
-    spans = stored(
+    spans = _written(
         slices.select("key", "s1", "s2", "n", "slice").repartition("key").sortWithinPartitions("key")
         .mapInArrow(confirm, "s1 long, s2 long, lo long, hi long"),
         "spans",
