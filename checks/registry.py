@@ -520,6 +520,8 @@ def _written(spark, rows):
 # stay open, so a stream gives what its batch form gives, down to the last row.
 
 FUTURE_S = 4_102_444_800
+#: Micro-batches before the one with the rows in the future, where state is kept row by row.
+FEW = 2
 
 
 def _from_json(spark, schema, *texts):
@@ -534,7 +536,7 @@ def _pages_in_batches(spark, d, with_item=False):
          "page": {"page_id": page, "last_page_id": before, "item": "last", "item_type": "keyword"}}
         for page, before in (("home", "search"), ("good_detail", None), ("home", "login"))
     ]
-    return sample.in_batches(pages, "ts", last=_from_json(spark, pages.schema, *map(json.dumps, last)))
+    return sample.in_batches(pages, "ts", FEW, last=_from_json(spark, pages.schema, *map(json.dumps, last)))
 
 
 def streamed(name: str, build) -> None:
@@ -625,7 +627,7 @@ def _(spark, d):
                      "create_time": "2100-01-01 00:00:00"}}
     stream = sample.in_batches(
         records, "unix_seconds(CAST(coalesce(data['operate_time'], data['create_time']) AS TIMESTAMP))",
-        last=_from_json(spark, records.schema, json.dumps(last)),
+        FEW, last=_from_json(spark, records.schema, json.dumps(last)),
     )
     carts = trade_facts.cart_add(stream, sample.dictionary(spark))
     return _written(spark, user_summary.cart_uu_window(carts).drop("ts"))
@@ -646,7 +648,7 @@ def _(spark, d):
     parts = [
         _pages_in_batches(spark, d),
         *(
-            sample.in_batches(rows, "ts", last=_from_json(spark, rows.schema, json.dumps(
+            sample.in_batches(rows, "ts", FEW, last=_from_json(spark, rows.schema, json.dumps(
                 {"event_id": -1, "common": {"mid": "last"}, "page": {"page_id": "home"}, "ts": FUTURE_S * 1000})))
             for rows in (traffic_facts.unique_visitors(log, ID), traffic_facts.user_jumps(log, 10_000, ID))
         ),
@@ -665,7 +667,7 @@ def _details_in_batches(spark, d, time="create_time"):
     last = {"id": "last", "order_id": "last", "user_id": "last", "sku_id": "last", "create_time": "2100-01-01 00:00:00",
             "row_op_ts": "2100-01-01T00:00:00Z"}
     return sample.in_batches(
-        details, f"unix_seconds(CAST({time} AS TIMESTAMP))", last=_from_json(spark, details.schema, json.dumps(last))
+        details, f"unix_seconds(CAST({time} AS TIMESTAMP))", FEW, last=_from_json(spark, details.schema, json.dumps(last))
     )
 
 
@@ -713,7 +715,7 @@ def _(spark, d):
     )
     last = {"order_detail_id": "last", "user_id": "last", "callback_time": "2100-01-01 00:00:00", "row_op_ts": "2100-01-01T00:00:00Z"}
     stream = sample.in_batches(
-        payments, "unix_seconds(CAST(callback_time AS TIMESTAMP))", last=_from_json(spark, payments.schema, json.dumps(last))
+        payments, "unix_seconds(CAST(callback_time AS TIMESTAMP))", FEW, last=_from_json(spark, payments.schema, json.dumps(last))
     )
     return _written(spark, trade_summary.payment_window(stream, settle_ms=WAIT_MS).drop("ts"))
 
@@ -859,7 +861,7 @@ def _(spark, d):
 
 def _reductions(spark, d, stream):
     records = {
-        t: sample.in_batches(sample.change_records(spark, d, t), "ts") if stream else sample.change_records(spark, d, t)
+        t: sample.in_batches(sample.change_records(spark, d, t), "ts", FEW) if stream else sample.change_records(spark, d, t)
         for t in ("order_detail", "order_detail_activity")
     }
     left = cdc.changes(records["order_detail"], "order_detail", ("insert",)).select(
@@ -919,7 +921,7 @@ def _(spark, d):
     last = {"order_detail_id": "last", "user_id": "last", "callback_time": "2100-01-01 00:00:00", "row_op_ts": "2100-01-01T00:00:00Z"}
     stream = sample.in_batches(
         payments.where(F.col("callback_time") >= HALF_WAY), "unix_seconds(CAST(callback_time AS TIMESTAMP))",
-        last=_from_json(spark, payments.schema, json.dumps(last)),
+        FEW, last=_from_json(spark, payments.schema, json.dumps(last)),
     )
     later = trade_summary.payment_window(stream, settle_ms=WAIT_MS, history=trade_summary.payment_history(before))
     return trade_summary.payment_window(before).drop("ts").unionByName(_written(spark, later.drop("ts")))
