@@ -1,9 +1,9 @@
 """Packing of token ids into sequences: first-fit decreasing in randomised groups.
 
 Each document becomes token ids with an end id; ids are cut at multiples of the sequence
-length, so only the last piece of a document is shorter.  Pieces go to random groups of
-bounded expected size, and each group is packed by itself: longest piece first, each into
-the first sequence with room, found by walking down a tournament tree of free capacities
+length, so only the last piece of a document is shorter.  Documents go with all their pieces to
+random groups of bounded expected size, and each group is packed by itself: longest piece
+first, each into the first sequence with room, found by walking down a tournament tree of free capacities
 (each inner node holds the larger of its two children).
 """
 
@@ -41,8 +41,8 @@ class WordEncoder:
     """Ids of whole texts by the tokenizer file; ids of repeated words are remembered.
 
     Splitting never reaches across white space and merges never across a split, so a text's
-    ids are those of its white-space separated words.  Texts beyond Latin-1, and tokenizer
-    files with another normaliser or split pattern, go to the library whole.
+    ids are those of its white-space separated words.  Words beyond Latin-1 go to the library,
+    and with tokenizer files of another normaliser or split pattern whole texts do.
     """
 
     def __init__(self, path: str, end_id: int | None, max_words: int = MAX_WORDS):
@@ -56,7 +56,8 @@ class WordEncoder:
         self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         self.max_words = max_words
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         split = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
@@ -69,34 +70,50 @@ class WordEncoder:
         shown = ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {c: shown.pre_tokenize_str(chr(c))[0][0] for c in [*range(33, 127), *range(0xA1, 0x100)]}
 
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.translate(self.shown)
+        ids = b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(shown)])
+        if len(piece) < 64:
+            if len(self.pieces) > self.max_words:
+                self.pieces.clear()
+            self.pieces[piece] = ids
+        return ids
+
     def _word(self, word: str) -> bytes:
-        out: list[int] = []
-        for piece in _PIECE.findall(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.shown))]
-                if len(piece) < 64:
-                    if len(self.pieces) > self.max_words:
-                        self.pieces.clear()
-                    self.pieces[piece] = ids
-            out += ids
-        return np.array(out, "<u4").tobytes()
+        pieces = _PIECE.findall(word.lower())
+        if len(pieces) == 1:
+            return self.pieces.get(pieces[0]) or self._piece(pieces[0])
+        found = list(map(self.pieces.get, pieces))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._piece(pieces[i])
+        return b"".join(found)
+
+    def _learn(self, word: str) -> bytes:
+        """Ids of a word not remembered; words of other characters go to the library by themselves."""
+        if _OTHER.search(word):
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            ids = self._word(word)
+        if len(word) < 64:
+            if len(self.words) > self.max_words:
+                self.words.clear()
+            self.words[word] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
-        if not self.by_word or _OTHER.search(text):
+        # separators of ASCII are white space for Python only
+        if not self.by_word or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
-        words, parts = self.words, []
-        for word in text.split():
-            ids = words.get(word)
-            if ids is None:
-                ids = self._word(word)
-                if len(word) < 64:
-                    if len(words) > self.max_words:
-                        words.clear()
-                    words[word] = ids
-            parts.append(ids)
-        parts.append(self.end)
-        return b"".join(parts)
+        words = text.split()
+        found = list(map(self.words.get, words))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._learn(words[i])
+        found.append(self.end)
+        return b"".join(found)
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
@@ -180,31 +197,41 @@ def pack(
     length: str = "length",
     tokens: int = SEQUENCE_TOKENS,
     group_docs: int = GROUP_DOCS,
+    document: list[str] | None = None,
 ) -> DataFrame:
     """Append ``sequence_id`` and ``offset`` to pieces of at most ``tokens`` ids.
 
-    ``keys`` tell pieces apart; their hash deals the pieces to groups, about
-    ``documents / group_docs`` of them, and breaks ties of length, so the result does not
-    depend on partitions or retries.  Offsets in a sequence are gapless from 0.  Null keys
-    are one value like any other; repeated rows are pieces of their own.  Pieces of a null
-    or non-positive length are no pieces and are left out; a longer one than ``tokens``
-    makes its task fail.
+    The hash of the columns ``document`` (the first key, unless given) deals documents with all
+    their pieces to groups, about ``documents / group_docs`` of them; the hash of ``keys``
+    breaks ties of length, so the result does not depend on partitions or retries.  Offsets in
+    a sequence are gapless from 0.  Null keys are one value like any other.  Repeated rows are
+    pieces of their own; they travel as one row with their number, ``group_docs`` of them at
+    most, and each such lot goes to the next group, so that no group gathers the copies of a
+    row.  Pieces of a null or non-positive length are no pieces and are left out; a longer one
+    than ``tokens`` makes its task fail.  All columns must be such that Spark can group by them.
     """
     groups = max(1, math.ceil(documents / group_docs))
     kept = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
-    mark, tie = fresh(pieces.columns), fresh(pieces.columns)
-    hashed = F.xxhash64(*(F.col(f"`{k}`") for k in keys))
+    mark, tie, lot, copies = (fresh(pieces.columns) for _ in range(4))
+    of = lambda columns: F.xxhash64(*(F.col(f"`{k}`") for k in columns))
+    counted = (
+        pieces.where(F.col(f"`{length}`") > 0).groupBy(*(pieces[f"`{c}`"] for c in kept))
+        .agg(F.count(F.lit(1)).alias(copies))
+    )
+    lots = F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / group_docs))
     given = (
-        pieces.select(*(pieces[f"`{c}`"] for c in kept), hashed.alias(tie))
-        .where(F.col(f"`{length}`") > 0)
-        .withColumn(mark, F.pmod(F.col(tie), F.lit(groups)))
+        counted.withColumn(lot, F.explode(lots))
+        .withColumn(copies, F.least(F.lit(group_docs).cast("long"), F.col(copies) - F.col(lot) * group_docs))
+        .withColumn(mark, F.pmod(of(document or keys[:1]) + F.col(lot), F.lit(groups)))
+        .withColumn(tie, of(keys)).drop(lot)
     )
-    schema = given.select(*kept).schema.add("sequence_id", "long").add("offset", "long")
+    schema = given.select(*(F.col(f"`{c}`") for c in kept)).schema.add("sequence_id", "long").add("offset", "long")
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         sort = [(length, "descending"), (tie, "ascending"), *((k, "ascending") for k in keys)]
-        group = group.take(pc.sort_indices(group, sort_keys=sort))
+        order = pc.sort_indices(group, sort_keys=sort).to_numpy()
+        group = group.take(pa.array(np.repeat(order, group.column(copies).to_numpy()[order])))
         sizes = group.column(length).to_numpy().astype(np.int64)
         if len(sizes) and sizes[0] > tokens:
             raise ValueError(f"a piece of {sizes[0]} ids does not fit {tokens}")
