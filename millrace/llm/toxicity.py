@@ -7,7 +7,8 @@ coordinates and weights that is small enough to broadcast whatever the corpus.
 
 Training reads a bounded sample of labelled rows, dealt to a fixed number of shards by a
 hash of the id.  In each pass every shard continues from the shared state on its own rows
-in hash order, and the states are averaged per coordinate.  Sample, shards and order depend
+in hash order, and the states are averaged per coordinate, by one task, since shards are few and
+bounded.  Sample, shards and order depend
 on ids only, so the model does not depend on partitions or retries.
 """
 
@@ -121,6 +122,24 @@ def _trainer(start: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     return run
 
 
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The moves of all shards as one row: their average per coordinate, added up in order of the shards."""
+    rows = pa.Table.from_batches(batches, schema=_MOVED).sort_by("shard")
+    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for i in range(rows.num_rows):
+        at, dz, dn = (np.frombuffer(rows.column(c)[i].as_buffer(), k) for c, k in (("coord", "<i4"), ("z", "<f4"), ("n", "<f4")))
+        z[at] += dz / SHARDS
+        n[at] += dn / SHARDS
+    moved = np.flatnonzero((z != 0) | (n != 0))
+    yield pa.RecordBatch.from_pydict({
+        "coord": pa.array([moved.astype("<i4").tobytes()], pa.binary()),
+        "z": pa.array([z[moved].tobytes()], pa.binary()), "n": pa.array([n[moved].tobytes()], pa.binary()),
+    })
+
+
+_MOVED = pa.schema([("shard", pa.int64()), ("coord", pa.binary()), ("z", pa.binary()), ("n", pa.binary())])
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id_: str = "doc_id", text: str = "text", label: str = "toxic",
     max_rows: int = MAX_TRAIN_ROWS,
@@ -160,14 +179,14 @@ def fit(
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for _ in range(PASSES):
         start = docs.sparkSession.sparkContext.broadcast((z, n))
-        # a row per shard, with a number per coordinate at most
-        moved = examples.mapInArrow(_trainer(start), "shard long, coord binary, z binary, n binary").toArrow()
-        for r in sorted(moved.to_pylist(), key=lambda r: r["shard"]):
-            at = np.frombuffer(r["coord"], "<i4")
-            # the new arrays leave those that were sent alone
-            z, n = z.copy(), n.copy()
-            z[at] += np.frombuffer(r["z"], "<f4") / SHARDS
-            n[at] += np.frombuffer(r["n"], "<f4") / SHARDS
+        # a row per shard, with a number per coordinate at most, and of these rows one for the driver
+        moved = examples.mapInArrow(_trainer(start), "shard long, coord binary, z binary, n binary").repartition(1)
+        # the new arrays leave those that were sent alone
+        z, n = z.copy(), n.copy()
+        for row in moved.mapInArrow(_averaged, "coord binary, z binary, n binary").collect():
+            at = np.frombuffer(row.coord, "<i4")
+            z[at] += np.frombuffer(row.z, "<f8")
+            n[at] += np.frombuffer(row.n, "<f8")
         start.destroy()
     w = weights(z, n)
     used = np.flatnonzero(w)
