@@ -154,7 +154,12 @@ def fit(
         F.col(f"`{lang}`").cast("string").alias("lang"),
     ).where("id is not null and lang is not null and text is not null").where(~held_out("id"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = given.select("id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_lang)
+    # far more than ``per_lang`` rows of a language lie below this share of all hashes; the
+    # others are left out where they are read, and the first ones by hash stay the same
+    ids = given.select("id", "lang")
+    share = ids.groupBy("lang").agg((F.lit(16.0 * per_lang) / F.count(F.lit(1))).alias("share"))
+    near = ids.join(share, "lang").where(F.xxhash64("id") / F.lit(2.0**64) + 0.5 <= F.col("share"))
+    chosen = near.select("id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_lang)
     sample = given.join(F.broadcast(chosen), ["id", "lang"]).select("place", "lang", "text")
 
     def rows(given: DataFrame, times=None) -> tuple[list[str], np.ndarray]:
