@@ -7,8 +7,8 @@ coordinates and weights that is small enough to broadcast whatever the corpus.
 
 Training reads a bounded sample of labelled rows, dealt to a fixed number of shards by a
 hash of the id.  In each pass every shard continues from the shared state on its own rows
-in hash order, and the states are averaged per coordinate, by one task, since shards are few and
-bounded.  Sample, shards and order depend
+in hash order, and the states are averaged per coordinate, a task for a range of
+coordinates.  Sample, shards and order depend
 on ids only, so the model does not depend on partitions or retries.
 """
 
@@ -112,19 +112,25 @@ def _trainer(start: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 z, n = before_z.copy(), before_n.copy()
                 train(z, n, list(zip(found, r["labels"], strict=True)))
                 moved = np.flatnonzero((z != before_z) | (n != before_n))
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([r["shard"]], pa.int64()),
-                    "coord": pa.array([moved.astype("<i4").tobytes()], pa.binary()),
-                    "z": pa.array([(z - before_z)[moved].astype("<f4").tobytes()], pa.binary()),
-                    "n": pa.array([(n - before_n)[moved].astype("<f4").tobytes()], pa.binary()),
-                })
+                # a row per range of coordinates, so that no task holds the moves of all of them
+                cuts = np.searchsorted(moved, np.arange(SHARDS + 1) * (1 << BITS) // SHARDS)
+                for part, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                    some = moved[lo:hi]
+                    yield pa.RecordBatch.from_pydict({
+                        "shard": pa.array([r["shard"]], pa.int64()), "part": pa.array([part], pa.int32()),
+                        "coord": pa.array([some.astype("<i4").tobytes()], pa.binary()),
+                        "z": pa.array([(z - before_z)[some].astype("<f4").tobytes()], pa.binary()),
+                        "n": pa.array([(n - before_n)[some].astype("<f4").tobytes()], pa.binary()),
+                    })
 
     return run
 
 
 def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The moves of all shards as one row: their average per coordinate, added up in order of the shards."""
+    """The moves of all shards in some ranges as one row: averages, added up in order of the shards."""
     rows = pa.Table.from_batches(batches, schema=_MOVED).sort_by("shard")
+    if not rows.num_rows:
+        return
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for i in range(rows.num_rows):
         at, dz, dn = (np.frombuffer(rows.column(c)[i].as_buffer(), k) for c, k in (("coord", "<i4"), ("z", "<f4"), ("n", "<f4")))
@@ -137,7 +143,7 @@ def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     })
 
 
-_MOVED = pa.schema([("shard", pa.int64()), ("coord", pa.binary()), ("z", pa.binary()), ("n", pa.binary())])
+_MOVED = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("coord", pa.binary()), ("z", pa.binary()), ("n", pa.binary())])
 
 
 def fit(
@@ -179,8 +185,10 @@ def fit(
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for _ in range(PASSES):
         start = docs.sparkSession.sparkContext.broadcast((z, n))
-        # a row per shard, with a number per coordinate at most, and of these rows one for the driver
-        moved = examples.mapInArrow(_trainer(start), "shard long, coord binary, z binary, n binary").repartition(1)
+        # a row per shard and range of coordinates; the driver gets one number per coordinate at most
+        moved = examples.mapInArrow(
+            _trainer(start), "shard long, part int, coord binary, z binary, n binary"
+        ).repartition(SHARDS, "part")
         # the new arrays leave those that were sent alone
         z, n = z.copy(), n.copy()
         for row in moved.mapInArrow(_averaged, "coord binary, z binary, n binary").collect():
