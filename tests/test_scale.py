@@ -1,5 +1,6 @@
 """Work that must not grow: shuffles of order facts, stores of stream joins, files of feeds."""
 
+import os
 from datetime import date
 
 import pytest
@@ -71,3 +72,23 @@ def test_a_join_of_streams_keeps_one_store_per_task(spark, tmp_path):
     query.awaitTermination()
     (state,) = query.recentProgress[0].stateOperators
     assert state.numStateStoreInstances == state.numShufflePartitions
+
+
+def test_ranges_of_a_feed_do_not_mix(spark, tmp_path):
+    rows = spark.sql("SELECT id AS n FROM range(7)")  # fewer rows in a range than files
+    stream = sample.in_batches(rows, "n", 2)
+    seen = []
+    stream.writeStream.foreachBatch(lambda batch, _: seen.append(sorted(r.n for r in batch.collect()))).option(
+        "checkpointLocation", f"{tmp_path}/c"
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 2 and max(seen[0]) < min(seen[1]) and sorted(sum(seen, [])) == list(range(7))
+
+
+def test_a_large_feed_is_written_by_as_many_tasks_as_there_are_cores(spark, monkeypatch):
+    monkeypatch.setattr(sample, "ROWS_PER_FILE", 10)
+    sample.in_batches(spark.range(1000).withColumnRenamed("id", "n"), "n", 2)
+    root = spark.conf.get("spark.checkpoint.dir")
+    newest = max((f"{root}/{f}" for f in os.listdir(root) if f.startswith("feed-")), key=os.path.getmtime)
+    for part in ("000", "001"):
+        names = [f for f in os.listdir(f"{newest}/feed/{part}") if f.endswith(".parquet")]
+        assert len(names) == spark.sparkContext.defaultParallelism
