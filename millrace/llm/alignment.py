@@ -2,9 +2,9 @@
 
 The tokens of both tokenizers end at byte offsets of one text.  Offsets where both have an
 end cut the tokens into groups.  Where one token follows another one-to-one, the arrays of
-ends agree at a constant shift between their indices (a diagonal): probing compares
-stretches of 1, 2, 4, ... ends at the current shift and jumps over those that agree.  Where
-they do not, the irregular group is resolved locally by stepping the shorter side, and the
+ends agree at a constant shift between their indices (a diagonal): probing compares ends at
+the current shift, a few one by one, then stretches of 16, 32, 64, ... of them, and jumps over
+those that agree.  Where they do not, the irregular group is resolved locally by stepping the shorter side, and the
 shift becomes that behind the group.
 
 Token pairs whose bytes overlap are linked.  Counts of linked pairs cover the corpus: blocks
@@ -19,8 +19,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate
-from operator import concat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +35,9 @@ BLOCK_BYTES = 8 << 20
 #: Bytes of texts that are tokenized at once; a longer text is taken alone.
 STRETCH_BYTES = 1 << 20
 
+#: Ends compared one by one before stretches of them; most runs are shorter.
+ONE_BY_ONE = 16
+
 #: The split of texts that byte-level tokenizer files with ``use_regex`` stand for.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -110,25 +112,31 @@ def diagonal_groups(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int,
     overlap.  Ends ascend, and the last ones agree.
     """
     na, nb = len(ends_a), len(ends_b)
-    a, b = array("q", ends_a).tobytes(), array("q", ends_b).tobytes()
+    ends_a, ends_b = [*ends_a, -1], [*ends_b, -2]  # they differ behind the last ones
+    packed = None
     i = j = 0
     while i < na:
-        n, step, most = 0, 1, min(na - i, nb - j)
-        while n < most:  # probe ahead at the shift j - i
-            m = min(step, most - n)
-            x, y = 8 * (i + n), 8 * (j + n)
-            if a[x : x + 8 * m] == b[y : y + 8 * m]:
-                n, step = n + m, 2 * step
-                continue
-            lo, hi = 0, m  # the first difference lies within hi
-            while hi - lo > 1:
-                mid = (lo + hi) // 2
-                if a[x + 8 * lo : x + 8 * mid] == b[y + 8 * lo : y + 8 * mid]:
-                    lo = mid
-                else:
-                    hi = mid
-            n += lo
-            break
+        n = 0
+        while n < ONE_BY_ONE and ends_a[i + n] == ends_b[j + n]:
+            n += 1
+        if n == ONE_BY_ONE:
+            a, b = packed = packed or (array("q", ends_a).tobytes(), array("q", ends_b).tobytes())
+            step, most = n, min(na - i, nb - j)
+            while n < most:  # probe ahead at the shift j - i
+                m = min(step, most - n)
+                x, y = 8 * (i + n), 8 * (j + n)
+                if a[x : x + 8 * m] == b[y : y + 8 * m]:
+                    n, step = n + m, 2 * step
+                    continue
+                lo, hi = 0, m  # the first difference lies within hi
+                while hi - lo > 1:
+                    mid = (lo + hi) // 2
+                    if a[x + 8 * lo : x + 8 * mid] == b[y + 8 * lo : y + 8 * mid]:
+                        lo = mid
+                    else:
+                        hi = mid
+                n += lo
+                break
         if n:
             yield i, i + n, j, j + n, None
             i, j = i + n, j + n
@@ -155,47 +163,65 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.len_a, self.len_b = ([len(t) for t in c.table] for c in (self.a, self.b))
-        # ids as text, those of A with the sign before those of B
-        self.before, self.after = [f"{i}|" for i in range(len(self.len_a))], [str(i) for i in range(len(self.len_b))]
-
-    def align(self, ids_a: list[int], ids_b: list[int]) -> tuple[int, str, list[int], list[int]]:
-        """Number of groups, their text, and the A and B ids of all links."""
-        ends_a = list(accumulate([self.len_a[i] for i in ids_a]))
-        ends_b = list(accumulate([self.len_b[i] for i in ids_b]))
-        before, after = [self.before[i] for i in ids_a], [self.after[i] for i in ids_b]
-        left: list[int] = []
-        right: list[int] = []
-        groups: list[str] = []
+        self.len_a, self.len_b = (np.array([len(t) for t in c.table]) for c in (self.a, self.b))
+        # ids as text with the sign behind them: where they end their side of a group, and within it
+        self.shown_a, self.shown_b = (
+            np.array([f"{i}{sign}" for sign in signs for i in range(len(n))], object)
+            for n, signs in ((self.len_a, "|,"), (self.len_b, ";,"))
+        )
+
+    def ends(self, whole: bytes, ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[int]] | None:
+        """Byte offsets at which the tokens of both end; None where either's bytes are not those of ``whole``."""
+        out = []
+        for ids, table, lengths in ((ids_a, self.a.table, self.len_a), (ids_b, self.b.table, self.len_b)):
+            if b"".join(map(table.__getitem__, ids)) != whole:
+                return None
+            sizes = lengths[np.array(array("q", ids))]
+            if not sizes.all():  # a token without bytes
+                return None
+            out.append(np.cumsum(sizes).tolist())
+        return out[0], out[1]
+
+    def align(
+        self, ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int],
+    ) -> tuple[int, str, np.ndarray]:
+        """Number of groups, their text, and the A and B ids of all links (32 bits, a row each)."""
+        stretches: list[int] = []
+        overlaps: list[tuple[int, int]] = []
         for a0, a1, b0, b1, links in diagonal_groups(ends_a, ends_b):
-            if links is None:
-                left += ids_a[a0:a1]
-                right += ids_b[b0:b1]
-                groups += map(concat, before[a0:a1], after[b0:b1])
-                continue
-            for p, q in links:
-                left.append(ids_a[p])
-                right.append(ids_b[q])
-            if a1 - a0 == 1:
-                groups.append(before[a0] + ",".join(after[b0:b1]))
-            else:
-                groups.append("".join(before[a0:a1]).replace("|", ",")[:-1] + "|" + ",".join(after[b0:b1]))
-        return len(groups), ";".join(groups), left, right
+            stretches += (a0, a1, b0, b1, links is None)
+            if links is not None:
+                overlaps += links
+        a0, a1, b0, b1, single = np.array(array("q", stretches)).reshape(-1, 5).T
+        single = single.astype(bool)
+        size_a, size_b = a1 - a0, b1 - b0
+        a, b = np.array(array("q", ids_a)), np.array(array("q", ids_b))
+        at_a, at_b = np.arange(len(a)), np.arange(len(b))
+        single_a, single_b = np.repeat(single, size_a), np.repeat(single, size_b)
+        # the tokens of a group stand side by side, those of A first
+        shown = np.empty(len(a) + len(b), object)
+        inner = ~single_a & (at_a < np.repeat(a1 - 1, size_a))
+        place = at_a + np.repeat(b0, size_a) + np.where(single_a, at_a - np.repeat(a0, size_a), 0)
+        shown[place] = self.shown_a[a + inner * len(self.len_a)]
+        inner = ~single_b & (at_b < np.repeat(b1 - 1, size_b))
+        place = at_b + np.repeat(np.where(single, a0 + 1, a1), size_b) + np.where(single_b, at_b - np.repeat(b0, size_b), 0)
+        shown[place] = self.shown_b[b + inner * len(self.len_b)]
+        pairs = np.array(array("q", chain.from_iterable(overlaps))).reshape(-1, 2)
+        linked = np.empty((np.count_nonzero(single_a) + len(pairs), 2), "<u4")
+        linked[:, 0] = np.concatenate([a[single_a], a[pairs[:, 0]]])
+        linked[:, 1] = np.concatenate([b[single_b], b[pairs[:, 1]]])
+        return int(np.where(single, size_a, 1).sum()), "".join(shown.tolist())[:-1], linked
 
     def rows(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, str, bytes]]:
         """``n_a, n_b, n_groups, n_links, groups, links`` of each text; links are pairs of 32-bit ids."""
         given = [t or "" for t in texts]
-        table_a, table_b = self.a.table, self.b.table
         for text, ids_a, ids_b in zip(given, self.a.ids(given), self.b.ids(given), strict=True):
-            whole = (" " + text).encode()
-            parts_a, parts_b = [table_a[i] for i in ids_a], [table_b[i] for i in ids_b]
-            if not text or b"".join(parts_a) != whole or b"".join(parts_b) != whole or b"" in parts_a or b"" in parts_b:
+            ends = self.ends((" " + text).encode(), ids_a, ids_b) if text else None
+            if ends is None:
                 yield 0, 0, 0, 0, "", b""
                 continue
-            n, groups, left, right = self.align(ids_a, ids_b)
-            links = np.empty((len(left), 2), "<u4")
-            links[:, 0], links[:, 1] = array("q", left), array("q", right)
-            yield len(ids_a), len(ids_b), n, len(left), groups, links.tobytes()
+            n, groups, links = self.align(ids_a, ids_b, *ends)
+            yield len(ids_a), len(ids_b), n, len(links), groups, links.tobytes()
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
