@@ -116,6 +116,64 @@ def _distance(a: str, b: str):
     )
 
 
+def _cells(named: DataFrame, apart: DataFrame) -> DataFrame:
+    """Blocks of members that may be near each other though in different components: ``rep, comp, other, slot, cross, cell``.
+
+    ``named`` has the members of keys (``other``: not in the component of the key's smallest set,
+    the pivot), ``apart`` their distance ``d`` to it.  A pair with the pivot is known.  A key of
+    several blocks is thinned out first: distances obey the triangle inequality, so of the
+    pivot's component only members that reach up to the nearest other one are compared, and
+    with them only other ones within that reach.
+    """
+    size = named.groupBy("key").agg(F.count_if("other").alias("n_other"), F.count(F.lit(1)).alias("n_all"))
+    large = F.greatest("n_other", F.col("n_all") - F.col("n_other") - 1) > BLOCK
+    placed = named.where("rep <> pivot").join(
+        size.where("n_other > 0 and n_all > 2").select("key", large.alias("large")), "key"
+    )
+    reach = apart.select(F.col("a").alias("rep"), F.col("b").alias("pivot"), "d")
+    placed = cut(
+        placed.where("large").join(reach, ["rep", "pivot"])
+        .unionByName(placed.where("not large").withColumn("d", F.lit(None).cast("int")))
+    )
+    bounds = placed.groupBy("key").agg(
+        F.min(F.when(F.col("other"), F.col("d"))).alias("nearest"), F.max(F.when(~F.col("other"), F.col("d"))).alias("widest"),
+    )
+    meets = F.when(F.col("other"), F.col("d") <= F.col("widest") + MAX_DISTANCE).otherwise(F.col("d") >= F.col("nearest") - MAX_DISTANCE)
+    spread = placed.join(bounds, "key").withColumn("meets", ~F.col("large") | F.coalesce(meets, F.lit(False))).where("other or meets")
+    # blocks of the pivot's component, of the other members, and of those of them that meet it
+    other_comp = F.when(F.col("other"), F.col("comp"))
+    counts = spread.groupBy("key").agg(
+        F.ceil(F.count_if(~F.col("other")) / BLOCK).alias("nd"), F.ceil(F.count_if("other") / BLOCK).alias("no"),
+        F.ceil(F.count_if(F.col("other") & F.col("meets")) / BLOCK).alias("nc"),
+        (F.min(other_comp) < F.max(other_comp)).alias("several"),
+    )
+
+    def numbers(n: str):
+        return F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+
+    def dealt(n: str):
+        return F.pmod(F.xxhash64("rep"), F.col(n))
+
+    up = F.transform(numbers("nc"), lambda i: F.struct(F.lit(True).alias("cross"), i.alias("i"), dealt("nd").alias("j")))
+    down = F.transform(numbers("nd"), lambda j: F.struct(F.lit(True).alias("cross"), dealt("nc").alias("i"), j.alias("j")))
+    among = F.transform(
+        numbers("no"),
+        lambda j: F.struct(
+            F.lit(False).alias("cross"), F.least(dealt("no"), j).alias("i"), F.greatest(dealt("no"), j).alias("j")
+        ),
+    )
+    # the pivot is left out above, so its component may have no block; members without a place have no partner
+    across = F.col("meets") & (F.col("nd") > 0)
+    places = (
+        F.when(~F.col("other"), up).when(across & F.col("several"), F.concat(down, among))
+        .when(across, down).when(F.col("several"), among)
+    )
+    return (
+        spread.join(counts, "key").withColumn("place", F.explode(places))
+        .select("rep", "comp", "other", "slot", "place.cross", F.xxhash64("key", "place.cross", "place.i", "place.j").alias("cell"))
+    )
+
+
 def _near_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by cell; gives those with a partner in another component within the distance.
 
@@ -238,10 +296,11 @@ def near_duplicates(
     members = cut(keys.join(least, "key"))
     one = sets.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a"))
     two = sets.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b"))
-    pairs = cut(
+    apart = cut(
         members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-        .join(one, "a").join(two, "b").where(_distance("sig_a", "sig_b") <= MAX_DISTANCE).select("a", "b")
+        .join(one, "a").join(two, "b").select("a", "b", _distance("sig_a", "sig_b").alias("d"))
     )
+    pairs = apart.where(F.col("d") <= MAX_DISTANCE).select("a", "b")
     involved = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     values = cut(_full_sets(docs, id_, text, involved))
     inter = F.size(F.array_intersect("set_a", "set_b"))
@@ -260,34 +319,7 @@ def near_duplicates(
     named = members.where("c > 2").join(label.select("rep", "comp"), "rep")
     home = found.select(F.col("node").alias("pivot"), F.col("component").alias("top"))
     named = cut(named.join(home, "pivot", "left").withColumn("other", F.coalesce("top", "pivot") != F.col("comp")))
-    counts = named.groupBy("key").agg(
-        F.ceil(F.count_if(~F.col("other")) / BLOCK).alias("nd"), F.ceil(F.count_if("other") / BLOCK).alias("no"),
-        F.count_if("other").alias("n_other"), F.count(F.lit(1)).alias("n_all"),
-    ).where("n_other > 0")
-    # a pair with the pivot is known; others need a member outside the pivot's component
-    spread = named.where("rep <> pivot").join(counts.where("n_all > 2"), "key").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.when(F.col("other"), F.col("no")).otherwise(F.col("nd")))
-    )
-    down = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("nd") - 1),
-        lambda j: F.struct(F.lit(True).alias("cross"), F.col("block").alias("i"), j.alias("j")),
-    )
-    among = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("no") - 1),
-        lambda j: F.struct(
-            F.lit(False).alias("cross"), F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j")
-        ),
-    )
-    up = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("no") - 1),
-        lambda i: F.struct(F.lit(True).alias("cross"), i.alias("i"), F.col("block").alias("j")),
-    )
-    # the pivot is left out above, so its component may have no block
-    places = F.when(F.col("other"), F.when(F.col("nd") > 0, F.concat(down, among)).otherwise(among)).otherwise(up)
-    cells = (
-        spread.withColumn("place", F.explode(places))
-        .select("rep", "comp", "other", "slot", "place.cross", F.xxhash64("key", "place.cross", "place.i", "place.j").alias("cell"))
-    )
+    cells = _cells(named, apart)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = cut(
         cells.join(sets.select("rep", "sig"), "rep")
